@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepulse.plans import trade
+from tradepulse.plans import activity, trade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ENTRIES: dict[str, tuple[Query, str | None]] = {**trade.QUERIES}
+ENTRIES: dict[str, tuple[Query, str | None]] = {
+    **trade.QUERIES,
+    **activity.QUERIES,
+}
 
 
 def queries() -> dict[str, Query]:
