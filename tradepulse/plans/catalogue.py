@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepulse.plans import activity, trade
+from tradepulse.plans import activity, cdc, trade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     **trade.QUERIES,
     **activity.QUERIES,
+    **cdc.QUERIES,
 }
 
 
