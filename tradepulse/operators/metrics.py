@@ -113,9 +113,13 @@ TRADE_MEASURES = {
 def sum_measures(
     df: DataFrame, by: Sequence[str], measures: Mapping[str, str] = TRADE_MEASURES
 ) -> DataFrame:
-    """Add rows up per key; a measure a row lacks counts as zero."""
+    """Add rows up per key; a measure a row or the whole frame lacks counts as zero."""
+    zero = F.lit(0)
     return df.groupBy(*by).agg(
-        *[F.coalesce(F.sum(m), F.lit(0)).cast(t).alias(m) for m, t in measures.items()]
+        *[
+            (F.coalesce(F.sum(m), zero) if m in df.columns else zero).cast(t).alias(m)
+            for m, t in measures.items()
+        ]
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepulse.plans import activity, cdc, trade
+from tradepulse.plans import activity, cdc, streams, trade
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     **trade.QUERIES,
     **activity.QUERIES,
     **cdc.QUERIES,
+    **streams.QUERIES,
 }
 
 

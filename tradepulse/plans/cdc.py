@@ -71,19 +71,29 @@ def order_op() -> Column:
     )
 
 
-def order_messages(spark: SparkSession, sf: str, op: Column | None = None) -> DataFrame:
+def order_messages(
+    spark: SparkSession, sf: str, op: Column | None = None, keep: Column | None = None
+) -> DataFrame:
     value = envelope(
         order_op() if op is None else op, F.col("o_orderkey"), F.col("o_orderdate"), _order_after()
     )
     orders = T.load(spark, sf, "orders")
+    if keep is not None:
+        orders = orders.where(keep)
     return orders.select(*_message(F.lit(T.KIND_TOPIC["order"]), F.col("o_orderkey"), value))
 
 
-def fill_after() -> Column:
+def fill_after(unique: bool = False) -> Column:
+    """``unique`` spells the fill id from enough columns to tell all lines apart."""
     price = F.col("l_extendedprice").cast(S.MONEY)
+    fill_id = F.col("l_linenumber").cast("string")
+    if unique:
+        day = E.day_int("l_shipdate")
+        parts = (fill_id, F.col("l_partkey"), F.col("l_suppkey"), day, price)
+        fill_id = F.concat_ws("-", *[p.cast("string") for p in parts])
     return F.struct(
         F.concat(F.lit("CUST"), F.col("l_suppkey").cast("string")).alias("KHH"),
-        F.col("l_linenumber").cast("string").alias("CJBH"),
+        fill_id.alias("CJBH"),
         F.col("l_linestatus").alias("YYB"),
         F.lit(" europe ").alias("BZ"),
         price.cast("string").alias("CJJE"),
@@ -96,12 +106,14 @@ def fill_after() -> Column:
     )
 
 
-def fill_messages(spark: SparkSession, sf: str, op: Column | None = None) -> DataFrame:
+def fill_messages(
+    spark: SparkSession, sf: str, op: Column | None = None, unique: bool = False
+) -> DataFrame:
     lines = T.load(spark, sf, "lineitem")
     offset = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     if op is None:
         op = F.when(F.col("l_returnflag") == "N", "insert").otherwise("INSERT")
-    value = envelope(op, offset, F.col("l_shipdate"), fill_after())
+    value = envelope(op, offset, F.col("l_shipdate"), fill_after(unique))
     return lines.select(*_message(F.lit(T.KIND_TOPIC["fill"]), offset, value))
 
 

@@ -66,11 +66,12 @@ STATE_KEY = {
     "otc": ("business_date", "order_id"),
     "dept_request": ("business_date", "request_id"),
 }
-_NEWEST = [
-    F.col("step").desc(),
-    F.col("event_ts").desc_nulls_last(),
-    F.col("src_offset").desc_nulls_last(),
-]
+def _newest() -> list[Column]:
+    return [
+        F.col("step").desc(),
+        F.col("event_ts").desc_nulls_last(),
+        F.col("src_offset").desc_nulls_last(),
+    ]
 
 
 def _bucket(key: str) -> Column:
@@ -204,7 +205,7 @@ class ActivityJob:
                 F.col("business_date").isin(days) & F.col("bucket").isin(buckets)
             )
             state = state.unionByName(stored.drop("bucket"))
-        return lookup_state(state, wanted, keys, _NEWEST).drop("step", "event_ts", "src_offset")
+        return lookup_state(state, wanted, keys, _newest()).drop("step", "event_ts", "src_offset")
 
     def _base_state(self, kind: str, base: int) -> DataFrame:
         rows = self.tables.read_step(f"base/state/{kind}", f"{STATE_DDL[kind]}, bucket INT", base)
@@ -411,7 +412,7 @@ class ActivityJob:
         rows = self.tables.read(table, STATE_DDL[kind], upto=self.tables.last_step() or 0, after=base)
         if base is not None:
             rows = rows.unionByName(self._base_state(kind, base).drop("bucket"))
-        return D.last_per_key(rows, STATE_KEY[kind], _NEWEST)
+        return D.last_per_key(rows, STATE_KEY[kind], _newest())
 
     def quarantined(self) -> DataFrame:
         return self.tables.committed("quarantine", QUARANTINE_DDL)
