@@ -35,11 +35,6 @@ def _starts_with_any(value: Column, prefixes: Sequence[str]) -> Column:
     return out
 
 
-def as_date_int(value: Column | int | None) -> Column:
-    """A business date as an INT column: a literal yyyyMMdd or a column."""
-    return value.cast("int") if isinstance(value, Column) else F.lit(value).cast("int")
-
-
 def currency_key(value: Column | str) -> Column:
     """Currency code as the rate table keys it."""
     return F.upper(F.trim(_col(value)))
@@ -106,10 +101,22 @@ def source_timestamp(micros_text: Column | str) -> Column:
     return F.when(F.length(text) >= 13, F.timestamp_millis(millis))
 
 
+def source_timestamp_sql(micros_text: str) -> str:
+    """The same as SQL text, for wide projections."""
+    millis = f"try_cast(substring({micros_text}, 1, 13) AS BIGINT)"
+    return f"CASE WHEN length({micros_text}) >= 13 THEN timestamp_millis({millis}) END"
+
+
 def event_day(ts: Column | str, zone: str = DEFAULT_ZONE) -> Column:
     """Calendar day (yyyyMMdd INT) of an instant in ``zone``."""
     local = F.convert_timezone(F.current_timezone(), F.lit(zone), _col(ts).cast("timestamp_ntz"))
-    return (F.year(local) * 10000 + F.month(local) * 100 + F.dayofmonth(local)).cast("int")
+    return day_int(local)
+
+
+def event_day_sql(ts: str, zone: str = DEFAULT_ZONE) -> str:
+    """The same as SQL text, for wide projections."""
+    local = f"convert_timezone(current_timezone(), '{zone}', CAST({ts} AS TIMESTAMP_NTZ))"
+    return f"CAST(year({local}) * 10000 + month({local}) * 100 + dayofmonth({local}) AS INT)"
 
 
 def day_int(ts: Column | str) -> Column:

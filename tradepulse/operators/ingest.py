@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
-from tradepulse.functions.expressions import source_timestamp
+from tradepulse.functions.expressions import source_timestamp_sql
 
 MALFORMED = "malformed_json"
 UNKNOWN_TOPIC = "unknown_topic"
@@ -22,12 +22,9 @@ def drop_empty(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.where(F.length(value) > 0)
 
 
-def _kind(topic: Column, topics: Mapping[str, str]) -> Column:
-    out = None
-    for name, kind in topics.items():
-        hit = F.upper(topic) == name.upper()
-        out = F.when(hit, kind) if out is None else out.when(hit, kind)
-    return out
+def _kind(topic: str, topics: Mapping[str, str]) -> str:
+    cases = " ".join(f"WHEN '{name.upper()}' THEN '{kind}'" for name, kind in topics.items())
+    return f"CASE upper({topic}) {cases} END"
 
 
 def parse_envelopes(
@@ -46,29 +43,20 @@ def parse_envelopes(
     rows = drop_empty(raw).select(
         "topic", "partition", "offset", "value", F.inline(F.array(parsed))
     )
-    event_ts = source_timestamp("jstime")
-    kind = _kind(F.col("topic"), topics)
-    malformed = F.col("_corrupt_record").isNotNull() | ~F.startswith(
-        F.ltrim("value"), F.lit("{")
-    )
-    reason = (
-        F.when(kind.isNull(), UNKNOWN_TOPIC)
-        .when(malformed, MALFORMED)
-        .when(kind.isin(*S.TIMED_KINDS) & event_ts.isNull(), BAD_SOURCE_TIME)
-    )
-    return rows.select(
-        "topic",
-        "partition",
-        "offset",
-        "value",
-        kind.alias("kind"),
-        F.col("optype").alias("op"),
-        F.col("rowid").alias("row_id"),
-        event_ts.alias("event_ts"),
+    kinds = rows.selectExpr(
+        *["topic", "partition", "offset", "value"],
+        f"{_kind('topic', topics)} AS kind",
+        "optype AS op",
+        "rowid AS row_id",
+        f"{source_timestamp_sql('jstime')} AS event_ts",
         "after",
         *(["before"] if before else []),
-        reason.alias("reject_reason"),
+        "_corrupt_record IS NOT NULL OR NOT startswith(ltrim(value), '{') AS malformed",
     )
+    reason = f"""CASE WHEN kind IS NULL THEN '{UNKNOWN_TOPIC}'
+        WHEN malformed THEN '{MALFORMED}'
+        WHEN kind IN {S.TIMED_KINDS} AND event_ts IS NULL THEN '{BAD_SOURCE_TIME}' END"""
+    return kinds.withColumn("reject_reason", F.expr(reason)).drop("malformed")
 
 
 def route(parsed: DataFrame, kind: str) -> DataFrame:
@@ -96,21 +84,20 @@ def unwrap_late(
     rows = mine.select(
         "topic", "partition", "offset", text.alias("value"), F.inline(F.array(parsed))
     )
-    kind = _kind(F.col("ORIGINTOPIC"), origins)
-    attempts = F.coalesce(F.col("BASERECORD.VERSION"), F.lit("0")).try_cast("int")
-    return rows.select(
-        "topic",
-        "partition",
-        "offset",
-        "value",
-        kind.alias("kind"),
-        F.when(kind == "fill", S.INSERT).otherwise(S.UPDATE).alias("op"),
-        F.when(kind != "fill", "late").alias("row_id"),
-        F.lit(None).cast("timestamp").alias("event_ts"),
-        F.col("BASERECORD").alias("after"),
-        F.when(F.col("_corrupt_record").isNotNull(), MALFORMED)
-        .when(kind.isNull(), UNKNOWN_TOPIC)
-        .when(attempts.isNull(), "bad_number")
-        .alias("reject_reason"),
-        attempts.alias("attempts"),
+    return rows.selectExpr(
+        *["topic", "partition", "offset", "value"],
+        f"{_kind('ORIGINTOPIC', origins)} AS kind",
+        "CAST(NULL AS TIMESTAMP) AS event_ts",
+        "BASERECORD AS after",
+        "try_cast(coalesce(BASERECORD.VERSION, '0') AS INT) AS attempts",
+        "_corrupt_record IS NOT NULL AS malformed",
+    ).selectExpr(
+        *["topic", "partition", "offset", "value", "kind"],
+        f"CASE WHEN kind = 'fill' THEN '{S.INSERT}' ELSE '{S.UPDATE}' END AS op",
+        "CASE WHEN kind <> 'fill' THEN 'late' END AS row_id",
+        "event_ts",
+        "after",
+        f"""CASE WHEN malformed THEN '{MALFORMED}' WHEN kind IS NULL THEN '{UNKNOWN_TOPIC}'
+            WHEN attempts IS NULL THEN 'bad_number' END AS reject_reason""",
+        "attempts",
     )

@@ -251,7 +251,7 @@ outcomes AS (
     WHERE proc_status = '2' AND biz_code = '1' AND proc_result = '1'
     UNION ALL SELECT business_date, 'UPDATE', 'ins', biz_amt FROM filled
     WHERE proc_status = '2' AND biz_code <> '1' AND proc_result = '1' AND prod_class = '14')"""
-_OTC_WITH = f"{_records('otc')}, {T.PRODUCTS_SQL}, {OTC_SQL}"
+OTC_WITH = f"{_records('otc')}, {T.PRODUCTS_SQL}, {OTC_SQL}"
 NEW_SQL = """SELECT business_date, CASE cust_type_code WHEN 0 THEN 'gr' ELSE 'jg' END AS cust_type, count(*) AS n
     FROM customer WHERE {op} cust_type_code IN (0, 1) AND open_date = business_date GROUP BY 1, 2"""
 CLOSED_SQL = """SELECT business_date, count(*) AS n FROM customer
@@ -317,16 +317,16 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "otc_product_stats": (
         otc_product_stats,
-        f"""{_OTC_WITH} SELECT business_date, metric, count(*) AS n, CAST(sum(biz_amt) AS DECIMAL(38,12)) AS amount
+        f"""{OTC_WITH} SELECT business_date, metric, count(*) AS n, CAST(sum(biz_amt) AS DECIMAL(38,12)) AS amount
         FROM outcomes GROUP BY 1, 2""",
     ),
     "otc_accounts_opened": (
         otc_accounts_opened,
-        f"{_OTC_WITH} SELECT business_date, op, count(*) AS n FROM outcomes WHERE metric = 'otc_acc' GROUP BY 1, 2",
+        f"{OTC_WITH} SELECT business_date, op, count(*) AS n FROM outcomes WHERE metric = 'otc_acc' GROUP BY 1, 2",
     ),
     "otc_updates_filled": (
         otc_updates_filled,
-        f"{_OTC_WITH} SELECT business_date, order_id, biz_code, proc_result, prod_class, biz_amt, matched FROM filled",
+        f"{OTC_WITH} SELECT business_date, order_id, biz_code, proc_result, prod_class, biz_amt, matched FROM filled",
     ),
     "other_stat_daily": (
         other_stat_daily,
@@ -335,7 +335,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "otc_stat_daily": (
         otc_stat_daily,
-        f"""{_OTC_WITH} SELECT business_date AS date_id, {', '.join(
+        f"""{OTC_WITH} SELECT business_date AS date_id, {', '.join(
             f"count(*) FILTER (WHERE metric = '{k}') AS {k}_entr_tims, "
             f"CAST(coalesce(sum(biz_amt) FILTER (WHERE metric = '{k}'), 0) AS DECIMAL(38,12)) AS {k}_mtch_amt"
             for k in ('ins', 'crrc', 'not_crrc'))} FROM outcomes GROUP BY 1""",

@@ -172,6 +172,21 @@ _ORDERS = f"""WITH {T.RATES_SQL}, o AS (
            CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS commission
         FROM lineitem WHERE l_orderkey <> 0 AND l_linestatus = 'O')"""
 
+# An update that arrives first counts at once if its own fields suffice, and
+# only otherwise waits for its request.
+OTC_STREAM_SQL = f"""{A.OTC_WITH}, own AS (
+    SELECT business_date, order_id, biz_amt, CASE WHEN proc_result = '1' AND biz_code = '1' THEN 'otc_acc'
+        WHEN proc_result = '1' AND biz_code <> '1' AND prod_class = '14' THEN 'ins' END AS metric
+    FROM lst WHERE op = 'UPDATE' AND proc_status = '2'),
+streamed AS (
+    SELECT business_date, metric, biz_amt FROM outcomes WHERE op = 'INSERT'
+    UNION ALL SELECT business_date, metric, CASE metric WHEN 'ins' THEN biz_amt ELSE 0 END FROM own WHERE metric IS NOT NULL
+    UNION ALL SELECT f.business_date, CASE WHEN f.biz_code = '1' THEN 'otc_acc' ELSE 'ins' END,
+        CASE WHEN f.biz_code = '1' THEN 0 ELSE f.biz_amt END
+    FROM filled f JOIN own o ON o.business_date = f.business_date AND o.order_id = f.order_id
+    WHERE o.metric IS NULL AND f.proc_result = '1' AND (f.biz_code = '1' OR f.prod_class = '14'))
+SELECT business_date, metric, count(*) AS n, CAST(sum(biz_amt) AS DECIMAL(38,12)) AS amount FROM streamed GROUP BY 1, 2"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "stream_cdc_ingest": (stream_cdc_ingest, cdc.ROUTE_SQL),
     "stream_orders_running_total": (
@@ -205,7 +220,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
         """SELECT 'SECURITIES_TDRWT' AS topic, 0 AS step, count(*) AS n FROM orders
         UNION ALL SELECT 'SECURITIES_TSSCJ', 2, count(*) FROM lineitem""",
     ),
-    "stream_otc_late_match": (stream_otc_late_match, A.QUERIES["otc_product_stats"][1]),
+    "stream_otc_late_match": (stream_otc_late_match, OTC_STREAM_SQL),
     "stream_dept_late_match": (stream_dept_late_match, A.QUERIES["dept_stat_daily"][1]),
     "stream_state_retention": (
         stream_state_retention,

@@ -241,37 +241,30 @@ KIND_TOPIC = {kind: topic for topic, kind in S.TOPICS.items()}
 
 
 def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return load(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").selectExpr(
         "event_id",
         "ts",
         "user_id",
         "event_type",
         "value",
-        F.col("value").cast(S.MONEY).alias("amt"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        E.day_int("ts").alias("utc_day"),
-        F.timestamp_diff("MICROSECOND", zero, F.col("ts")).alias("micros"),
+        f"CAST(value AS {S.MONEY}) AS amt",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "CAST(year(ts) * 10000 + month(ts) * 100 + dayofmonth(ts) AS INT) AS utc_day",
+        "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS micros",
     )
 
 
 def event_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Every event as one change message of ``kind``."""
     fields = EVENT_MESSAGES[kind]
-    base = events_base(spark, sf_dir)
-    after = F.struct(*[F.expr(e).alias(n) for n, e in fields.items() if n != "op"])
-    return base.select(
-        F.lit(KIND_TOPIC[kind]).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.to_json(
-            F.struct(
-                F.expr(fields["op"]).alias("optype"),
-                F.col("event_id").cast("string").alias("rowid"),
-                F.col("micros").cast("string").alias("jstime"),
-                after.alias("after"),
-            )
-        ).alias("value"),
+    after = ", ".join(f"'{n}', {e}" for n, e in fields.items() if n != "op")
+    return events_base(spark, sf_dir).selectExpr(
+        f"'{KIND_TOPIC[kind]}' AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        f"""to_json(named_struct(
+            'optype', {fields['op']}, 'rowid', CAST(event_id AS STRING),
+            'jstime', CAST(micros AS STRING), 'after', named_struct({after}))) AS value""",
     )
 
 
@@ -281,25 +274,25 @@ def event_records(
     """The same records straight as typed columns, filtered like parsed ones."""
 
     given = EVENT_MESSAGES[kind]
-    event_ts = F.timestamp_micros("micros")
-    day = E.event_day(event_ts)
+    day = E.event_day_sql("timestamp_micros(micros)")
     fields = []
     for f in S.FIELDS[kind]:
-        text = F.coalesce(F.expr(given[f.source]), F.lit(f.missing))
-        fields.append((text.try_cast(f.type) if f.type != "string" else text).alias(f.name))
-    typed = events_base(spark, sf_dir).select(
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.expr(given["op"]).alias("op"),
-        F.col("event_id").cast("string").alias("row_id"),
-        event_ts.alias("event_ts"),
-        day.alias("source_day"),
-        (day if business_date is None else F.lit(business_date)).alias("business_date"),
+        text = f"coalesce({given[f.source]}, '{f.missing}')"
+        cast = text if f.type == "string" else f"try_cast({text} AS {f.type})"
+        fields.append(f"{cast} AS {f.name}")
+    typed = events_base(spark, sf_dir).selectExpr(
+        "0 AS partition",
+        "event_id AS offset",
+        f"{given['op']} AS op",
+        "CAST(event_id AS STRING) AS row_id",
+        "timestamp_micros(micros) AS event_ts",
+        f"{day} AS source_day",
+        f"{day if business_date is None else business_date} AS business_date",
         *fields,
-        F.lit(None).cast("string").alias("reject_reason"),
+        "CAST(NULL AS STRING) AS reject_reason",
     )
     if kind in S.INSERT_ONLY_KINDS:
-        typed = typed.where(E.same_text("op", S.INSERT))
+        typed = typed.where("lower(op) = 'insert'")
     return accepted(typed, kind)
 
 

@@ -61,6 +61,7 @@ CUSTOMER_DDL = (
 )
 QUARANTINE_DDL = "topic STRING, partition INT, offset BIGINT, value STRING, reject_reason STRING"
 STATE_BUCKETS = 64
+Typed = dict[str, DataFrame]
 STATE_KEY = {
     "order": ("business_date", "order_id"),
     "otc": ("business_date", "order_id"),
@@ -157,10 +158,8 @@ class ActivityJob:
 
     # -- one step ------------------------------------------------------------
 
-    def _records(self, parsed: DataFrame | None, kind: str, kinds: set[str]) -> DataFrame | None:
-        if parsed is None or kind not in kinds:
-            return None
-        return P.records(parsed, kind, self.business_date, self.rules, self.zone)
+    def _records(self, typed: Typed, kind: str) -> DataFrame | None:
+        return P.accepted(typed[kind], kind, self.rules) if kind in typed else None
 
     def _step(
         self,
@@ -170,11 +169,15 @@ class ActivityJob:
         clock: Column | None,
         final: bool = False,
     ) -> None:
+        typed: Typed = {}
         if parsed is not None:
-            bad = P.quarantine(parsed, tuple(sorted(kinds)), self.business_date, self.zone)
+            bad = P.rejected(parsed)
+            for kind in sorted(kinds):
+                typed[kind] = P.typed_records(parsed, kind, self.business_date, self.zone)
+                bad = bad.unionByName(P.rejected(typed[kind]))
             self.tables.write(bad, "quarantine", step)
-        self._trade(parsed, step, kinds, clock, final)
-        self._activity(parsed, step, kinds, clock, final)
+        self._trade(typed, step, clock, final)
+        self._activity(typed, step, clock, final)
 
     def _pending(self, kind: str, step: int) -> DataFrame | None:
         previous = self.tables.last_step(before=step)
@@ -211,18 +214,11 @@ class ActivityJob:
         rows = self.tables.read_step(f"base/state/{kind}", f"{STATE_DDL[kind]}, bucket INT", base)
         return rows.withColumn("step", F.lit(base).cast("bigint"))
 
-    def _trade(
-        self,
-        parsed: DataFrame | None,
-        step: int,
-        kinds: set[str],
-        clock: Column | None,
-        final: bool,
-    ) -> None:
+    def _trade(self, typed: Typed, step: int, clock: Column | None, final: bool) -> None:
         trade_parts: list[DataFrame] = []
         seen: list[DataFrame] = []
         held: list[DataFrame] = []
-        orders = self._records(parsed, "order", kinds)
+        orders = self._records(typed, "order")
         if orders is not None:
             orders = D.dedup_orders(orders).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(orders)
@@ -230,7 +226,7 @@ class ActivityJob:
             trade_parts.append(M.order_metrics(orders, self.rates))
             seen.append(orders.select(*C.TRADE_KEYS, "customer_id", F.lit("order").alias("side")))
 
-        fresh = self._records(parsed, "fill", kinds)
+        fresh = self._records(typed, "fill")
         fresh = None if fresh is None else D.dedup_fills(fresh)
         waiting = self._pending("fill", step)
         fills = L.candidates(fresh, waiting, ["business_date", "order_id", "fill_id"])
@@ -265,34 +261,27 @@ class ActivityJob:
         names = [part.split()[0] for part in PENDING_DDL[kind].split(", ")]
         return rows.select(*names)
 
-    def _activity(
-        self,
-        parsed: DataFrame | None,
-        step: int,
-        kinds: set[str],
-        clock: Column | None,
-        final: bool,
-    ) -> None:
+    def _activity(self, typed: Typed, step: int, clock: Column | None, final: bool) -> None:
         parts: list[DataFrame] = []
         held: list[DataFrame] = []
-        customers = self._records(parsed, "customer", kinds)
+        customers = self._records(typed, "customer")
         if customers is not None:
             parts.append(
                 M.activity(M.new_customers(customers), F.concat(F.lit("new_"), F.col("cust_type")))
             )
             parts.append(M.activity(M.closed_customers(customers), "closed"))
-        cash = self._records(parsed, "cash", kinds)
+        cash = self._records(typed, "cash")
         if cash is not None:
             flow = M.cash_flow(cash, self.rates)
             parts.append(
                 M.activity(flow, F.concat(F.lit("cash_"), F.col("direction")), F.col("amount"))
             )
         for kind in ("stock_account", "bank_account", "fund_account"):
-            opened = self._records(parsed, kind, kinds)
+            opened = self._records(typed, kind)
             if opened is not None:
                 parts.append(M.activity(M.count_rows(opened), kind))
-        parts += self._requests(parsed, step, kinds, clock, final, held)
-        parts += self._otc(parsed, step, kinds, clock, final, held)
+        parts += self._requests(typed, step, clock, final, held)
+        parts += self._otc(typed, step, clock, final, held)
         if parts:
             delta = parts[0]
             for part in parts[1:]:
@@ -301,10 +290,12 @@ class ActivityJob:
         for df in held:
             df.unpersist()
 
-    def _requests(self, parsed, step, kinds, clock, final, held) -> list[DataFrame]:
+    def _requests(
+        self, typed: Typed, step: int, clock: Column | None, final: bool, held: list[DataFrame]
+    ) -> list[DataFrame]:
         parts: list[DataFrame] = []
         updates = None
-        requests = self._records(parsed, "dept_request", kinds)
+        requests = self._records(typed, "dept_request")
         if requests is not None:
             requests = D.dedup_requests(requests).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(requests)
@@ -333,10 +324,12 @@ class ActivityJob:
         self.tables.write(self._pending_rows(left, "dept_request"), "pending/dept_request", step)
         return parts
 
-    def _otc(self, parsed, step, kinds, clock, final, held) -> list[DataFrame]:
+    def _otc(
+        self, typed: Typed, step: int, clock: Column | None, final: bool, held: list[DataFrame]
+    ) -> list[DataFrame]:
         parts: list[DataFrame] = []
         updates = None
-        otc = self._records(parsed, "otc", kinds)
+        otc = self._records(typed, "otc")
         if otc is not None:
             otc = D.dedup_otc(otc).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(otc)
