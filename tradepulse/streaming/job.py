@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,18 @@ def _newest() -> list[Column]:
     ]
 
 
+def _together(*writes: Callable[[], None]) -> None:
+    """Run independent writes at once; Spark shares the executors among them.
+
+    A step has many small writes, and one after another they would leave most
+    of a cluster idle. The first failure is raised and fails the batch.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, len(writes))) as pool:
+        futures = [pool.submit(inheritable_thread_target(write)) for write in writes]
+    for future in futures:
+        future.result()
+
+
 def _bucket(key: str) -> Column:
     return F.pmod(F.hash(key), F.lit(STATE_BUCKETS)).cast("int")
 
@@ -170,14 +183,17 @@ class ActivityJob:
         final: bool = False,
     ) -> None:
         typed: Typed = {}
+        writes = [
+            lambda: self._trade(typed, step, clock, final),
+            lambda: self._activity(typed, step, clock, final),
+        ]
         if parsed is not None:
             bad = P.rejected(parsed)
             for kind in sorted(kinds):
                 typed[kind] = P.typed_records(parsed, kind, self.business_date, self.zone)
                 bad = bad.unionByName(P.rejected(typed[kind]))
-            self.tables.write(bad, "quarantine", step)
-        self._trade(typed, step, clock, final)
-        self._activity(typed, step, clock, final)
+            writes.append(lambda: self.tables.write(bad, "quarantine", step))
+        _together(*writes)
 
     def _pending(self, kind: str, step: int) -> DataFrame | None:
         previous = self.tables.last_step(before=step)
@@ -218,6 +234,7 @@ class ActivityJob:
         trade_parts: list[DataFrame] = []
         seen: list[DataFrame] = []
         held: list[DataFrame] = []
+        writes: list[Callable[[], None]] = []
         orders = self._records(typed, "order")
         if orders is not None:
             orders = D.dedup_orders(orders).persist(StorageLevel.MEMORY_AND_DISK)
@@ -243,8 +260,8 @@ class ActivityJob:
             ready = tried.where(counts)
             trade_parts.append(M.fill_metrics(ready, self.rates))
             seen.append(ready.select(*C.TRADE_KEYS, "customer_id", F.lit("fill").alias("side")))
-            left = L.next_attempt(tried.where(~counts))
-            self.tables.write(self._pending_rows(left, "fill"), "pending/fill", step)
+            left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
+            writes.append(lambda: self.tables.write(left, "pending/fill", step))
 
         if trade_parts:
             delta = trade_parts[0]
@@ -252,8 +269,11 @@ class ActivityJob:
             for part, who in zip(trade_parts[1:], seen[1:]):
                 delta = delta.unionByName(part, allowMissingColumns=True)
                 people = people.unionByName(who)
-            self.tables.write(M.sum_measures(delta, M.TRADE_KEYS), "delta/trade", step)
-            self.tables.write(C.customer_bitmaps(people, CUSTOMER_KEYS), "delta/customers", step)
+            totals = M.sum_measures(delta, M.TRADE_KEYS)
+            bitmaps = C.customer_bitmaps(people, CUSTOMER_KEYS)
+            writes.append(lambda: self.tables.write(totals, "delta/trade", step))
+            writes.append(lambda: self.tables.write(bitmaps, "delta/customers", step))
+        _together(*writes)
         for df in held:
             df.unpersist()
 
