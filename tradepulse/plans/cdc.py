@@ -20,6 +20,13 @@ from tradepulse.plans import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ORDER_COLUMNS = (
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+)
+LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
 LATE_TOPIC = "LATE_RECORDS"
 ORDER_DAY_SQL = "CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER)"
 
@@ -77,7 +84,7 @@ def order_messages(
     value = envelope(
         order_op() if op is None else op, F.col("o_orderkey"), F.col("o_orderdate"), _order_after()
     )
-    orders = T.load(spark, sf, "orders")
+    orders = T.load_spread(spark, sf, "orders", *ORDER_COLUMNS)
     if keep is not None:
         orders = orders.where(keep)
     return orders.select(*_message(F.lit(T.KIND_TOPIC["order"]), F.col("o_orderkey"), value))
@@ -109,7 +116,7 @@ def fill_after(unique: bool = False) -> Column:
 def fill_messages(
     spark: SparkSession, sf: str, op: Column | None = None, unique: bool = False
 ) -> DataFrame:
-    lines = T.load(spark, sf, "lineitem")
+    lines = T.load_spread(spark, sf, "lineitem", *LINE_COLUMNS)
     offset = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     if op is None:
         op = F.when(F.col("l_returnflag") == "N", "insert").otherwise("INSERT")
@@ -162,7 +169,7 @@ def _project_events(kind: str, columns: list[str]) -> Query:
 
 def cdc_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Orders damaged in seven ways, by status and priority."""
-    orders = T.load(spark, sf, "orders")
+    orders = T.load_spread(spark, sf, "orders", *ORDER_COLUMNS)
     filled = F.col("o_orderstatus") == "F"
     is_open = F.col("o_orderstatus") == "O"
     priority = F.substring("o_orderpriority", 1, 1)
@@ -197,7 +204,7 @@ def cdc_quarantine_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def cdc_null_vs_missing(spark: SparkSession, sf: str) -> DataFrame:
     """One field as JSON null, absent, or given, in two kinds."""
-    base = T.events_base(spark, sf)
+    base = T.events_base(spark, sf, wide=True)
 
     def messages(kind: str, field: str, **fixed: Column) -> DataFrame:
         def text(value: Column | None, nulls: str) -> Column:
@@ -263,7 +270,7 @@ def cdc_empty_and_keyless(spark: SparkSession, sf: str) -> DataFrame:
 
 def cdc_order_transitions(spark: SparkSession, sf: str) -> DataFrame:
     """Order updates whose report result turns 2."""
-    orders = T.load(spark, sf, "orders")
+    orders = T.load_spread(spark, sf, "orders", *ORDER_COLUMNS)
     before = F.struct(
         F.col("o_orderkey").cast("string").alias("WTH"),
         F.when(F.col("o_orderstatus") == "F", " 2 ").otherwise("0").alias("SBJG"),
@@ -285,7 +292,7 @@ def _wrapped(origin: str, offset: Column, record: Column) -> list[Column]:
 
 def late_unwrap(spark: SparkSession, sf: str) -> DataFrame:
     """Fills, branch and OTC requests and a stranger, wrapped and read back."""
-    lines = T.load(spark, sf, "lineitem")
+    lines = T.load_spread(spark, sf, "lineitem", *LINE_COLUMNS)
     fills = lines.select(
         *_wrapped(
             "SECURITIES_TSSCJ",
@@ -302,7 +309,7 @@ def late_unwrap(spark: SparkSession, sf: str) -> DataFrame:
             ),
         )
     )
-    base = T.events_base(spark, sf)
+    base = T.events_base(spark, sf, wide=True)
     requests = base.select(
         *_wrapped(
             "securities_tywqq",

@@ -14,6 +14,7 @@ from tradepulse import schemas as S
 from tradepulse.functions import expressions as E
 from tradepulse.functions.rules import Rules, classify
 from tradepulse.operators.project import accepted
+from tradepulse.sources.changes import spread
 from tradepulse.sources.dimensions import latest_products, latest_rates
 
 # A rule file in the usual form, over the order table's own codes.
@@ -86,6 +87,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    """Named columns of a table for rendering or parsing text, over all cores."""
+    return spread(load(spark, sf_dir, table).select(*columns))
+
+
 def rate_history(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {RATE_ROWS} AS t(bz, gsbl, month_id, day_id)")
 
@@ -240,8 +246,15 @@ EVENT_MESSAGES: dict[str, dict[str, str]] = {
 KIND_TOPIC = {kind: topic for topic, kind in S.TOPICS.items()}
 
 
-def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "events").selectExpr(
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def events_base(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Base columns of every event; ``wide`` spreads them over all cores."""
+    events = load(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    if wide:
+        events = spread(events)
+    return events.selectExpr(
         "event_id",
         "ts",
         "user_id",
@@ -258,7 +271,7 @@ def event_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Every event as one change message of ``kind``."""
     fields = EVENT_MESSAGES[kind]
     after = ", ".join(f"'{n}', {e}" for n, e in fields.items() if n != "op")
-    return events_base(spark, sf_dir).selectExpr(
+    return events_base(spark, sf_dir, wide=True).selectExpr(
         f"'{KIND_TOPIC[kind]}' AS topic",
         "0 AS partition",
         "event_id AS offset",

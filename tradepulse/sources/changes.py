@@ -11,6 +11,16 @@ from pyspark.sql import functions as F
 from tradepulse.schemas import RAW_SCHEMA
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores.
+
+    Parsing text is the costly part of a batch, and a topic may have few
+    partitions. A scan with enough splits is left alone: it is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_change_files(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

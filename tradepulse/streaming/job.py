@@ -19,6 +19,7 @@ from tradepulse.operators import enrich as J
 from tradepulse.operators import metrics as M
 from tradepulse.operators import project as P
 from tradepulse.operators.ingest import parse_envelopes
+from tradepulse.sources.changes import spread
 from tradepulse.sources.state import lookup_state
 from tradepulse.streaming import late as L
 from tradepulse.streaming.tables import StepTables, batch_step
@@ -76,14 +77,15 @@ def _newest() -> list[Column]:
     ]
 
 
-def _together(*writes: Callable[[], None]) -> None:
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes at once; Spark shares the executors among them.
 
     A step has many small writes, and one after another they would leave most
     of a cluster idle. The first failure is raised and fails the batch.
     """
     with ThreadPoolExecutor(max_workers=max(1, len(writes))) as pool:
-        futures = [pool.submit(inheritable_thread_target(write)) for write in writes]
+        inherit = inheritable_thread_target(spark)
+        futures = [pool.submit(inherit(write)) for write in writes]
     for future in futures:
         future.result()
 
@@ -136,7 +138,7 @@ class ActivityJob:
     def process(self, raw: DataFrame, batch_id: int) -> None:
         """One micro-batch; safe to repeat under the same ``batch_id``."""
         step = batch_step(batch_id)
-        parsed = parse_envelopes(raw, self.topics).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_envelopes(spread(raw), self.topics).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # one row per queue partition and kind
             summary = parsed.groupBy("topic", "partition", "kind").agg(
@@ -193,7 +195,7 @@ class ActivityJob:
                 typed[kind] = P.typed_records(parsed, kind, self.business_date, self.zone)
                 bad = bad.unionByName(P.rejected(typed[kind]))
             writes.append(lambda: self.tables.write(bad, "quarantine", step))
-        _together(*writes)
+        _together(self.spark, *writes)
 
     def _pending(self, kind: str, step: int) -> DataFrame | None:
         previous = self.tables.last_step(before=step)
@@ -273,7 +275,7 @@ class ActivityJob:
             bitmaps = C.customer_bitmaps(people, CUSTOMER_KEYS)
             writes.append(lambda: self.tables.write(totals, "delta/trade", step))
             writes.append(lambda: self.tables.write(bitmaps, "delta/customers", step))
-        _together(*writes)
+        _together(self.spark, *writes)
         for df in held:
             df.unpersist()
 
