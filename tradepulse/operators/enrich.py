@@ -108,13 +108,13 @@ def attach_products(otc: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def matched_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys on both sides."""
-    return left.select(*on).distinct().join(right.select(*on), list(on), "left_semi")
+    """Keys on both sides. Repeated keys collapse on each side before they meet."""
+    return left.select(*on).distinct().join(right.select(*on).distinct(), list(on), "left_semi")
 
 
 def missing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys of the left side that the right side lacks."""
-    return left.select(*on).distinct().join(right.select(*on), list(on), "left_anti")
+    return left.select(*on).distinct().join(right.select(*on).distinct(), list(on), "left_anti")
 
 
 def lookup_keys(
@@ -122,9 +122,9 @@ def lookup_keys(
 ) -> DataFrame:
     """Keys that must be looked up: wanted by a fill or update, not inserted now."""
     wanted = fills.select(*on).unionByName(updates.select(*on)).distinct()
-    return wanted.join(inserts.select(*on), list(on), "left_anti")
+    return wanted.join(inserts.select(*on).distinct(), list(on), "left_anti")
 
 
 def without_match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key the right side lacks."""
+    """Rows whose key the right side, one row per key, lacks."""
     return left.join(right.select(*on), list(on), "left_anti")

@@ -192,12 +192,20 @@ CURRENCY_TYPE, OTHER_TYPE = "511", "509"
 INSURANCE_CLASS = "14"
 
 
-def otc_insert_outcomes(inserts: DataFrame, products: DataFrame) -> DataFrame:
-    """OTC requests that count on entry, as (…, metric): crrc, not_crrc, ins, otc_acc.
+def otc_insert_outcomes(
+    inserts: DataFrame, products: DataFrame, by: Sequence[str] = DAY
+) -> DataFrame:
+    """OTC requests that count on entry, as (by…, metric, n, biz_amt).
 
-    A request can count twice, e.g. as product sale and as account opening.
+    Metrics are crrc, not_crrc, ins and otc_acc; a request can count under two.
+    Requests alike in all tested fields are added up first, so a product that
+    most requests are for reaches the product join as a few rows.
     """
-    rows = attach_products(inserts, products)
+    tested = ("prod_id", "biz_code", "proc_status", "proc_result", "prod_class")
+    alike = inserts.groupBy(*by, *tested).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("biz_amt").alias("biz_amt")
+    )
+    rows = attach_products(alike, products)
     product = (
         ~E.same_text("prod_id", S.ABSENT)
         & E.same_text("biz_code", CURRENCY_PRODUCT["biz_code"])
@@ -214,7 +222,13 @@ def otc_insert_outcomes(inserts: DataFrame, products: DataFrame) -> DataFrame:
         F.when(insurance, "ins"),
         F.when(opened, "otc_acc"),
     )
-    return rows.withColumn("metric", F.explode(F.array_compact(metrics)))
+    return rows.select(*by, F.explode(F.array_compact(metrics)).alias("metric"), "n", "biz_amt")
+
+
+def otc_update_outcomes(enriched: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
+    """Enriched OTC updates that count, in the same form."""
+    rows = enriched.select(*by, otc_update_outcome().alias("metric"), F.lit(1).alias("n"), "biz_amt")
+    return rows.where(F.col("metric").isNotNull())
 
 
 def otc_update_candidates(updates: DataFrame) -> DataFrame:
@@ -233,7 +247,7 @@ def outcome_totals(outcomes: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Count and amount per outcome; account openings carry no amount."""
     amount = F.when(F.col("metric") == "otc_acc", F.lit(0).cast(S.MONEY)).otherwise(F.col("biz_amt"))
     return outcomes.groupBy(*by, "metric").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(amount).cast(S.CONVERTED).alias("amount")
+        F.sum("n").cast("bigint").alias("n"), F.sum(amount).cast(S.CONVERTED).alias("amount")
     )
 
 

@@ -67,14 +67,12 @@ def _otc(spark: SparkSession, sf: str) -> DataFrame:
 
 def _otc_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     inserts, updates = split_by_op(_otc(spark, sf))
-    entered = M.otc_insert_outcomes(inserts, T.products(spark, sf))
-    done = J.enrich_otc_updates(
+    by = ("business_date", "op")
+    entered = M.otc_insert_outcomes(inserts, T.products(spark, sf), by)
+    filled = J.enrich_otc_updates(
         M.otc_update_candidates(updates), inserts, ("business_date", "order_id")
-    ).withColumn("metric", M.otc_update_outcome())
-    columns = ["business_date", "op", "metric", "biz_amt"]
-    return entered.select(*columns).unionByName(
-        done.where(F.col("metric").isNotNull()).select(*columns)
     )
+    return entered.unionByName(M.otc_update_outcomes(filled, by))
 
 
 def otc_product_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +81,7 @@ def otc_product_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def otc_accounts_opened(spark: SparkSession, sf: str) -> DataFrame:
     opened = _otc_outcomes(spark, sf).where("metric = 'otc_acc'")
-    return opened.groupBy("business_date", "op").agg(F.count(F.lit(1)).alias("n"))
+    return opened.groupBy("business_date", "op").agg(F.sum("n").alias("n"))
 
 
 def otc_updates_filled(spark: SparkSession, sf: str) -> DataFrame:

@@ -100,7 +100,8 @@ class ActivityJob:
 
     ``business_date`` fixes the day; left out, each message counts for its own
     source day. ``strict_reference`` drops unmatched branch-request updates at
-    once instead of retrying them.
+    once instead of retrying them. A batch of more than ``lookup_table_rows``
+    messages writes the orders its fills ask for to a table first.
     """
 
     spark: SparkSession
@@ -115,6 +116,7 @@ class ActivityJob:
     otc_limit: L.RetryLimit = L.OTC_LIMIT
     request_limit: L.RetryLimit = L.REQUEST_LIMIT
     strict_reference: bool = False
+    lookup_table_rows: int = 500_000
 
     def __post_init__(self) -> None:
         self.tables = StepTables(self.spark, self.root)
@@ -151,7 +153,8 @@ class ActivityJob:
             kinds = {row["kind"] for row in summary if row["kind"]}
             clocks = [row["clock"] for row in summary if row["clock"] is not None]
             clock = F.lit(max(clocks)) if clocks else None
-            self._step(parsed, step, kinds, clock)
+            large = sum(row["n"] for row in summary) > self.lookup_table_rows
+            self._step(parsed, step, kinds, clock, large)
             self._commit(step, [tuple(r)[:2] + tuple(r)[3:6] for r in summary])
         finally:
             parsed.unpersist()
@@ -161,7 +164,7 @@ class ActivityJob:
         last = self.tables.last_step()
         if last is None or last % 2:
             return
-        self._step(None, last + 1, set(), None, final=True)
+        self._step(None, last + 1, set(), None, large=True, final=True)
         self._commit(last + 1, [])
 
     def _commit(self, step: int, offsets: list[tuple]) -> None:
@@ -182,11 +185,12 @@ class ActivityJob:
         step: int,
         kinds: set[str],
         clock: Column | None,
+        large: bool,
         final: bool = False,
     ) -> None:
         typed: Typed = {}
         writes = [
-            lambda: self._trade(typed, step, clock, final),
+            lambda: self._trade(typed, step, clock, large, final),
             lambda: self._activity(typed, step, clock, final),
         ]
         if parsed is not None:
@@ -232,7 +236,9 @@ class ActivityJob:
         rows = self.tables.read_step(f"base/state/{kind}", f"{STATE_DDL[kind]}, bucket INT", base)
         return rows.withColumn("step", F.lit(base).cast("bigint"))
 
-    def _trade(self, typed: Typed, step: int, clock: Column | None, final: bool) -> None:
+    def _trade(
+        self, typed: Typed, step: int, clock: Column | None, large: bool, final: bool
+    ) -> None:
         trade_parts: list[DataFrame] = []
         seen: list[DataFrame] = []
         held: list[DataFrame] = []
@@ -254,6 +260,13 @@ class ActivityJob:
                 fills = fills.persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(fills)
             stored = self._stored("order", fills, step)
+            if large:
+                # many fills may be of one order: adaptive execution splits them
+                # only if the other side is a plain scan and not a ranking
+                self.tables.write(stored, "lookup/order", step)
+                stored = self.spark.read.schema(stored.schema).parquet(
+                    self.tables.path("lookup/order", step)
+                )
             tried = J.match_fills(fills, stored, STATE_KEY["order"]).persist(
                 StorageLevel.MEMORY_AND_DISK
             )
@@ -365,16 +378,15 @@ class ActivityJob:
         if tries is None:
             return parts
         stored = self._stored("otc", tries, step)
-        tried = J.enrich_otc_updates(tries, stored, STATE_KEY["otc"])
-        tried = tried.withColumn("metric", M.otc_update_outcome()).persist(
+        tried = J.enrich_otc_updates(tries, stored, STATE_KEY["otc"]).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         held.append(tried)
-        outcomes = M.outcome_totals(tried.where(F.col("metric").isNotNull()))
+        outcomes = M.outcome_totals(M.otc_update_outcomes(tried))
         parts.append(M.activity(outcomes, F.col("metric"), F.col("amount")))
         give_up = F.lit(True) if final else L.gave_up(self.otc_limit, clock)
         # an unmatched record has nothing filled in, so it is re-queued as it came
-        left = tried.where(F.col("metric").isNull() & ~F.col("matched") & ~give_up)
+        left = tried.where(M.otc_update_outcome().isNull() & ~F.col("matched") & ~give_up)
         self.tables.write(self._pending_rows(L.next_attempt(left), "otc"), "pending/otc", step)
         return parts
 
@@ -447,6 +459,12 @@ class ActivityJob:
         for kind, keys in STATE_KEY.items():
             rows = self._state_rows(kind).drop("step").withColumn("bucket", _bucket(keys[-1]))
             self.tables.compact(f"state/{kind}", rows, last, ["business_date", "bucket"])
+        # a replay of the last step reads what the step before it left waiting
+        needed = self.tables.last_step(before=last)
+        for table in ("lookup/order", *[f"pending/{kind}" for kind in PENDING_DDL]):
+            for step in self.tables.steps(table):
+                if needed is not None and step < needed:
+                    self.tables.clear(table, step)
 
     def expire(self, before_day: int) -> int:
         """Drop stored state of days before ``before_day``; returns dropped partitions."""
