@@ -458,6 +458,8 @@ class ActivityJob:
         self.tables.compact("delta/customers", C.merge_bitmaps(bits, CUSTOMER_KEYS), last)
         for kind, keys in STATE_KEY.items():
             rows = self._state_rows(kind).drop("step").withColumn("bucket", _bucket(keys[-1]))
+            # one file per day and bucket
+            rows = rows.repartition("business_date", "bucket")
             self.tables.compact(f"state/{kind}", rows, last, ["business_date", "bucket"])
         # a replay of the last step reads what the step before it left waiting
         needed = self.tables.last_step(before=last)
