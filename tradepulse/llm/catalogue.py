@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, language, lengths, secretscan
+from tradepulse.llm import bpe, hilbert, language, lengths, mixing, neardup, quotes, secretscan, syncmers, topk
 from tradepulse.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -48,11 +48,44 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.expr(topk.whole_numbers()).alias("v"))
+    return topk.top_k(vectors, vectors.filter("id % 50 = 0"), k=5)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.sharded(table(spark, sf_dir, "documents"), shards=24)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op7_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, least=80)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.with_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_language": op2_language,
     "op3_secrets": op3_secrets,
     "op4_lengths": op4_lengths,
+    "op5_mixing": op5_mixing,
+    "op6_sharding": op6_sharding,
+    "op7_quotes": op7_quotes,
     "op8_bpe": op8_bpe,
+    "op9_near_duplicates": op9_near_duplicates,
+    "op10_syncmers": op10_syncmers,
 }
 
 ORACLE_SQL: dict[str, str] = {}
