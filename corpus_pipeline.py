@@ -1,7 +1,9 @@
 """The corpus pipeline: from raw documents to token ids, one operator for each stage.
 
 Stages run one after the other; each reads what its predecessor wrote. ``run`` applies them
-to the documents table.
+to the documents table. Up to the last one they return the columns of documents, with
+``n_chars`` following the text. Nulls, empty and repeated rows go by the operators' rules;
+rows without an id can't be named as copies and stay.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, language, secretscan
+from tradepulse.llm import bpe, language, mixing, neardup, secretscan
 from tradepulse.llm.catalogue import VOCABULARY
 from tradepulse.llm.common import table, written
 
@@ -20,18 +22,36 @@ from tradepulse.llm.common import table, written
 LEAST_SCORE = 0.2
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars``, if there is one, after the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: no letter, or a language that no classifier is sure of."""
-    columns = docs.columns
-    model = language.fit(docs)
-    marked = docs.withColumn("_copy", F.col("text"))
-    predicted = language.predict(marked, model, text_col="_copy")
-    return predicted.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(columns)
+    names = ("_language", "_score")
+    predicted = language.predict(docs, language.fit(docs), into=names, keep_text=True)
+    return predicted.filter((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).drop(*names)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by near copies, the one with the smallest id stays."""
+    found = neardup.near_duplicates(docs)
+    kept = found.filter("kept and id is not null").select(F.col("id").alias("_id")).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; the documents stay."""
-    return secretscan.redact(docs, secretscan.train(secretscan.samples(docs)))
+    return _counted(secretscan.redact(docs, secretscan.train(secretscan.samples(docs))))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes their words, with the words it takes."""
+    return _counted(mixing.mixed(docs))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +62,9 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", keep_known_languages),
+    ("near_duplicates", keep_one_of_each_group),
     ("secrets", redact_secrets),
+    ("mixing", mix_sources),
     ("encode", encode_texts),
 ]
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradepulse.llm.common import STEPS
+from tradepulse.llm.common import STEPS, small
 
 UNKNOWN = "und"
 #: Texts of each language that the classifiers are fitted on, at most.
@@ -144,7 +144,7 @@ def fit(
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             kept = [grams(text) for text in batch.column("text").to_pylist()]
             found = [np.flatnonzero(x) for x in kept]
             yield pa.RecordBatch.from_arrays(
@@ -174,20 +174,22 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` without ``text_col``, with ``lang_pred`` and ``score``.
+def predict(
+    df: DataFrame, model: Model, text_col: str = "text", into: tuple[str, str] = ("lang_pred", "score"), keep_text: bool = False
+) -> DataFrame:
+    """``df`` with the predicted language and its score; the text goes, unless it is to be kept.
 
     Columns of these names in ``df`` are replaced.
     """
-    kept = [f for f in df.schema.fields if f.name not in (text_col, "lang_pred", "score")]
-    rows = df.select(*[F.col(f.name) for f in kept], F.col(text_col).alias("_text"))
+    kept = [f for f in df.schema.fields if f.name not in into and (keep_text or f.name != text_col)]
+    names = [f.name for f in kept]
+    rows = df.select(*names) if keep_text else df.select(*names, text_col)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.predict(text) for text in batch.column("_text").to_pylist()]
-            own = [batch.column(i) for i in range(len(kept))]
+        for batch in small(batches):
+            found = [model.predict(text) for text in batch.column(text_col).to_pylist()]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*own, *added], names=[*[f.name for f in kept], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *added], names=[*names, *into])
 
-    schema = type(df.schema)([*kept]).add("lang_pred", "string").add("score", "double")
+    schema = type(df.schema)([*kept]).add(into[0], "string").add(into[1], "double")
     return rows.mapInArrow(label, schema)

@@ -25,6 +25,8 @@ from tradepulse.llm.components import components
 
 # Fixed value: what a quoted line begins with; up to three blanks may stand before each mark.
 MARKS = r"^((?:[ \t]{0,3}>)*)[ \t]?(.*)$"
+#: Blank lines before a text, and white space behind it.
+OUTER = r"^(?:[ \t]*\n)+|\s+$"
 #: Turns whose threads one task puts in order.
 RUN = 64
 
@@ -84,7 +86,7 @@ def linked(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
     kept = (
         split.filter("level = 0").groupBy("conv", "turn", "copy")
         .agg(F.array_sort(F.collect_list(F.struct("number", "body"))).alias("parts"))
-        .select("conv", "turn", "copy", F.trim(F.array_join(F.transform("parts", lambda p: p["body"]), "\n")).alias("rest"))
+        .select("conv", "turn", "copy", F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["body"]), "\n"), OUTER, "").alias("rest"))
     )
     keys = ["conv", "turn", "copy"]
     told = links.join(kept.select(*[F.col(k).alias(f"_{k}") for k in keys], "rest"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").drop(*[f"_{k}" for k in keys])

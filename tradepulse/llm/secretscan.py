@@ -5,8 +5,8 @@ ordinary identifiers. A long run of token characters that no pattern covers is a
 the log-likelihood ratio of the chains, per character, is above a threshold.
 
 Defined results: a null text counts as empty; spans are code points, end exclusive; repeated
-rows each get their row; with no labelled sample of a kind its chain is uniform, and no run
-is added unless the chains tell it apart; extra columns are not looked at.
+rows each get their row; with no labelled sample of either kind no run is added; extra
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradepulse.llm.common import bounded_sample
+from tradepulse.llm.common import bounded_sample, small
 
 # The kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "markov")
@@ -35,8 +35,10 @@ ASSIGN_VALUE, ACCESS_LENGTH = 8, 16
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 IDENTIFIER = re.compile(r"[A-Za-z0-9_-]{8,}")
-#: Least log-likelihood ratio for each character, in nats; weight of an unseen transition.
-THRESHOLD, SMOOTHING = 1.0, 0.5
+#: Least log-likelihood ratio for each character, in nats, and distinct symbols of a run.
+THRESHOLD, DISTINCT = 1.0, 8
+#: Transitions that the prior of a chain weighs; weight of an unseen symbol.
+PRIOR, SMOOTHING = 4.0, 0.5
 #: Documents that the samples are taken from.
 SAMPLE_ROWS = 4000
 
@@ -71,7 +73,7 @@ def _added(text: str, base: list[Span], ratio: np.ndarray, threshold: float) ->
         if any(s < m.end() and m.start() < e for s, e, _ in base):
             continue
         codes = _codes(m[0])
-        if ratio[codes[:-1], codes[1:]].mean() > threshold:
+        if len(set(m[0])) >= DISTINCT and ratio[codes[:-1], codes[1:]].mean() > threshold:
             found.append((m.start(), m.end(), "markov"))
     return found
 
@@ -85,7 +87,7 @@ def samples(df: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> D
     picked = bounded_sample(df.select(F.col(text_col).alias("text")), "text", rows)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             values, secret = [], []
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text)
@@ -105,12 +107,14 @@ def samples(df: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> D
 def train(labelled: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of every transition, from labelled strings.
 
-    Transitions are counted by Spark; at most two counts for each pair of symbols come back.
+    Identifiers have an unseen transition as often as its symbol is common in them. Of the
+    random strings one half is taken to have any symbol with the same chance, since samples
+    seldom show every alphabet. Transitions are counted by Spark; at most two counts for each pair of symbols come back.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, _SIZE * _SIZE), dtype=np.int64)
-        for batch in batches:
+        for batch in small(batches):
             for value, secret in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if value and secret is not None and value.isascii():
                     codes = _codes(value)
@@ -124,8 +128,12 @@ def train(labelled: DataFrame) -> np.ndarray:
     sums = np.zeros((2, _SIZE, _SIZE))
     for kind, pair, n in counts.groupBy("kind", "pair").agg(F.sum("n")).collect():
         sums[kind, pair // _SIZE, pair % _SIZE] = n
-    chance = (sums + SMOOTHING) / (sums + SMOOTHING).sum(axis=2, keepdims=True)
-    return np.log(chance[1]) - np.log(chance[0])
+    if not sums.any(axis=(1, 2)).all():
+        return np.zeros((_SIZE, _SIZE))
+    common = (sums[0].sum(axis=0) + SMOOTHING) / (sums[0] + SMOOTHING / _SIZE).sum()
+    prior = np.stack([np.broadcast_to(common, (_SIZE, _SIZE)), np.full((_SIZE, _SIZE), 1 / _SIZE)])
+    chance = (sums + PRIOR * prior) / (sums.sum(axis=2, keepdims=True) + PRIOR)
+    return np.log((chance[1] + 1 / _SIZE) / 2) - np.log(chance[0])
 
 
 def scan(
@@ -137,7 +145,7 @@ def scan(
     kind_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text)
@@ -154,7 +162,7 @@ def redact(df: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, text_
     """``df`` with every span replaced by ``mark``; a null text stays null."""
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             at = batch.schema.get_field_index(text_col)
             texts = []
             for text in batch.column(at).to_pylist():
