@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tradepulse.llm.common import small
+
 #: Characters of a chunk, and of what it shares with the next one.
 CHUNK, OVERLAP = 1 << 16, 1 << 12
 #: A boundary this close to the cut end of a chunk may move once more text is seen.
@@ -69,7 +71,7 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
-        for batch in batches:
+        for batch in small(batches):
             ids = [encoder(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
 
@@ -85,7 +87,7 @@ def encode(
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
-        for batch in batches:
+        for batch in small(batches):
             stops = []
             for n, c, text in zip(*(batch.column(k).to_pylist() for k in ("n", "c", "text")), strict=True):
                 if (c + 1) * chunk >= n:
@@ -115,7 +117,7 @@ def encode(
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks.value, pattern)
-        for batch in batches:
+        for batch in small(batches):
             spans = zip(*(batch.column(k).to_pylist() for k in ("text", "start", "stop")), strict=True)
             ids = [encoder(text[start:stop]) for text, start, stop in spans]
             yield pa.RecordBatch.from_arrays(
@@ -137,7 +139,7 @@ def decode(df: DataFrame, rank_file: bytes, id_col: str = "doc_id", ids_col: str
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: piece for piece, rank in _vocabulary(ranks.value).items()}.__getitem__
-        for batch in batches:
+        for batch in small(batches):
             raw = [b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(raw, pa.binary())], names=["id", "ids", "bytes"]
