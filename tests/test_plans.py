@@ -64,11 +64,12 @@ def test_topic_filter_runs_before_the_parse(spark, tmp_path):
     assert physical.count("Generate inline") == 1
 
 
-def test_scan_with_few_splits_is_spread_and_others_are_not(spark, sf_dir):
-    few = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_scan_is_dealt_out_only_on_request(spark, sf_dir):
+    scan = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert spread(scan) is scan
+    assert spread(scan, 6).rdd.getNumPartitions() == 6
     many = spark.range(0, 1000, 1, 50)
-    assert spread(many) is many
+    assert spread(many, 6) is many
 
 
 @pytest.fixture(scope="module")

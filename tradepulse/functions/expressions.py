@@ -133,14 +133,20 @@ def stat_time() -> Column:
 def customer_ordinal(customer_id: Column | str, start: int = 5) -> Column:
     """Number behind a customer id's prefix; null when there is none.
 
-    An id no longer than the prefix yields null: its trades count, it does not
-    count as a customer.
+    All that follows the prefix is the number, however long. An id no longer than
+    the prefix yields null: its trades count, it does not count as a customer.
     """
     value = _col(customer_id)
-    number = F.substring(value, start, 20).try_cast("bigint")
+    number = value.substr(F.lit(start), F.length(value)).try_cast("bigint")
     return F.when((F.length(value) >= start) & (number >= 0), number)
 
 
+def bad_customer_id_sql(customer_id: str, start: int = 5) -> str:
+    """:func:`bad_customer_id` as SQL text, for wide projections."""
+    number = f"try_cast(substring({customer_id}, {start}) AS BIGINT)"
+    return f"length({customer_id}) >= {start} AND coalesce({number}, -1) < 0"
+
+
 def bad_customer_id(customer_id: Column | str, start: int = 5) -> Column:
     """Long enough to carry a number, but does not."""
     value = _col(customer_id)

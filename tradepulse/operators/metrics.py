@@ -19,10 +19,6 @@ def count_if(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def _grouped(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    return df.groupBy(*by).agg(*aggs)
-
-
 def totals_by_currency(
     df: DataFrame,
     rates: DataFrame,

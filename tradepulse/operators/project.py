@@ -14,6 +14,8 @@ BAD_NUMBER = "bad_number"
 NULL_FIELD = "null_field"
 BAD_CUSTOMER = "bad_customer_id"
 BAD_ORDER = "bad_order_id"
+TOO_LARGE = "too_large"
+TOO_PRECISE = "too_precise"
 
 _ORIGIN = ("topic", "partition", "offset", "value")
 
@@ -46,11 +48,16 @@ def _reject_reason(kind: str) -> str:
     numbers = [f"try_cast({f.name} AS {f.type}) IS NULL" for f in fields if f.type != "string"]
     if numbers:
         checks.append((" OR ".join(numbers), BAD_NUMBER))
+    exact = [f"try_cast({f.name} AS DECIMAL(38,20)) <> try_cast({f.name} AS {S.MONEY})" for f in fields if f.type == S.MONEY]
+    if exact:
+        checks.append((" OR ".join(exact), TOO_PRECISE))
     if kind in ("order", "fill", "otc"):
         checks.append(("order_id <> '' AND try_cast(order_id AS BIGINT) IS NULL", BAD_ORDER))
     if kind in ("order", "fill"):
-        ordinal = "try_cast(substring(customer_id, 5) AS BIGINT)"
-        checks.append((f"length(customer_id) > 4 AND coalesce({ordinal}, -1) < 0", BAD_CUSTOMER))
+        checks.append((E.bad_customer_id_sql("customer_id"), BAD_CUSTOMER))
+    if kind == "order":
+        value = f"cast(try_cast(qty AS INT) AS DECIMAL(10,0)) * try_cast(price AS {S.MONEY})"
+        checks.append((f"abs({value}) >= {S.LARGEST_VALUE}", TOO_LARGE))
     if not checks:
         return "CAST(NULL AS STRING)"
     return "CASE " + " ".join(f"WHEN {test} THEN '{name}'" for test, name in checks) + " END"

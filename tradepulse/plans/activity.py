@@ -200,13 +200,17 @@ def request_state_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_state_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest order entry per customer name, as an order-state row."""
-    orders = T.orders_view(spark, sf).select(
+    """Order-state rows: every third order is entered again, by hand and for more."""
+    view = T.orders_view(spark, sf)
+    first = view.withColumns({"event_ts": F.to_timestamp_ntz(F.lit("2024-01-15 10:00:00")), "src_offset": F.col("order_id")})
+    again = first.where("order_id % 3 = 0").withColumns(
+        {"qty": F.lit(2), "channel": F.lit("again"), "src_offset": F.col("src_offset") + 1}
+    )
+    newest = D.dedup_orders(first.unionByName(again))
+    return newest.select(
         "customer_id", "order_id", "branch", "currency", "channel", "qty", "price",
         "cancel_flag", "settle_type", "business_date",
     )
-    order = [F.col("business_date").desc(), F.col("order_id").desc()]
-    return D.last_per_key(orders, ["customer_id"], order)
 
 
 # -- SQL ---------------------------------------------------------------------
@@ -393,7 +397,8 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "order_state_latest": (
         order_state_latest,
-        f"""WITH {T.ORDERS_SQL} SELECT customer_id, order_id, branch, currency, channel, 1 AS qty, price, cancel_flag, settle_type, business_date
-        FROM ord QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY business_date DESC, order_id DESC) = 1""",
+        f"""WITH {T.ORDERS_SQL} SELECT customer_id, order_id, branch, currency, CASE WHEN order_id % 3 = 0 THEN 'again' ELSE channel END AS channel,
+        CASE WHEN order_id % 3 = 0 THEN 2 ELSE 1 END AS qty, price, cancel_flag, settle_type, business_date
+        FROM ord QUALIFY row_number() OVER (PARTITION BY business_date, order_id ORDER BY price DESC) = 1""",
     ),
 }

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradepulse import schemas as S
 from tradepulse.operators.ingest import parse_envelopes
 from tradepulse.plans import activity as A
 from tradepulse.plans import cdc
@@ -32,11 +33,12 @@ def run_waves(
     business_date: int | None = DAY,
     name: str = "stream",
     drain: bool = False,
+    **options,
 ) -> ActivityJob:
     """Land each wave, then run the job over it from its checkpoint."""
     root = work_folder(spark, name)
     job = ActivityJob(
-        spark, f"{root}/job", T.rates(spark), T.products(spark, sf), T.DESK_RULES, business_date
+        spark, f"{root}/job", T.rates(spark), T.products(spark, sf), T.DESK_RULES, business_date, **options
     )
     for wave in waves:
         wave.write.mode("append").parquet(f"{root}/landing")
@@ -98,6 +100,23 @@ def stream_distinct_customers(spark: SparkSession, sf: str) -> DataFrame:
     return job.customer_stats().select("branch", "channel", "entr_cust_nums")
 
 
+def stream_cold_start(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, each from a checkpoint of its own, into one result folder; folded between."""
+    root = work_folder(spark, "cold")
+    for run, wave in enumerate(_order_waves(spark, sf)):
+        wave.write.parquet(f"{root}/landing-{run}")
+        job = ActivityJob(
+            spark, f"{root}/job", T.rates(spark), T.products(spark, sf), T.DESK_RULES, DAY,
+            checkpoint=f"{root}/checkpoint-{run}",
+        )
+        job.run_available(read_change_files(spark, f"{root}/landing-{run}"))
+        if not run:
+            job.compact()
+    return job.trade_stats().select(
+        "business_date", "branch", "channel", "entr_tims", "entr_amt", "marg_entr_tims", "stoc_entr_tims"
+    )
+
+
 def _match_waves(spark: SparkSession, sf: str) -> list[DataFrame]:
     """All fills and the early orders, then the late orders; pending ones never."""
     arrived = F.col("o_orderstatus") != "P"
@@ -116,6 +135,37 @@ def stream_pending(spark: SparkSession, sf: str) -> DataFrame:
     return job.waiting("fill").select("order_id", "fill_id", "attempts")
 
 
+def stream_trade_stat(spark: SparkSession, sf: str) -> DataFrame:
+    """The published trade table: totals and distinct customers on one row."""
+    job = run_waves(spark, sf, _match_waves(spark, sf), name="published", drain=True, publish=True)
+    return job.published("trade").select(
+        "date_id", "dept", "trd_chn", "entr_tims", "entr_amt", "entr_cust_nums", "mtch_tims", "mtch_amt", "tot_cms", "mtch_cust_nums"
+    )
+
+
+def _wrapped_fills(spark: SparkSession, sf: str) -> DataFrame:
+    """The same fills as a former deployment re-queued them, after three tries."""
+    record = F.regexp_replace(F.get_json_object("value", "$.after"), r"\}$", ',"VERSION":3}')
+    value = F.concat(F.lit('{"ORIGINTOPIC":"SECURITIES_TSSCJ","BASERECORD":'), record, F.lit("}"))
+    return _fills(spark, sf).withColumns({"topic": F.lit(S.LATE_TOPIC), "value": value})
+
+
+def _late_job(spark: SparkSession, sf: str, name: str, drain: bool) -> ActivityJob:
+    arrived = F.col("o_orderstatus") != "P"
+    return run_waves(spark, sf, [_wrapped_fills(spark, sf), _orders(spark, sf, arrived)], name=name, drain=drain)
+
+
+def stream_late_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Wrapped fills count as the fills themselves do."""
+    stats = _late_job(spark, sf, "late", True).trade_stats().where("mtch_tims <> 0")
+    return stats.select("branch", "channel", "mtch_tims", "mtch_amt", "tot_cms")
+
+
+def stream_late_pending(spark: SparkSession, sf: str) -> DataFrame:
+    """Wrapped fills that still wait, with their tries counted on."""
+    return _late_job(spark, sf, "late-pending", False).waiting("fill").select("order_id", "fill_id", "attempts")
+
+
 def stream_batch_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """Ledger rows after two batches and a replay of the second."""
     second = _fills(spark, sf)
@@ -139,6 +189,12 @@ def stream_otc_late_match(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_otc_stat(spark: SparkSession, sf: str) -> DataFrame:
+    """The published OTC table."""
+    job = run_waves(spark, sf, _by_op(spark, sf, "otc"), None, "otc-stat", drain=True, publish=True)
+    return job.published("otc").drop("stat_time")
+
+
 def stream_dept_late_match(spark: SparkSession, sf: str) -> DataFrame:
     job = run_waves(spark, sf, _by_op(spark, sf, "dept_request"), None, "dept", drain=True)
     return job.branch_day_stats()
@@ -167,7 +223,7 @@ def stream_activity_daily(spark: SparkSession, sf: str) -> DataFrame:
 _ORDERS = f"""WITH {T.RATES_SQL}, o AS (
     SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS branch, {T.CHANNEL_SQL} AS channel, o_orderstatus,
            CAST(o_totalprice AS DECIMAL(18,4)) AS price FROM orders WHERE o_orderkey <> 0),
-    f AS (SELECT l_orderkey, concat_ws('-', l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'), CAST(l_extendedprice AS DECIMAL(18,4))) AS fill_id,
+    f AS (SELECT l_orderkey, l_suppkey, concat_ws('-', l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d'), CAST(l_extendedprice AS DECIMAL(18,4))) AS fill_id,
            l_linestatus AS branch, CAST(l_extendedprice AS DECIMAL(18,4)) AS fill_amt,
            CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS commission
         FROM lineitem WHERE l_orderkey <> 0 AND l_linestatus = 'O')"""
@@ -187,15 +243,60 @@ streamed AS (
     WHERE o.metric IS NULL AND f.proc_result = '1' AND (f.biz_code = '1' OR f.prod_class = '14'))
 SELECT business_date, metric, count(*) AS n, CAST(sum(biz_amt) AS DECIMAL(38,12)) AS amount FROM streamed GROUP BY 1, 2"""
 
+ORDERS_TOTAL_SQL = (
+    _ORDERS
+    + f"""SELECT {DAY} AS business_date, branch, channel, count(*) AS entr_tims,
+        CAST(sum(CAST(CAST(2 * price AS DECIMAL(20,4)) * 6.9876 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS entr_amt,
+        count(*) FILTER (WHERE branch = '5' AND o_orderstatus = 'O') AS marg_entr_tims, count(*) AS stoc_entr_tims
+        FROM o GROUP BY 2, 3"""
+)
+FILLS_TOTAL_SQL = (
+    _ORDERS
+    + """SELECT f.branch, coalesce(o.channel, 'undefine') AS channel, count(*) AS mtch_tims,
+        CAST(sum(CAST(CAST(fill_amt AS DECIMAL(20,4)) * 7.80015 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS mtch_amt,
+        CAST(sum(commission) AS DECIMAL(38,4)) AS tot_cms
+        FROM f LEFT JOIN o ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' GROUP BY 1, 2"""
+)
+TRADE_TABLE_SQL = (
+    _ORDERS
+    + f""", e AS (SELECT branch, channel, count(*) AS entr_tims, count(DISTINCT o_custkey) AS entr_cust_nums,
+        CAST(sum(CAST(CAST(2 * price AS DECIMAL(20,4)) * 6.9876 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS entr_amt
+        FROM o WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
+    m AS (SELECT f.branch, coalesce(o.channel, 'undefine') AS channel, count(*) AS mtch_tims, count(DISTINCT l_suppkey) AS mtch_cust_nums,
+        CAST(sum(CAST(CAST(fill_amt AS DECIMAL(20,4)) * 7.80015 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS mtch_amt,
+        CAST(sum(commission) AS DECIMAL(38,4)) AS tot_cms
+        FROM f LEFT JOIN o ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' GROUP BY 1, 2)
+    SELECT {DAY} AS date_id, branch AS dept, channel AS trd_chn, coalesce(entr_tims, 0) AS entr_tims, coalesce(entr_amt, 0) AS entr_amt,
+        coalesce(entr_cust_nums, 0) AS entr_cust_nums, coalesce(mtch_tims, 0) AS mtch_tims, coalesce(mtch_amt, 0) AS mtch_amt,
+        coalesce(tot_cms, 0) AS tot_cms, coalesce(mtch_cust_nums, 0) AS mtch_cust_nums
+    FROM e FULL JOIN m USING (branch, channel)"""
+)
+OTC_TABLE_SQL = (
+    OTC_STREAM_SQL.rsplit("\nSELECT", 1)[0]
+    + " SELECT business_date AS date_id, "
+    + ", ".join(
+        f"count(*) FILTER (WHERE metric = '{k}') AS {k}_entr_tims, "
+        f"CAST(coalesce(sum(biz_amt) FILTER (WHERE metric = '{k}'), 0) AS DECIMAL(38,12)) AS {k}_mtch_amt"
+        for k in ("ins", "crrc", "not_crrc")
+    )
+    + " FROM streamed GROUP BY 1"
+)
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "stream_cold_start": (stream_cold_start, ORDERS_TOTAL_SQL),
+    "stream_trade_stat": (stream_trade_stat, TRADE_TABLE_SQL),
+    "stream_otc_stat": (stream_otc_stat, OTC_TABLE_SQL),
+    "stream_late_topic": (stream_late_topic, FILLS_TOTAL_SQL),
+    "stream_late_pending": (
+        stream_late_pending,
+        _ORDERS
+        + """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, fill_id, 5 AS attempts FROM f
+        WHERE NOT EXISTS (SELECT 1 FROM o WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')""",
+    ),
     "stream_cdc_ingest": (stream_cdc_ingest, cdc.ROUTE_SQL),
     "stream_orders_running_total": (
         stream_orders_running_total,
-        _ORDERS
-        + f"""SELECT {DAY} AS business_date, branch, channel, count(*) AS entr_tims,
-        CAST(sum(CAST(CAST(2 * price AS DECIMAL(20,4)) * 6.9876 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS entr_amt,
-        count(*) FILTER (WHERE branch = '5' AND o_orderstatus = 'O') AS marg_entr_tims, count(*) AS stoc_entr_tims
-        FROM o GROUP BY 2, 3""",
+        ORDERS_TOTAL_SQL,
     ),
     "stream_distinct_customers": (
         stream_distinct_customers,
@@ -203,11 +304,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "stream_fills_late_match": (
         stream_fills_late_match,
-        _ORDERS
-        + """SELECT f.branch, coalesce(o.channel, 'undefine') AS channel, count(*) AS mtch_tims,
-        CAST(sum(CAST(CAST(fill_amt AS DECIMAL(20,4)) * 7.80015 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS mtch_amt,
-        CAST(sum(commission) AS DECIMAL(38,4)) AS tot_cms
-        FROM f LEFT JOIN o ON o_orderkey = l_orderkey AND o_orderstatus <> 'P' GROUP BY 1, 2""",
+        FILLS_TOTAL_SQL,
     ),
     "stream_pending": (
         stream_pending,

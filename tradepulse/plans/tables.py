@@ -83,13 +83,22 @@ NAME_ORDINAL = 10
 MARGIN_FLAG = ("R",)
 
 
+# The day that rows of many dates are taken for, where ids are to meet within a day.
+ONE_DAY = 20240115
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def load_spread(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
-    """Named columns of a table for rendering or parsing text, over all cores."""
-    return spread(load(spark, sf_dir, table).select(*columns))
+    """Named columns of a table, dealt out for rendering and parsing text."""
+    return spread(load(spark, sf_dir, table).select(*columns), text_partitions(spark))
+
+
+def text_partitions(spark: SparkSession) -> int:
+    """Tasks that render and parse text: as many as the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def rate_history(spark: SparkSession) -> DataFrame:
@@ -250,10 +259,10 @@ EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def events_base(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    """Base columns of every event; ``wide`` spreads them over all cores."""
+    """Base columns of every event; ``wide`` deals them out for text work."""
     events = load(spark, sf_dir, "events").select(*EVENT_COLUMNS)
     if wide:
-        events = spread(events)
+        events = spread(events, text_partitions(spark))
     return events.selectExpr(
         "event_id",
         "ts",

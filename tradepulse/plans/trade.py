@@ -212,19 +212,29 @@ def customer_ordinals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_fills_last(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as fills of which two of an order share an id, so that ids repeat."""
     lines = T.load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey",
+        F.lit(T.ONE_DAY).alias("business_date"),
+        F.col("l_orderkey").alias("order_id"),
+        F.expr("cast(l_linenumber div 2 as int)").alias("fill_id"),
+        F.col("l_shipdate").alias("event_ts"),
+        F.col("l_partkey").alias("src_offset"),
+        "l_suppkey",
         F.col("l_extendedprice").cast(S.MONEY).alias("l_extendedprice"),
     )
-    order = [F.col(c).desc() for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
-    return D.last_per_key(lines, ["l_orderkey", "l_linenumber"], order)
+    return D.dedup_fills(lines)
 
 
 def dedup_orders_last(spark: SparkSession, sf: str) -> DataFrame:
-    """Newest order of every customer."""
-    orders = T.load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    order = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
-    return D.last_per_key(orders, ["o_custkey"], order)
+    """Orders of a customer as entries of one order id, so that ids repeat."""
+    orders = T.load(spark, sf, "orders").select(
+        F.lit(T.ONE_DAY).alias("business_date"),
+        F.col("o_custkey").alias("order_id"),
+        F.col("o_orderdate").alias("event_ts"),
+        F.col("o_orderkey").alias("src_offset"),
+        "o_orderstatus",
+    )
+    return D.dedup_orders(orders)
 
 
 def fills_legacy(spark: SparkSession, sf: str) -> DataFrame:
@@ -414,13 +424,14 @@ QUERIES = {
     ),
     "dedup_fills_last": (
         dedup_fills_last,
-        """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,4)) AS l_extendedprice
-        FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        f"""SELECT {T.ONE_DAY} AS business_date, l_orderkey AS order_id, CAST(l_linenumber // 2 AS INTEGER) AS fill_id, l_shipdate AS event_ts,
+        l_partkey AS src_offset, l_suppkey, CAST(l_extendedprice AS DECIMAL(18,4)) AS l_extendedprice
+        FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber // 2
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1""",
     ),
     "dedup_orders_last": (
         dedup_orders_last,
-        """SELECT o_custkey, o_orderkey, o_orderdate FROM orders
+        f"""SELECT {T.ONE_DAY} AS business_date, o_custkey AS order_id, o_orderdate AS event_ts, o_orderkey AS src_offset, o_orderstatus FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     ),
     "fills_legacy": (

@@ -17,6 +17,9 @@ MONEY = "decimal(18,4)"
 RATE = "decimal(15,8)"
 # sum of MONEY narrowed so that times RATE still keeps all 12 decimals
 MONEY_SUM = "decimal(22,4)"
+# Quantity times price of a usable order lies below this, as every single amount
+# does; a sum has room for ten thousand times as much.
+LARGEST_VALUE = 10**14
 CONVERTED = "decimal(38,12)"
 
 INSERT = "INSERT"
@@ -70,7 +73,8 @@ TOPICS = {
     "OFS_TOF_JJZH": "fund_account",
 }
 
-# Origin names carried by wrapped late messages.
+# Topic of wrapped late messages, and the origin names they carry.
+LATE_TOPIC = "TRADE_MONITOR_SLOW"
 LATE_ORIGINS = {
     "SECURITIES_TSSCJ": "fill",
     "SECURITIES_TYWQQ": "dept_request",

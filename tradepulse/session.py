@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,15 +30,23 @@ def build_session(app_name: str = "tradepulse", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """One temporary folder per process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="tradepulse-", ignore_cleanup_errors=True)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables and checkpoints of one run.
 
-    Lies under ``spark.checkpoint.dir``, the folder all executors share. Only a
-    local-mode session without that setting gets a temporary folder.
+    Lies under ``spark.checkpoint.dir``, the folder all executors share. Only
+    where one JVM is both driver and executor, and that setting is missing, the
+    process has a temporary folder for it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tradepulse/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"tradepulse-{name}-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    master = spark.sparkContext.master
+    if not shared and (master == "local" or master.startswith("local[")):
+        shared = _own_folder().name
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{shared.rstrip('/')}/tradepulse/{name}-{uuid.uuid4().hex}"

@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from tradepulse.schemas import RAW_SCHEMA
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than there are cores.
+def spread(scan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out to ``partitions`` tasks, where a scan has fewer splits than that.
 
-    Parsing text is the costly part of a batch, and a topic may have few
-    partitions. A scan with enough splits is left alone: it is not shuffled.
+    For files of one large split, which no reader setting can cut. Left out, the scan
+    is taken as it is; queues are cut by the reader (``min_partitions``), files by
+    ``spark.sql.files.maxPartitionBytes``.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    if partitions is None or scan.rdd.getNumPartitions() >= partitions:
+        return scan
+    return scan.repartition(partitions)
 
 
 def read_change_files(
@@ -36,8 +38,13 @@ def kafka_options(
     topics: Sequence[str],
     starting_offsets: dict[str, dict[str, int]] | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. Stored offsets seed a first start; later the checkpoint rules."""
+    """Reader options. Stored offsets seed a first start; later the checkpoint rules.
+
+    ``min_partitions`` cuts queue partitions up, so that more tasks parse than a
+    topic has partitions.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(dict.fromkeys(topics)),
@@ -46,6 +53,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -65,7 +74,8 @@ def next_offsets(ledger: DataFrame) -> dict[str, dict[str, int]]:
     One row per queue partition reaches the driver, as the reader option needs.
     """
     rows = (
-        ledger.groupBy("topic", "partition")
+        ledger.where("topic IS NOT NULL AND max_offset IS NOT NULL")
+        .groupBy("topic", "partition")
         .agg((F.max("max_offset") + 1).alias("next_offset"))
         .collect()
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import contextlib
+import datetime as dt
+import json
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from zoneinfo import ZoneInfo
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +22,11 @@ from tradepulse.operators import dedup as D
 from tradepulse.operators import enrich as J
 from tradepulse.operators import metrics as M
 from tradepulse.operators import project as P
-from tradepulse.operators.ingest import parse_envelopes
+from tradepulse.operators.ingest import parse_envelopes, unwrap_late
 from tradepulse.sources.changes import spread
 from tradepulse.sources.state import lookup_state
 from tradepulse.streaming import late as L
-from tradepulse.streaming.tables import StepTables, batch_step
+from tradepulse.streaming.tables import StepTables, step_after
 
 _COMMON = (
     "src_partition INT, src_offset BIGINT, op STRING, row_id STRING, "
@@ -39,13 +43,14 @@ PENDING_DDL = {
     kind: f"{_record_ddl(kind)}, attempts INT, first_seen TIMESTAMP"
     for kind in ("fill", "otc", "dept_request")
 }
+# Stored are a record's fields, but for those that only its first arrival is tested by.
+_NOT_STORED = {"order": {"entry_mode", "entry_operator", "report_result", "sec_class"}}
 STATE_COLUMNS = {
-    "order": "order_id STRING, customer_id STRING, branch STRING, currency STRING, channel STRING, "
-    f"qty INT, price {S.MONEY}, cancel_flag STRING, settle_type STRING",
-    "otc": "order_id STRING, customer_id STRING, biz_code STRING, proc_status STRING, "
-    f"proc_result STRING, prod_class STRING, biz_amt {S.MONEY}, reg_date STRING, prod_id STRING",
-    "dept_request": "request_id STRING, customer_id STRING, branch STRING, request_date INT, "
-    "proc_status STRING",
+    kind: ", ".join(
+        [f"{f.name} {f.type}" for f in S.FIELDS[kind] if f.name not in _NOT_STORED.get(kind, ())]
+        + (["channel STRING"] if kind == "order" else [])
+    )
+    for kind in ("order", "otc", "dept_request")
 }
 _STATE_ORDER = "event_ts TIMESTAMP, src_offset BIGINT"
 STATE_DDL = {
@@ -62,13 +67,24 @@ CUSTOMER_DDL = (
     "business_date INT, branch STRING, channel STRING, side STRING, bucket BIGINT, bits BINARY"
 )
 QUARANTINE_DDL = "topic STRING, partition INT, offset BIGINT, value STRING, reject_reason STRING"
-STATE_BUCKETS = 64
+#: Rows of compacted state that one bucket holds; how many buckets a day has follows from it.
+BUCKET_ROWS = 1_000_000
+PENDING_KINDS = ("fill", "otc", "dept_request")
+#: Tables that a step writes to, but for the ledger.
+STEP_TABLES = (
+    "delta/trade", "delta/activity", "delta/customers", "quarantine", "lookup/order",
+    *[f"state/{kind}" for kind in ("order", "otc", "dept_request")],
+    *[f"{name}/{kind}" for name in ("pending", "expired") for kind in PENDING_KINDS],
+    *[f"results/{name}" for name in ("trade", "customer", "branch", "otc")],
+)
 Typed = dict[str, DataFrame]
 STATE_KEY = {
     "order": ("business_date", "order_id"),
     "otc": ("business_date", "order_id"),
     "dept_request": ("business_date", "request_id"),
 }
+
+
 def _newest() -> list[Column]:
     return [
         F.col("step").desc(),
@@ -90,8 +106,24 @@ def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
         future.result()
 
 
-def _bucket(key: str) -> Column:
-    return F.pmod(F.hash(key), F.lit(STATE_BUCKETS)).cast("int")
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.hash(key), F.lit(buckets)).cast("int")
+
+
+@contextlib.contextmanager
+def _held() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that persists frames until the block ends, however it ends."""
+    frames: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        frames.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return frames[-1]
+
+    try:
+        yield hold
+    finally:
+        for df in frames:
+            df.unpersist()
 
 
 @dataclass
@@ -100,8 +132,11 @@ class ActivityJob:
 
     ``business_date`` fixes the day; left out, each message counts for its own
     source day. ``strict_reference`` drops unmatched branch-request updates at
-    once instead of retrying them. A batch of more than ``lookup_table_rows``
-    messages writes the orders its fills ask for to a table first.
+    once instead of retrying them. Every ``fold_every`` batches the job folds its
+    steps and drops state more than ``keep_days`` days older than ``business_date``.
+    ``publish`` writes the result tables after every batch. ``parse_partitions``
+    deals a batch out to so many tasks if its source has fewer splits. A new
+    ``checkpoint`` on the same ``root`` goes on from the totals that are there.
     """
 
     spark: SparkSession
@@ -116,10 +151,18 @@ class ActivityJob:
     otc_limit: L.RetryLimit = L.OTC_LIMIT
     request_limit: L.RetryLimit = L.REQUEST_LIMIT
     strict_reference: bool = False
-    lookup_table_rows: int = 500_000
+    late_topic: str = S.LATE_TOPIC
+    fold_every: int | None = 200
+    keep_days: int = 1
+    publish: bool = False
+    checkpoint: str | None = None
+    parse_partitions: int | None = None
 
     def __post_init__(self) -> None:
         self.tables = StepTables(self.spark, self.root)
+        self._clean = False
+        self._newest_batch: tuple[str, int] | None = None
+        self._run: str | None = None
 
     # -- running -----------------------------------------------------------
 
@@ -127,7 +170,7 @@ class ActivityJob:
         """Start on a raw stream: every ``interval``, or once over what is there."""
         writer = (
             raw.writeStream.foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.tables.root}/checkpoint")
+            .option("checkpointLocation", self._checkpoint())
         )
         if interval is None:
             return writer.trigger(availableNow=True).start()
@@ -137,11 +180,40 @@ class ActivityJob:
         """Process everything available, then stop."""
         self.start(raw).awaitTermination()
 
-    def process(self, raw: DataFrame, batch_id: int) -> None:
-        """One micro-batch; safe to repeat under the same ``batch_id``."""
-        step = batch_step(batch_id)
-        parsed = parse_envelopes(spread(raw), self.topics).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+    def _checkpoint(self) -> str:
+        return self.checkpoint or f"{self.tables.root}/checkpoint"
+
+    def run_id(self) -> str:
+        """Names the checkpoint this job runs from; batches fed by hand share one name."""
+        if self._run is None:
+            path, fs = self.tables._fs(f"{self._checkpoint()}/metadata")
+            if not fs.exists(path):
+                return "by hand"
+            self._run = json.loads(self.spark.read.text(str(path)).first()[0])["id"]
+        return self._run
+
+    def _step_for(self, run: str, batch_id: int) -> int | None:
+        """The step to write a batch under; None when it is folded already."""
+        last = self.tables.last_step()
+        if not self._clean:
+            self.tables.clear_after(last, STEP_TABLES)
+        known = self._newest_batch
+        if known is None or known[0] != run or batch_id <= known[1]:
+            step = None if last is None else self.tables.step_of(run, batch_id)
+            if step is not None:
+                base = self.tables.last_base("ledger")
+                return step if base is None or step > base else None
+        return step_after(last)
+
+    def process(self, raw: DataFrame, batch_id: int, run: str | None = None) -> None:
+        """One micro-batch; safe to repeat under the same ``run`` and ``batch_id``."""
+        run = run or self.run_id()
+        step = self._step_for(run, batch_id)
+        if step is None:
+            return
+        self._clean = False
+        with _held() as hold:
+            parsed = hold(parse_envelopes(spread(raw, self.parse_partitions), self.topics))
             # one row per queue partition and kind
             summary = parsed.groupBy("topic", "partition", "kind").agg(
                 F.min("offset").alias("min_offset"),
@@ -152,25 +224,38 @@ class ActivityJob:
             ).collect()
             kinds = {row["kind"] for row in summary if row["kind"]}
             clocks = [row["clock"] for row in summary if row["clock"] is not None]
-            clock = F.lit(max(clocks)) if clocks else None
-            large = sum(row["n"] for row in summary) > self.lookup_table_rows
-            self._step(parsed, step, kinds, clock, large)
-            self._commit(step, [tuple(r)[:2] + tuple(r)[3:6] for r in summary])
-        finally:
-            parsed.unpersist()
+            late = None
+            if any((row["topic"] or "").upper() == self.late_topic.upper() for row in summary):
+                late = hold(unwrap_late(parsed, self.late_topic))
+            self._step(parsed, late, step, kinds, max(clocks, default=None))
+            self._commit(step, [tuple(r)[:2] + tuple(r)[3:6] for r in summary], run, batch_id)
+        self._clean, self._newest_batch = True, (run, batch_id)
+        if self.publish:
+            self.publish_results(step)
+        if self.fold_every is not None and step - (self.tables.last_base("ledger") or 0) >= 2 * self.fold_every:
+            self.compact()
+            if self.business_date is not None:
+                day = dt.datetime.strptime(str(self.business_date), "%Y%m%d")
+                self.expire(int((day - dt.timedelta(days=self.keep_days)).strftime("%Y%m%d")))
 
     def drain(self) -> None:
-        """End of day: count waiting fills under the default channel, drop the rest."""
+        """End of day: count waiting fills under the default channel, give the rest up."""
         last = self.tables.last_step()
         if last is None or last % 2:
             return
-        self._step(None, last + 1, set(), None, large=True, final=True)
-        self._commit(last + 1, [])
-
-    def _commit(self, step: int, offsets: list[tuple]) -> None:
-        rows = offsets or [(None, None, None, None, 0)]
+        if not self._clean:
+            self.tables.clear_after(last, STEP_TABLES)
+        self._clean = False
+        self._step(None, None, last + 1, set(), None, final=True)
+        self._commit(last + 1, [], None, None)
+        self._clean = True
+        if self.publish:
+            self.publish_results(last + 1)
+
+    def _commit(self, step: int, offsets: list[tuple], run: str | None, batch: int | None) -> None:
+        rows = [(*row, run, batch) for row in offsets or [(None, None, None, None, 0)]]
         ledger = self.spark.createDataFrame(
-            rows, "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT"
+            rows, "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT, run STRING, batch BIGINT"
         ).withColumn("committed_at", F.current_timestamp())
         self.tables.write(ledger.coalesce(1), "ledger", step)
 
@@ -182,29 +267,48 @@ class ActivityJob:
     def _step(
         self,
         parsed: DataFrame | None,
+        late: DataFrame | None,
         step: int,
         kinds: set[str],
-        clock: Column | None,
-        large: bool,
+        newest: dt.datetime | None,
         final: bool = False,
     ) -> None:
         typed: Typed = {}
+        requeued: Typed = {}
+        clock = None if newest is None else F.lit(newest)
         writes = [
-            lambda: self._trade(typed, step, clock, large, final),
-            lambda: self._activity(typed, step, clock, final),
+            lambda: self._trade(typed, requeued, step, clock, final),
+            lambda: self._activity(typed, requeued, step, clock, final),
         ]
         if parsed is not None:
-            bad = P.rejected(parsed)
+            bad = P.rejected(parsed.where(F.upper("topic") != self.late_topic.upper()))
             for kind in sorted(kinds):
                 typed[kind] = P.typed_records(parsed, kind, self.business_date, self.zone)
                 bad = bad.unionByName(P.rejected(typed[kind]))
+            if late is not None:
+                day = self.business_date or self._day(newest)
+                bad = bad.unionByName(P.rejected(late))
+                for kind in PENDING_KINDS:
+                    requeued[kind] = P.late_records(late, kind, day)
+                    bad = bad.unionByName(P.rejected(P.typed_records(late, kind, day, path="$.BASERECORD")))
             writes.append(lambda: self.tables.write(bad, "quarantine", step))
         _together(self.spark, *writes)
 
-    def _pending(self, kind: str, step: int) -> DataFrame | None:
+    def _day(self, newest: dt.datetime | None) -> int:
+        """Day of the newest source time of a batch; wrapped records carry none themselves."""
+        moment = dt.datetime.now(dt.UTC) if newest is None else newest.astimezone()
+        return int(moment.astimezone(ZoneInfo(self.zone)).strftime("%Y%m%d"))
+
+    def _pending(self, kind: str, step: int, requeued: Typed, keys: list[str]) -> DataFrame | None:
+        """What waits from the step before, and what a former deployment re-queued."""
         previous = self.tables.last_step(before=step)
         waiting = self.tables.read_step(f"pending/{kind}", PENDING_DDL[kind], previous)
-        return None if waiting is None or waiting.isEmpty() else waiting
+        waiting = None if waiting is None or waiting.isEmpty() else waiting
+        if kind not in requeued:
+            return waiting
+        late = self._pending_rows(requeued[kind].withColumn("first_seen", F.col("event_ts")), kind)
+        both = late if waiting is None else waiting.unionByName(late)
+        return D.last_per_key(both, keys, [F.col("event_ts").desc_nulls_last(), F.col("attempts").desc()])
 
     def _store(self, kind: str, rows: DataFrame, step: int) -> None:
         names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
@@ -214,91 +318,99 @@ class ActivityJob:
         """Newest stored row of each key the batch asks for.
 
         Compacted state is partitioned by day and key bucket: only partitions
-        that a wanted key falls in are read. Later steps are read whole.
+        that a wanted key falls in are read. Of later steps, the wanted days are.
         """
         keys = STATE_KEY[kind]
         table = f"state/{kind}"
         base = self.tables.last_base(table)
-        state = self.tables.read(table, STATE_DDL[kind], upto=step, after=base)
+        buckets = 1 if base is None else self._buckets(kind, base)
+        # the days of a batch, and at most as many buckets as the base has
+        parts = wanted.select("business_date", _bucket(keys[-1], buckets).alias("bucket")).distinct().collect()
+        days = sorted({r[0] for r in parts if r[0] is not None})
+        state = self.tables.read(table, STATE_DDL[kind], upto=step, after=base).where(F.col("business_date").isin(days))
         if base is not None:
-            bucket = _bucket(keys[-1])
-            # at most STATE_BUCKETS rows per day
-            parts = wanted.select("business_date", bucket.alias("bucket")).distinct().collect()
-            days = sorted({r[0] for r in parts if r[0] is not None})
-            buckets = sorted({r[1] for r in parts if r[1] is not None})
+            wanted_buckets = sorted({r[1] for r in parts if r[1] is not None})
             stored = self._base_state(kind, base).where(
-                F.col("business_date").isin(days) & F.col("bucket").isin(buckets)
+                F.col("business_date").isin(days) & F.col("bucket").isin(wanted_buckets)
             )
             state = state.unionByName(stored.drop("bucket"))
         return lookup_state(state, wanted, keys, _newest()).drop("step", "event_ts", "src_offset")
 
+    def _buckets(self, kind: str, base: int) -> int:
+        """Key buckets of a base, as written beside it."""
+        return self.tables.read_step(f"buckets/{kind}", "buckets INT", base).first()[0]
+
     def _base_state(self, kind: str, base: int) -> DataFrame:
         rows = self.tables.read_step(f"base/state/{kind}", f"{STATE_DDL[kind]}, bucket INT", base)
         return rows.withColumn("step", F.lit(base).cast("bigint"))
 
     def _trade(
-        self, typed: Typed, step: int, clock: Column | None, large: bool, final: bool
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool
     ) -> None:
         trade_parts: list[DataFrame] = []
         seen: list[DataFrame] = []
-        held: list[DataFrame] = []
         writes: list[Callable[[], None]] = []
-        orders = self._records(typed, "order")
-        if orders is not None:
-            orders = D.dedup_orders(orders).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(orders)
-            self._store("order", orders, step)
-            trade_parts.append(M.order_metrics(orders, self.rates))
-            seen.append(orders.select(*C.TRADE_KEYS, "customer_id", F.lit("order").alias("side")))
-
-        fresh = self._records(typed, "fill")
-        fresh = None if fresh is None else D.dedup_fills(fresh)
-        waiting = self._pending("fill", step)
-        fills = L.candidates(fresh, waiting, ["business_date", "order_id", "fill_id"])
-        if fills is not None:
-            if fresh is not None:
-                fills = fills.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(fills)
-            stored = self._stored("order", fills, step)
-            if large:
+        with _held() as hold:
+            orders = self._records(typed, "order")
+            if orders is not None:
+                orders = hold(D.dedup_orders(orders))
+                self._store("order", orders, step)
+                trade_parts.append(M.order_metrics(orders, self.rates))
+                seen.append(orders.select(*C.TRADE_KEYS, "customer_id", F.lit("order").alias("side")))
+
+            fresh = self._records(typed, "fill")
+            fresh = None if fresh is None else D.dedup_fills(fresh)
+            keys = ["business_date", "order_id", "fill_id"]
+            waiting = self._pending("fill", step, requeued, keys)
+            fills = L.candidates(fresh, waiting, keys)
+            if fills is not None:
+                fills = hold(fills)
                 # many fills may be of one order: adaptive execution splits them
                 # only if the other side is a plain scan and not a ranking
-                self.tables.write(stored, "lookup/order", step)
-                stored = self.spark.read.schema(stored.schema).parquet(
+                stored = self._stored("order", fills, step)
+                self.tables.write(stored.select(*STATE_KEY["order"], "channel"), "lookup/order", step)
+                stored = self.spark.read.schema("business_date INT, order_id STRING, channel STRING").parquet(
                     self.tables.path("lookup/order", step)
                 )
-            tried = J.match_fills(fills, stored, STATE_KEY["order"]).persist(
-                StorageLevel.MEMORY_AND_DISK
-            )
-            held.append(tried)
-            counts = F.col("matched") | (F.lit(True) if final else L.gave_up(self.fill_limit, clock))
-            ready = tried.where(counts)
-            trade_parts.append(M.fill_metrics(ready, self.rates))
-            seen.append(ready.select(*C.TRADE_KEYS, "customer_id", F.lit("fill").alias("side")))
-            left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
-            writes.append(lambda: self.tables.write(left, "pending/fill", step))
-
-        if trade_parts:
-            delta = trade_parts[0]
-            people = seen[0]
-            for part, who in zip(trade_parts[1:], seen[1:]):
-                delta = delta.unionByName(part, allowMissingColumns=True)
-                people = people.unionByName(who)
-            totals = M.sum_measures(delta, M.TRADE_KEYS)
-            bitmaps = C.customer_bitmaps(people, CUSTOMER_KEYS)
-            writes.append(lambda: self.tables.write(totals, "delta/trade", step))
-            writes.append(lambda: self.tables.write(bitmaps, "delta/customers", step))
-        _together(self.spark, *writes)
-        for df in held:
-            df.unpersist()
+                tried = hold(J.match_fills(fills, stored, STATE_KEY["order"]))
+                counts = F.col("matched") | (F.lit(True) if final else L.gave_up(self.fill_limit, clock))
+                ready = tried.where(counts)
+                trade_parts.append(M.fill_metrics(ready, self.rates))
+                seen.append(ready.select(*C.TRADE_KEYS, "customer_id", F.lit("fill").alias("side")))
+                left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
+                writes.append(lambda: self.tables.write(left, "pending/fill", step))
+
+            if trade_parts:
+                delta = trade_parts[0]
+                people = seen[0]
+                for part, who in zip(trade_parts[1:], seen[1:]):
+                    delta = delta.unionByName(part, allowMissingColumns=True)
+                    people = people.unionByName(who)
+                totals = M.sum_measures(delta, M.TRADE_KEYS)
+                bitmaps = C.customer_bitmaps(people, CUSTOMER_KEYS)
+                writes.append(lambda: self.tables.write(totals, "delta/trade", step))
+                writes.append(lambda: self.tables.write(bitmaps, "delta/customers", step))
+            _together(self.spark, *writes)
 
     def _pending_rows(self, rows: DataFrame, kind: str) -> DataFrame:
         names = [part.split()[0] for part in PENDING_DDL[kind].split(", ")]
         return rows.select(*names)
 
-    def _activity(self, typed: Typed, step: int, clock: Column | None, final: bool) -> None:
+    def _activity(
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool
+    ) -> None:
+        with _held() as hold:
+            parts = self._plain_activity(typed)
+            parts += self._requests(typed, requeued, step, clock, final, hold)
+            parts += self._otc(typed, requeued, step, clock, final, hold)
+            if parts:
+                delta = parts[0]
+                for part in parts[1:]:
+                    delta = delta.unionByName(part)
+                self.tables.write(M.activity_totals(delta), "delta/activity", step)
+
+    def _plain_activity(self, typed: Typed) -> list[DataFrame]:
         parts: list[DataFrame] = []
-        held: list[DataFrame] = []
         customers = self._records(typed, "customer")
         if customers is not None:
             parts.append(
@@ -315,81 +427,78 @@ class ActivityJob:
             opened = self._records(typed, kind)
             if opened is not None:
                 parts.append(M.activity(M.count_rows(opened), kind))
-        parts += self._requests(typed, step, clock, final, held)
-        parts += self._otc(typed, step, clock, final, held)
-        if parts:
-            delta = parts[0]
-            for part in parts[1:]:
-                delta = delta.unionByName(part)
-            self.tables.write(M.activity_totals(delta), "delta/activity", step)
-        for df in held:
-            df.unpersist()
+        return parts
 
     def _requests(
-        self, typed: Typed, step: int, clock: Column | None, final: bool, held: list[DataFrame]
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
+        hold: Callable[[DataFrame], DataFrame],
     ) -> list[DataFrame]:
         parts: list[DataFrame] = []
         updates = None
         requests = self._records(typed, "dept_request")
         if requests is not None:
-            requests = D.dedup_requests(requests).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(requests)
+            requests = hold(D.dedup_requests(requests))
             inserts, updates = P.split_by_op(requests)
             self._store("dept_request", inserts, step)
             deals = M.request_deals(inserts)
             parts.append(M.activity(deals, "deal", branch=F.col("branch")))
             updates = M.request_update_candidates(updates)
-        waiting = self._pending("dept_request", step)
-        tries = L.candidates(updates, waiting, ["business_date", "request_id"])
+        keys = ["business_date", "request_id"]
+        waiting = self._pending("dept_request", step, requeued, keys)
+        tries = L.candidates(updates, waiting, keys)
         if tries is None:
             return parts
         stored = self._stored("dept_request", tries, step)
         keep = ("branch", "customer_id", "request_date")
         named = tries.withColumnsRenamed({c: f"own_{c}" for c in keep})
-        tried = J.enrich_request_updates(named, stored, STATE_KEY["dept_request"]).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        held.append(tried)
+        tried = hold(J.enrich_request_updates(named, stored, STATE_KEY["dept_request"]))
         deals = M.count_rows(tried.where(M.is_request_deal()), ("business_date", "branch"))
         parts.append(M.activity(deals, "deal", branch=F.col("branch")))
         give_up = F.lit(True) if final or self.strict_reference else L.gave_up(self.request_limit, clock)
-        left = tried.where(~F.col("matched") & ~give_up)
+        left = tried.where(~F.col("matched"))
         left = left.drop(*keep).withColumnsRenamed({f"own_{c}": c for c in keep})
-        left = L.next_attempt(left)
-        self.tables.write(self._pending_rows(left, "dept_request"), "pending/dept_request", step)
+        self._put_back(left, give_up, "dept_request", step)
         return parts
 
     def _otc(
-        self, typed: Typed, step: int, clock: Column | None, final: bool, held: list[DataFrame]
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
+        hold: Callable[[DataFrame], DataFrame],
     ) -> list[DataFrame]:
         parts: list[DataFrame] = []
         updates = None
         otc = self._records(typed, "otc")
         if otc is not None:
-            otc = D.dedup_otc(otc).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(otc)
+            otc = hold(D.dedup_otc(otc))
             inserts, updates = P.split_by_op(otc)
             self._store("otc", inserts, step)
             outcomes = M.outcome_totals(M.otc_insert_outcomes(inserts, self.products))
             parts.append(M.activity(outcomes, F.col("metric"), F.col("amount")))
             updates = M.otc_update_candidates(updates)
-        waiting = self._pending("otc", step)
-        tries = L.candidates(updates, waiting, ["business_date", "order_id"])
+        keys = ["business_date", "order_id"]
+        waiting = self._pending("otc", step, requeued, keys)
+        tries = L.candidates(updates, waiting, keys)
         if tries is None:
             return parts
         stored = self._stored("otc", tries, step)
-        tried = J.enrich_otc_updates(tries, stored, STATE_KEY["otc"]).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        held.append(tried)
+        tried = hold(J.enrich_otc_updates(tries, stored, STATE_KEY["otc"]))
         outcomes = M.outcome_totals(M.otc_update_outcomes(tried))
         parts.append(M.activity(outcomes, F.col("metric"), F.col("amount")))
         give_up = F.lit(True) if final else L.gave_up(self.otc_limit, clock)
         # an unmatched record has nothing filled in, so it is re-queued as it came
-        left = tried.where(M.otc_update_outcome().isNull() & ~F.col("matched") & ~give_up)
-        self.tables.write(self._pending_rows(L.next_attempt(left), "otc"), "pending/otc", step)
+        left = tried.where(M.otc_update_outcome().isNull() & ~F.col("matched"))
+        self._put_back(left, give_up, "otc", step)
         return parts
 
+    def _put_back(self, left: DataFrame, give_up: Column, kind: str, step: int) -> None:
+        """Unmatched records wait for the next batch, or are kept as expired."""
+        again = self._pending_rows(L.next_attempt(left.where(~give_up)), kind)
+        over = self._pending_rows(left.where(give_up), kind)
+        _together(
+            self.spark,
+            lambda: self.tables.write(again, f"pending/{kind}", step),
+            lambda: self.tables.write(over, f"expired/{kind}", step),
+        )
+
     # -- reading results ------------------------------------------------------
 
     def trade_rows(self) -> DataFrame:
@@ -422,6 +531,42 @@ class ActivityJob:
     def otc_day_stats(self) -> DataFrame:
         return M.otc_day_stats(self.activity_rows())
 
+    # Column names of the result tables.
+    def trade_result(self) -> DataFrame:
+        """Trade totals and distinct customers on one row per day, branch and channel."""
+        both = self.trade_stats().join(self.customer_stats(), list(M.TRADE_KEYS), "left")
+        names = {"business_date": "date_id", "branch": "dept", "channel": "trd_chn"}
+        people = {c: F.coalesce(c, F.lit(0)) for c in ("entr_cust_nums", "mtch_cust_nums")}
+        return both.withColumns(people).withColumnsRenamed(names)
+
+    def results(self) -> dict[str, DataFrame]:
+        """The result tables as of the last step, one row per key, with their write time."""
+        tables = {
+            "trade": self.trade_result(), "customer": self.customer_day_stats(),
+            "branch": self.branch_day_stats(), "otc": self.otc_day_stats(),
+        }
+        return {name: df.withColumn("stat_time", E.stat_time()) for name, df in tables.items()}
+
+    def publish_results(self, step: int) -> None:
+        """Write the result tables; the newest step of each is the current one."""
+        writes = [
+            lambda name=name, df=df: self.tables.write(df.coalesce(1), f"results/{name}", step)
+            for name, df in self.results().items()
+        ]
+        _together(self.spark, *writes)
+        for name in self.results():
+            for old in self.tables.steps(f"results/{name}"):
+                if old < step:
+                    self.tables.clear(f"results/{name}", old)
+
+    def published(self, name: str) -> DataFrame:
+        """A result table as last published."""
+        return self.spark.read.parquet(self.tables.path(f"results/{name}", self.tables.steps(f"results/{name}")[-1]))
+
+    def expired(self, kind: str) -> DataFrame:
+        """Records whose tries ran out without a match."""
+        return self.tables.read(f"expired/{kind}", PENDING_DDL[kind], upto=self.tables.last_step() or 0)
+
     def waiting(self, kind: str) -> DataFrame:
         """Records still waiting for a match after the last step."""
         rows = self.tables.read_step(
@@ -444,29 +589,42 @@ class ActivityJob:
     def quarantined(self) -> DataFrame:
         return self.tables.committed("quarantine", QUARANTINE_DDL)
 
-    # -- housekeeping (between runs) ----------------------------------------
+    # -- housekeeping --------------------------------------------------------
 
     def compact(self) -> None:
-        """Fold all committed steps into one base per table."""
+        """Fold all committed steps into one base per table.
+
+        The job does this itself every ``fold_every`` batches. State lies by day and
+        key bucket; the number of buckets follows from the rows and is written
+        beside the base, and a large bucket is several files.
+        """
         last = self.tables.last_step()
-        if last is None:
+        if last is None or self.tables.last_base("ledger") == last:
             return
         trade = M.sum_measures(self.trade_rows(), M.TRADE_KEYS)
         self.tables.compact("delta/trade", trade, last)
         self.tables.compact("delta/activity", M.activity_totals(self.activity_rows()), last)
         bits = self.tables.committed("delta/customers", CUSTOMER_DDL)
         self.tables.compact("delta/customers", C.merge_bitmaps(bits, CUSTOMER_KEYS), last)
+        self.tables.compact("quarantine", self.quarantined().drop("step"), last)
         for kind, keys in STATE_KEY.items():
-            rows = self._state_rows(kind).drop("step").withColumn("bucket", _bucket(keys[-1]))
-            # one file per day and bucket
-            rows = rows.repartition("business_date", "bucket")
+            rows = self._state_rows(kind).drop("step")
+            days = rows.groupBy("business_date").count().agg(F.max("count")).first()[0] or 1
+            buckets = -(-days // BUCKET_ROWS)
+            counted = self.spark.range(1).select(F.lit(buckets).cast("int").alias("buckets"))
+            self.tables.write(counted.coalesce(1), f"buckets/{kind}", last)
+            rows = rows.withColumn("bucket", _bucket(keys[-1], buckets))
+            rows = rows.hint("rebalance", F.col("business_date"), F.col("bucket"))
             self.tables.compact(f"state/{kind}", rows, last, ["business_date", "bucket"])
-        # a replay of the last step reads what the step before it left waiting
-        needed = self.tables.last_step(before=last)
-        for table in ("lookup/order", *[f"pending/{kind}" for kind in PENDING_DDL]):
+            for step in self.tables.steps(f"buckets/{kind}"):
+                if step < last:
+                    self.tables.clear(f"buckets/{kind}", step)
+        # the next step reads what the last one left waiting
+        for table in ("lookup/order", *[f"pending/{kind}" for kind in PENDING_KINDS]):
             for step in self.tables.steps(table):
-                if needed is not None and step < needed:
+                if step < last:
                     self.tables.clear(table, step)
+        self.tables.compact("ledger", self.tables.ledger().drop("step"), last)
 
     def expire(self, before_day: int) -> int:
         """Drop stored state of days before ``before_day``; returns dropped partitions."""

@@ -1,9 +1,11 @@
 """Result and state tables of the streaming job: plain parquet, one folder per step.
 
 A step is one micro-batch (even numbers) or the drain after it (odd numbers).
-Everything a step writes lies in its own folder in overwrite mode, so a replayed
-step rewrites the same files. The ledger row is written last; readers see only
-steps up to the newest ledger row.
+Steps are numbered on from the last committed one, whichever run wrote it: a run is
+one checkpoint, and a micro-batch is known by its run and number. Everything a step
+writes lies in its own folder in overwrite mode, so a replayed step rewrites the same
+files. The ledger row is written last; readers see only steps up to the newest ledger
+row, and what a failed step left beyond it is cleared before the next one.
 """
 
 from __future__ import annotations
@@ -13,11 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEDGER_DDL = "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT, committed_at TIMESTAMP"
+LEDGER_DDL = (
+    "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT, "
+    "run STRING, batch BIGINT, committed_at TIMESTAMP"
+)
 
 
-def batch_step(batch_id: int) -> int:
-    return 2 * batch_id
+def step_after(last: int | None) -> int:
+    """The step of the next micro-batch."""
+    return 0 if last is None else 2 * (last // 2 + 1)
 
 
 class StepTables:
@@ -79,12 +85,24 @@ class StepTables:
         return self.spark.read.schema(ddl).parquet(self.path(table, step))
 
     def ledger(self) -> DataFrame:
-        return self.read("ledger", LEDGER_DDL)
+        return self.committed("ledger", LEDGER_DDL)
 
     def last_step(self, before: int | None = None) -> int | None:
-        """Newest committed step, from the ledger's folder names."""
-        done = [s for s in self.steps("ledger") if before is None or s < before]
-        return done[-1] if done else None
+        """Newest committed step, from folder names; folded steps stay named by their base."""
+        done = [s for t in ("ledger", "base/ledger") for s in self.steps(t) if before is None or s < before]
+        return max(done, default=None)
+
+    def step_of(self, run: str, batch: int) -> int | None:
+        """The committed step of a micro-batch, if there is one."""
+        rows = self.ledger().where((F.col("run") == run) & (F.col("batch") == batch))
+        return rows.agg(F.max("step")).first()[0]
+
+    def clear_after(self, step: int | None, tables: Sequence[str]) -> None:
+        """Drop what steps without a ledger row have left."""
+        for table in tables:
+            for found in self.steps(table):
+                if step is None or found > step:
+                    self.clear(table, found)
 
     def last_base(self, table: str) -> int | None:
         """Newest completely written compaction of a table."""
@@ -114,9 +132,8 @@ class StepTables:
         The base is complete before anything is deleted; from then on readers
         skip the steps it covers, deleted or not.
         """
-        if self.last_base(table) == upto:
-            return
-        self.write(merged, f"base/{table}", upto, partition_by)
+        if self.last_base(table) != upto:
+            self.write(merged, f"base/{table}", upto, partition_by)
         for step in self.steps(table):
             if step <= upto:
                 self.clear(table, step)
