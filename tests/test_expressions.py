@@ -1,3 +1,4 @@
+import json
 from decimal import Decimal
 
 import pytest
@@ -121,3 +122,30 @@ def test_classify_and_table_agree(spark, tmp_path):
         map(str, ((a, b, o) for (a, b), o in zip([tuple(r) for r in df.collect()], expected)))
     )
     assert values(df.select(classify({}).alias("out"))) == ["qt"] * 6
+
+
+def test_long_customer_ids_stay_apart(spark):
+    ids = ["0001" + f"{n:021d}" for n in (17, 18)] + ["0001", "00019" * 8, "0001x", None]
+    df = spark.createDataFrame([(i,) for i in ids], "c STRING")
+    rows = df.select(
+        E.customer_ordinal("c").alias("n"), E.bad_customer_id("c").alias("bad"), F.expr(E.bad_customer_id_sql("c")).alias("bad_sql")
+    ).collect()
+    assert [r["n"] for r in rows] == [17, 18, None, None, None, None]
+    assert [r["bad"] for r in rows] == [r["bad_sql"] for r in rows] == [False, False, False, True, True, None]
+
+
+def test_long_rule_sets_keep_file_order(spark, tmp_path):
+    rules = {"a": [{"f": [f"v{i}"]} for i in range(100_002)], "b": [{"f": ["v100001"]}]}
+    rules |= {f"c{i}": [{"f": ["w"]}] for i in range(21_600)}
+    (tmp_path / "rules.json").write_text(json.dumps(rules))
+    table = rule_table(spark, str(tmp_path / "rules.json"), "r")
+    df = spark.createDataFrame([("v100001",), ("w",), ("none",)], "f STRING")
+    got = {r["f"]: r["channel"] for r in classify_by_table(df, table, ["f"]).collect()}
+    assert got == {"v100001": "a", "w": "c0", "none": "qt"}
+
+
+def test_several_rule_files_are_refused(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text("{}")
+    with pytest.raises(ValueError, match="several"):
+        read_rules(spark, str(tmp_path))

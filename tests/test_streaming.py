@@ -227,3 +227,78 @@ def test_idle_day_leaves_no_customer_row(spark):
     rows = spark.sql("SELECT 20240115 AS business_date, '' AS branch, 'ins' AS metric, 1L AS n, CAST(1 AS DECIMAL(38,12)) AS amount")
     assert M.customer_day_stats(rows).count() == 0
     assert M.otc_day_stats(rows).count() == 1
+
+
+def test_new_checkpoint_goes_on_from_the_totals(make_job):
+    """Batches of another run get steps of their own, folded before or not."""
+    for fold in (False, True):
+        job = make_job()
+        job.process(raw(job.spark, [order(1)]), 0, run="first")
+        if fold:
+            job.compact()
+        again = ActivityJob(job.spark, job.root, job.rates, job.products, job.rules, business_date=DAY)
+        again.process(raw(job.spark, [order(2, offset=1, YYB="B09")]), 0, run="second")
+        again.process(raw(job.spark, [order(2, offset=1, YYB="B09")]), 0, run="second")
+        again.process(raw(job.spark, [order(1)]), 0, run="first")
+        assert {k[0]: v[0] for k, v in trade(again).items()} == {"B01": 1, "B09": 1}
+
+
+def test_drain_that_fails_before_its_ledger_row_leaves_nothing(make_job, monkeypatch):
+    job = make_job()
+    feed(job, [fill(5)])
+    with monkeypatch.context() as patch:
+        patch.setattr(ActivityJob, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            job.drain()
+    job.process(raw(job.spark, [order(5, offset=1)]), 1)
+    assert {k[1]: v[1] for k, v in trade(job).items() if v[1]} == {"app": 1}
+
+
+def test_offsets_after_a_drain_and_an_empty_batch(make_job):
+    job = make_job()
+    feed(job, [order(1, offset=4)], [])
+    job.drain()
+    assert next_offsets(job.tables.ledger()) == {"SECURITIES_TDRWT": {"0": 5}}
+
+
+def test_a_value_out_of_range_is_set_aside_alone(make_job):
+    job = make_job()
+    feed(job, [order(1), order(2, 1, WTSL="2000000000", WTJG="99999999999999"), order(3, 2, WTJG="1.23456"), order(4, 3)])
+    assert trade(job)[("B01", "app")][0] == 2
+    assert {r["reject_reason"] for r in job.quarantined().collect()} == {"too_large", "too_precise"}
+
+
+def test_records_that_gave_up_are_kept(make_job):
+    job = make_job(otc_limit=RetryLimit(1), request_limit=RetryLimit(1))
+    feed(job, [request("Q", "UPDATE", 1), otc(8, "UPDATE", 2, YWDM="DROP", CLJG="DROP")], [idle(1)], [idle(2)])
+    assert [(r["request_id"], r["attempts"]) for r in job.expired("dept_request").collect()] == [("Q", 1)]
+    assert [r["order_id"] for r in job.expired("otc").collect()] == ["8"]
+    assert job.waiting("otc").count() == job.waiting("dept_request").count() == 0
+
+
+def test_job_folds_and_expires_by_itself(make_job):
+    job = make_job(fold_every=2, publish=True)
+    feed(job, [request("Q1", "INSERT", 1)], [order(1)], [order(2, 1)], [fill(1)], [fill(2, "2", 3)])
+    assert len(job.tables.steps("ledger")) <= 2 and job.tables.last_step() == 8
+    assert {k: v[:2] for k, v in trade(job).items()} == {("B01", "app"): (2, 0), ("B02", "app"): (0, 2)}
+    row = job.published("trade").where("dept = 'B02'").first()
+    assert (row["mtch_tims"], row["mtch_cust_nums"], row["entr_cust_nums"]) == (2, 1, 0) and row["stat_time"]
+    assert next_offsets(job.tables.ledger())["SECURITIES_TDRWT"] == {"0": 2}
+
+
+def test_hot_order_is_split_through_the_job(spark, make_job):
+    """Every batch looks its orders up in a written table, so its join can be split."""
+    job = make_job()
+    feed(job, [order(7)], [fill(7, str(i), i) for i in range(50)])
+    assert job.tables.exists("lookup/order", 2)
+    assert trade(job)[("B02", "app")][1] == 50
+
+
+def test_timed_trigger(spark, make_job):
+    landing = work_folder(spark, "timed")
+    raw(spark, [order(1), order(2, 1)]).write.parquet(landing)
+    job = make_job()
+    query = job.start(read_change_files(spark, landing), interval="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert trade(job)[("B01", "app")][0] == 2
