@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ MALFORMED = "malformed_json"
 UNKNOWN_TOPIC = "unknown_topic"
 BAD_SOURCE_TIME = "bad_source_time"
 
+# Where a message came from, and its text.
+ORIGIN = ("topic", "partition", "offset", "value")
 _PARSE_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt_record"}
 
 
@@ -31,20 +33,25 @@ def parse_envelopes(
     raw: DataFrame,
     topics: Mapping[str, str] = S.TOPICS,
     before: bool = False,
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per non-empty message, with its fields as a narrow struct.
 
+    ``kinds`` parses messages of those kinds alone, and of them only their own fields.
+
     Columns: topic, partition, offset, value, kind, op, row_id, event_ts, after,
     before (if asked for) and reject_reason, null when the message is usable.
     The text is parsed once: the generator keeps filters above it from
     repeating the parse.
     """
-    parsed = F.from_json("value", S.envelope_ddl(before), _PARSE_OPTIONS)
-    rows = drop_empty(raw).select(
-        "topic", "partition", "offset", "value", F.inline(F.array(parsed))
-    )
-    kinds = rows.selectExpr(
-        *["topic", "partition", "offset", "value"],
+    parsed = F.from_json("value", S.envelope_ddl(before, kinds), _PARSE_OPTIONS)
+    rows = drop_empty(raw)
+    if kinds is not None:
+        own = [name.upper() for name, kind in topics.items() if kind in kinds]
+        rows = rows.where(F.upper("topic").isin(own))
+    rows = rows.select(*ORIGIN, F.inline(F.array(parsed)))
+    kinds_of = rows.selectExpr(
+        *ORIGIN,
         f"{_kind('topic', topics)} AS kind",
         "optype AS op",
         "rowid AS row_id",
@@ -56,7 +63,7 @@ def parse_envelopes(
     reason = f"""CASE WHEN kind IS NULL THEN '{UNKNOWN_TOPIC}'
         WHEN malformed THEN '{MALFORMED}'
         WHEN kind IN {S.TIMED_KINDS} AND event_ts IS NULL THEN '{BAD_SOURCE_TIME}' END"""
-    return kinds.withColumn("reject_reason", F.expr(reason)).drop("malformed")
+    return kinds_of.withColumn("reject_reason", F.expr(reason)).drop("malformed")
 
 
 def route(parsed: DataFrame, kind: str) -> DataFrame:
@@ -85,14 +92,15 @@ def unwrap_late(
         "topic", "partition", "offset", text.alias("value"), F.inline(F.array(parsed))
     )
     return rows.selectExpr(
-        *["topic", "partition", "offset", "value"],
+        *ORIGIN,
         f"{_kind('ORIGINTOPIC', origins)} AS kind",
         "CAST(NULL AS TIMESTAMP) AS event_ts",
         "BASERECORD AS after",
         "try_cast(coalesce(BASERECORD.VERSION, '0') AS INT) AS attempts",
         "_corrupt_record IS NOT NULL AS malformed",
     ).selectExpr(
-        *["topic", "partition", "offset", "value", "kind"],
+        *ORIGIN,
+        "kind",
         f"CASE WHEN kind = 'fill' THEN '{S.INSERT}' ELSE '{S.UPDATE}' END AS op",
         "CASE WHEN kind <> 'fill' THEN 'late' END AS row_id",
         "event_ts",

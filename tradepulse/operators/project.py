@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradepulse import schemas as S
 from tradepulse.functions import expressions as E
 from tradepulse.functions.rules import Rules, classify
-from tradepulse.operators.ingest import route
+from tradepulse.operators.ingest import ORIGIN, route
 
 BAD_NUMBER = "bad_number"
 NULL_FIELD = "null_field"
@@ -17,7 +17,6 @@ BAD_ORDER = "bad_order_id"
 TOO_LARGE = "too_large"
 TOO_PRECISE = "too_precise"
 
-_ORIGIN = ("topic", "partition", "offset", "value")
 
 
 def _text(field: S.Field, keys: str) -> str:
@@ -37,6 +36,18 @@ def _text(field: S.Field, keys: str) -> str:
     )
 
 
+def _typed(field: S.Field) -> str:
+    """Name of a number before its reject reason is known."""
+    return field.name if field.type == "string" else f"_{field.name}"
+
+
+def _loses_decimals(field: S.Field) -> str:
+    """More decimals than an amount keeps; the text is cast again only if it is long behind the point."""
+    text = field.name
+    long = f"(instr({text}, '.') > 0 AND length({text}) - instr({text}, '.') > 4) OR lower({text}) LIKE '%e%'"
+    return f"(({long}) AND try_cast({text} AS DECIMAL(38,20)) <> {_typed(field)})"
+
+
 def _reject_reason(kind: str) -> str:
     """Why a typed record cannot be used, as SQL; null when it can."""
     fields = S.FIELDS[kind]
@@ -45,19 +56,18 @@ def _reject_reason(kind: str) -> str:
     if required:
         insert = "" if kind in S.INSERT_ONLY_KINDS else f"op = '{S.INSERT}' AND "
         checks.append((f"{insert}({' OR '.join(required)})", NULL_FIELD))
-    numbers = [f"try_cast({f.name} AS {f.type}) IS NULL" for f in fields if f.type != "string"]
+    numbers = [f"{_typed(f)} IS NULL" for f in fields if f.type != "string"]
     if numbers:
         checks.append((" OR ".join(numbers), BAD_NUMBER))
-    exact = [f"try_cast({f.name} AS DECIMAL(38,20)) <> try_cast({f.name} AS {S.MONEY})" for f in fields if f.type == S.MONEY]
-    if exact:
-        checks.append((" OR ".join(exact), TOO_PRECISE))
+    money = [f for f in fields if f.type == S.MONEY]
+    if money:
+        checks.append((" OR ".join(_loses_decimals(f) for f in money), TOO_PRECISE))
     if kind in ("order", "fill", "otc"):
         checks.append(("order_id <> '' AND try_cast(order_id AS BIGINT) IS NULL", BAD_ORDER))
     if kind in ("order", "fill"):
         checks.append((E.bad_customer_id_sql("customer_id"), BAD_CUSTOMER))
     if kind == "order":
-        value = f"cast(try_cast(qty AS INT) AS DECIMAL(10,0)) * try_cast(price AS {S.MONEY})"
-        checks.append((f"abs({value}) >= {S.LARGEST_VALUE}", TOO_LARGE))
+        checks.append((f"abs(cast(_qty AS DECIMAL(10,0)) * _price) >= {S.LARGEST_VALUE}", TOO_LARGE))
     if not checks:
         return "CAST(NULL AS STRING)"
     return "CASE " + " ".join(f"WHEN {test} THEN '{name}'" for test, name in checks) + " END"
@@ -80,13 +90,13 @@ def typed_records(
     fields = S.FIELDS[kind]
     keys = f"json_object_keys(get_json_object(value, '{path}'))"
     rows = route(parsed, kind)
-    every = ", ".join(f"after.`{name}`" for name in S.AFTER_FIELDS)
+    every = ", ".join(f"after.`{name}`" for name in parsed.schema["after"].dataType.names)
     keep = f"(coalesce({every}) IS NOT NULL OR size({keys}) > 0)"
     if kind in S.INSERT_ONLY_KINDS:
         keep += f" AND lower(op) = '{S.INSERT.lower()}'"
     source_day = E.event_day_sql("event_ts", zone)
     today = source_day if business_date is None else f"CAST({business_date} AS INT)"
-    carried = [*_ORIGIN, "op", "row_id", "event_ts"]
+    carried = [*ORIGIN, "op", "row_id", "event_ts"]
     if "attempts" in parsed.columns:
         carried.append("attempts")
     texts = rows.where(keep).selectExpr(
@@ -95,14 +105,13 @@ def typed_records(
         f"{today} AS business_date",
         *[f"{_text(f, keys)} AS {f.name}" for f in fields],
     )
-    return texts.selectExpr(
+    # a step of its own, so that a number is cast once for its value and its reason
+    typed = texts.selectExpr("*", *[f"try_cast({f.name} AS {f.type}) AS {_typed(f)}" for f in fields if f.type != "string"])
+    return typed.selectExpr(
         *carried,
         "source_day",
         "business_date",
-        *[
-            f.name if f.type == "string" else f"try_cast({f.name} AS {f.type}) AS {f.name}"
-            for f in fields
-        ],
+        *[f"{_typed(f)} AS {f.name}" for f in fields],
         f"{_reject_reason(kind)} AS reject_reason",
     )
 
@@ -187,7 +196,7 @@ def records(
 
 def rejected(rows: DataFrame) -> DataFrame:
     """Unusable rows of a parsed or typed frame, with the reason."""
-    return rows.where("reject_reason IS NOT NULL").select(*_ORIGIN, "reject_reason")
+    return rows.where("reject_reason IS NOT NULL").select(*ORIGIN, "reject_reason")
 
 
 def quarantine(

@@ -129,7 +129,7 @@ def fill_messages(
 
 def cdc_roundtrip_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Records parsed, rendered as JSON again, and read back."""
-    parsed = parse_envelopes(order_messages(spark, sf, op=F.lit("INSERT")))
+    parsed = parse_envelopes(order_messages(spark, sf, op=F.lit("INSERT")), kinds=["order"])
     orders = P.records(parsed, "order", zone="UTC")
     fields = [f.name for f in S.FIELDS["order"]]
     text = orders.select("business_date", E.as_json(*fields).alias("text"))
@@ -143,7 +143,7 @@ def cdc_roundtrip_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cdc_project_orders(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = parse_envelopes(order_messages(spark, sf))
+    parsed = parse_envelopes(order_messages(spark, sf), kinds=["order"])
     orders = P.records(parsed, "order", rules=T.DESK_RULES, zone="UTC")
     return orders.select(
         "order_id", "customer_id", "branch", "channel", "qty", "price", "sec_class", "business_date"
@@ -151,7 +151,7 @@ def cdc_project_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cdc_project_fills(spark: SparkSession, sf: str) -> DataFrame:
-    fills = P.records(parse_envelopes(fill_messages(spark, sf)), "fill", zone="UTC")
+    fills = P.records(parse_envelopes(fill_messages(spark, sf), kinds=["fill"]), "fill", zone="UTC")
     return fills.select(
         "order_id", "fill_id", "customer_id", "branch", "currency", "fill_amt", "commission",
         "cancel_flag", "holder_acct", "business_date",
@@ -160,7 +160,7 @@ def cdc_project_fills(spark: SparkSession, sf: str) -> DataFrame:
 
 def _project_events(kind: str, columns: list[str]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        parsed = parse_envelopes(T.event_messages(spark, sf, kind))
+        parsed = parse_envelopes(T.event_messages(spark, sf, kind), kinds=[kind])
         rows = P.records(parsed, kind)
         return rows.select(F.col("src_offset").alias("event_id"), "op", "business_date", *columns)
 

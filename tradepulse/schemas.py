@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
@@ -167,15 +168,18 @@ TIMED_KINDS = ("customer", "otc", "dept_request", "fund_account")
 # Kinds of which only INSERT messages count.
 INSERT_ONLY_KINDS = ("order", "fill", "cash", "stock_account", "bank_account")
 
-AFTER_FIELDS: tuple[str, ...] = tuple(
-    dict.fromkeys(f.source for fields in FIELDS.values() for f in fields)
-)
 BEFORE_FIELDS = ("WTH", "SBJG")
 
 
-def envelope_ddl(before: bool = False) -> str:
-    """Read schema of a message: only the fields that some kind uses."""
-    after = ",".join(f"`{name}`:STRING" for name in AFTER_FIELDS)
+def after_fields(kinds: Sequence[str] | None = None) -> tuple[str, ...]:
+    """Source fields of the given kinds, of all if left out."""
+    chosen = FIELDS if kinds is None else kinds
+    return tuple(dict.fromkeys(f.source for kind in chosen for f in FIELDS[kind]))
+
+
+def envelope_ddl(before: bool = False, kinds: Sequence[str] | None = None) -> str:
+    """Read schema of a message: only the fields that the kinds use."""
+    after = ",".join(f"`{name}`:STRING" for name in after_fields(kinds))
     ddl = f"optype STRING, rowid STRING, jstime STRING, after STRUCT<{after}>"
     if before:
         fields = ",".join(f"`{name}`:STRING" for name in BEFORE_FIELDS)
@@ -185,7 +189,7 @@ def envelope_ddl(before: bool = False) -> str:
 
 def late_ddl() -> str:
     """Read schema of an upper-cased late wrapper."""
-    record = ",".join(f"`{name}`:STRING" for name in (*AFTER_FIELDS, "VERSION"))
+    record = ",".join(f"`{name}`:STRING" for name in (*after_fields(), "VERSION"))
     return f"ORIGINTOPIC STRING, BASERECORD STRUCT<{record}>, _corrupt_record STRING"
 
 
