@@ -132,3 +132,10 @@ def test_bitmaps_equal_distinct_counts_across_buckets(spark, skewed):
     assert got == {"cold": (want["cold"], 0), "hot": (want["hot"], want["hot"])}
     whole = C.customer_counts(frame, frame, ["branch"], start=None)
     assert {r["branch"]: r["entr_cust_nums"] for r in whole.collect()} == want
+
+
+def test_daily_trade_table_takes_three_wide_exchanges(spark, sf_dir):
+    """Two for the match of fills and orders, one for the totals; dimensions are broadcast or counted apart."""
+    plan = plan_of(catalogue.queries()["trade_stat_daily"](spark, sf_dir))
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning") <= 3

@@ -131,6 +131,47 @@ def trade_totals(
     return sum_measures(both, by).where("entr_tims <> 0 OR mtch_tims <> 0")
 
 
+def trade_rows(
+    orders: DataFrame, fills: DataFrame, by: Sequence[str], margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
+) -> DataFrame:
+    """Orders and fills as narrow rows of one shape, a measure of the other side being null."""
+    group = E.security_group("sec_class")
+    entered = orders.select(
+        *by,
+        E.currency_key("currency").alias("_currency"),
+        F.lit(1).alias("entr_tims"),
+        E.is_margin_order("cancel_flag", "settle_type").cast("int").alias("marg_entr_tims"),
+        *[(group == kind).cast("int").alias(f"{short}_entr_tims") for kind, short in (("stock", "stoc"), ("fund", "fund"), ("bond", "bond"))],
+        E.order_value("qty", "price").alias("entr_amt"),
+    )
+    filled = fills.select(
+        *by,
+        E.currency_key("currency").alias("_currency"),
+        F.lit(1).alias("mtch_tims"),
+        F.col("fill_amt").alias("mtch_amt"),
+        F.when(E.is_margin_fill("holder_acct", margin_prefixes), F.col("fill_amt")).alias("marg_mtch_amt"),
+        F.col("commission").alias("tot_cms"),
+    )
+    return entered.unionByName(filled, allowMissingColumns=True)
+
+
+def trade_totals_by_row(rows: DataFrame, rates: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
+    """Totals of :func:`trade_rows` in one aggregation.
+
+    For keys so fine that sums per currency are hardly fewer than the rows: the rate
+    meets the rows, and no second shuffle brings the currencies of a key together.
+    Amount times rate keeps all decimals.
+    """
+    priced = rows.join(rates.select(F.col("currency").alias("_currency"), "rate"), "_currency", "left")
+    amounts = {"entr_amt", "mtch_amt", "marg_mtch_amt"}
+    return priced.groupBy(*by).agg(
+        *[
+            F.coalesce(F.sum(E.converted_sum(m) if m in amounts else F.col(m)), F.lit(0)).cast(t).alias(m)
+            for m, t in TRADE_MEASURES.items()
+        ]
+    )
+
+
 def new_customers(
     customers: DataFrame, by: Sequence[str] = DAY, any_op: bool = False
 ) -> DataFrame:

@@ -174,10 +174,8 @@ def state_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trade_stat_daily(spark: SparkSession, sf: str) -> DataFrame:
-    rates = T.rates(spark)
-    orders = M.order_metrics(T.orders_view(spark, sf), rates)
-    fills = M.fill_metrics(_matched(spark, sf), rates, margin_prefixes=T.MARGIN_FLAG)
-    totals = M.trade_totals(orders, fills)
+    rows = M.trade_rows(T.orders_view(spark, sf), _matched(spark, sf), M.TRADE_KEYS, T.MARGIN_FLAG)
+    totals = M.trade_totals_by_row(rows, T.rates(spark))
     return totals.withColumnsRenamed(
         {"business_date": "date_id", "branch": "dept", "channel": "trd_chn"}
     )
