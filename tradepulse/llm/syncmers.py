@@ -30,6 +30,8 @@ from tradepulse.llm.common import written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Units of an anchor and of the runs inside it; hashes of a fingerprint.
 LENGTH, INNER, KEPT = 5, 2, 64
+#: Stands for a null id; it sorts before all others.
+NO_ID = -(1 << 63)
 #: Texts with fewer characters than this have anchors of characters, too.
 SHORT = 256
 
@@ -93,21 +95,21 @@ def printed(hashes: Column) -> Column:
 
 
 def _next_ids(docs: DataFrame) -> DataFrame:
-    """``id``, ``n`` (characters, at most over its rows) and ``before``: the id that ``id`` follows.
+    """``before`` of every ``key``: the key that it follows, and how many characters that has.
 
-    Ids are cut into ranges; the neighbour of a range's last id is the first one of the next
-    range, so only first ids meet in one window.
+    Keys are cut into ranges; the neighbour of a range's first key is the last one of the
+    range before, so only last keys meet in one window. Of rows that share a key the most
+    characters count.
     """
-    ids = docs.groupBy("id").agg(F.max("n").alias("n"))
-    ranged = written(ids.repartitionByRange("id").select("id", "n", F.spark_partition_id().alias("part")), "ids")
-    last = ranged.groupBy("part").agg(F.max(F.struct(F.col("id").isNotNull().alias("set"), "id", "n")).alias("last"))
-    order, everything = Window.orderBy("part"), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    keys = docs.groupBy("key").agg(F.max("n").alias("n"))
+    ranged = written(keys.repartitionByRange("key").select("key", "n", F.spark_partition_id().alias("part")), "ids")
+    last = ranged.groupBy("part").agg(F.max(F.struct("key", "n")).alias("last"))
+    order = Window.orderBy("part")
+    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     earlier = last.select("part", F.coalesce(F.lag("last").over(order), F.last("last").over(everything)).alias("earlier"))
-    own = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first())
-    here = F.lag(F.struct(F.lit(True).alias("set"), "id", "n")).over(own)
-    return ranged.withColumn("here", here).join(earlier, "part").select(
-        "id", F.coalesce("here", "earlier").alias("before")
-    ).select("id", F.col("before.id").alias("before"), F.col("before.n").alias("before_n"))
+    here = F.lag(F.struct("key", "n")).over(Window.partitionBy("part").orderBy("key"))
+    before = ranged.withColumn("here", here).join(earlier, "part").select("key", F.coalesce("here", "earlier").alias("before"))
+    return before.select("key", F.col("before.key").alias("before"), F.col("before.n").alias("before_n"))
 
 
 def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,24 +119,23 @@ def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Texts move once, to where their id is; of a next document only the part moves on that its
     predecessor can use.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.col(id_col).alias("id"), text.alias("text"))
-    docs = docs.select("id", "text", F.length("text").alias("n"))
-    order = _next_ids(docs.select("id", "n"))
-    own = docs.withColumn("sketch", sketch(F.col("text")))
-    joined = own.join(order.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
-    follower = joined.select(
-        F.col("before").alias("_id"), F.expr("substring(text, 1, before_n div 2)").alias("piece"),
-        F.col("sketch").alias("next_sketch"), F.xxhash64("text").alias("_hash"),
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    docs = df.select(key.alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    order = _next_ids(docs.select("key", F.length("text").alias("n")))
+    # one exchange serves both sides below, so both read the same columns of it
+    own = docs.withColumn("sketch", sketch(F.col("text"))).repartition("key")
+    follower = own.join(order, "key").select(
+        F.col("before").alias("key"), F.expr("substring(text, 1, before_n div 2)").alias("piece"),
+        F.col("sketch").alias("next_sketch"), F.xxhash64("text").alias("hash"),
     )
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("_hash", "piece"))
-    follower = follower.withColumn("_first", first).filter("_first = 1").drop("_first", "_hash")
-    met = joined.join(follower, F.col("id").eqNullSafe(F.col("_id")))
+    first = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
+    follower = follower.withColumn("first", first).filter("first = 1").drop("first", "hash")
+    met = own.join(follower, "key").withColumn("n", F.length("text"))
     edited = F.expr("concat(substring(text, 1, n - n div 2), substring(piece, 1, n div 2))")
-    told = met.select("id", "n", "sketch", "next_sketch", edited.alias("edited"))
+    told = met.select("key", "n", "sketch", "next_sketch", edited.alias("edited"))
     told = told.withColumn("edited_sketch", sketch(F.col("edited")))
     return told.select(
-        F.col("id").alias(id_col),
+        F.nullif("key", F.lit(NO_ID)).alias(id_col),
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         printed(F.col("sketch")).alias("fingerprint"),
