@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tradepulse.operators import project as P  # noqa: E402
 from tradepulse.operators.ingest import parse_envelopes  # noqa: E402
 from tradepulse.plans import catalogue, cdc, tables  # noqa: E402
+from tradepulse.schemas import RAW_SCHEMA  # noqa: E402
 from tradepulse.session import build_session, work_folder  # noqa: E402
 from tradepulse.streaming.job import ActivityJob  # noqa: E402
 
@@ -57,11 +58,11 @@ def small_batches(spark, sf_dir: str) -> dict[str, float]:
     """Median seconds of a micro-batch of two messages, without the first two."""
     root = f"{work_folder(spark, 'bench')}/job"
     job = ActivityJob(spark, root, tables.rates(spark), tables.products(spark, sf_dir), tables.DESK_RULES, 20240115)
-    orders = cdc.order_messages(spark, sf_dir, op=F.lit("INSERT")).limit(2).collect()
-    fills = cdc.fill_messages(spark, sf_dir, op=F.lit("INSERT"), unique=True).limit(2).collect()
+    orders = cdc.order_messages(spark, sf_dir, op=F.lit("INSERT")).limit(2).select(*RAW_SCHEMA.names).collect()
+    fills = cdc.fill_messages(spark, sf_dir, op=F.lit("INSERT"), unique=True).limit(2).select(*RAW_SCHEMA.names).collect()
     seconds = []
     for batch in range(BATCHES):
-        raw = spark.createDataFrame([orders[batch % 2], fills[batch % 2]])
+        raw = spark.createDataFrame([orders[batch % 2], fills[batch % 2]], RAW_SCHEMA)
         began = time.perf_counter()
         job.process(raw, batch)
         seconds.append(time.perf_counter() - began)
