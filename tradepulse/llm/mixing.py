@@ -116,13 +116,14 @@ def spans(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(placed: DataFrame, sources: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """The mix itself: ``shard``, ``rank``, ``slot`` and the spans that fill the slot, word by word."""
-    return spans(placed, block).join(draw(sources, shards), ["rank", "block"])
+    return spans(placed, block).join(draw(sources, shards).hint("merge"), ["rank", "block"])
 
 
 def uses(placed: DataFrame, sources: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """``spans`` with ``times``, how often the mix takes each."""
     times = draw(sources, shards).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-    return spans(placed, block).join(times, ["rank", "block"])
+    # Spark takes what is expanded from the small table of sources for small, too
+    return spans(placed, block).join(times.hint("merge"), ["rank", "block"])
 
 
 def taken(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
