@@ -314,8 +314,8 @@ class ActivityJob:
         names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
         self.tables.write(rows.select(*names), f"state/{kind}", step, ["business_date"])
 
-    def _stored(self, kind: str, wanted: DataFrame, step: int) -> DataFrame:
-        """Newest stored row of each key the batch asks for.
+    def _stored(self, kind: str, wanted: DataFrame, step: int, fresh: DataFrame | None) -> DataFrame:
+        """Newest row of each key the batch asks for, of ``fresh`` ones and stored ones.
 
         Compacted state is partitioned by day and key bucket: only partitions
         that a wanted key falls in are read. Of later steps, the wanted days are.
@@ -324,10 +324,15 @@ class ActivityJob:
         table = f"state/{kind}"
         base = self.tables.last_base(table)
         buckets = 1 if base is None else self._buckets(kind, base)
-        # the days of a batch, and at most as many buckets as the base has
-        parts = wanted.select("business_date", _bucket(keys[-1], buckets).alias("bucket")).distinct().collect()
+        if base is None and self.business_date is not None:
+            parts = [(self.business_date, 0)]
+        else:  # the days of a batch, and at most as many buckets as the base has
+            parts = wanted.select("business_date", _bucket(keys[-1], buckets).alias("bucket")).distinct().collect()
         days = sorted({r[0] for r in parts if r[0] is not None})
-        state = self.tables.read(table, STATE_DDL[kind], upto=step, after=base).where(F.col("business_date").isin(days))
+        state = self.tables.read(table, STATE_DDL[kind], upto=step - 1, after=base).where(F.col("business_date").isin(days))
+        if fresh is not None:
+            names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
+            state = state.unionByName(fresh.select(*names, F.lit(step).cast("bigint").alias("step")))
         if base is not None:
             wanted_buckets = sorted({r[1] for r in parts if r[1] is not None})
             stored = self._base_state(kind, base).where(
@@ -354,7 +359,7 @@ class ActivityJob:
             orders = self._records(typed, "order")
             if orders is not None:
                 orders = hold(D.dedup_orders(orders))
-                self._store("order", orders, step)
+                writes.append(lambda: self._store("order", orders, step))
                 trade_parts.append(M.order_metrics(orders, self.rates))
                 seen.append(orders.select(*C.TRADE_KEYS, "customer_id", F.lit("order").alias("side")))
 
@@ -367,7 +372,7 @@ class ActivityJob:
                 fills = hold(fills)
                 # many fills may be of one order: adaptive execution splits them
                 # only if the other side is a plain scan and not a ranking
-                stored = self._stored("order", fills, step)
+                stored = self._stored("order", fills, step, orders)
                 self.tables.write(stored.select(*STATE_KEY["order"], "channel"), "lookup/order", step)
                 stored = self.spark.read.schema("business_date INT, order_id STRING, channel STRING").parquet(
                     self.tables.path("lookup/order", step)
@@ -400,14 +405,17 @@ class ActivityJob:
         self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool
     ) -> None:
         with _held() as hold:
+            writes: list[Callable[[], None]] = []
             parts = self._plain_activity(typed)
-            parts += self._requests(typed, requeued, step, clock, final, hold)
-            parts += self._otc(typed, requeued, step, clock, final, hold)
+            parts += self._requests(typed, requeued, step, clock, final, hold, writes)
+            parts += self._otc(typed, requeued, step, clock, final, hold, writes)
             if parts:
                 delta = parts[0]
                 for part in parts[1:]:
                     delta = delta.unionByName(part)
-                self.tables.write(M.activity_totals(delta), "delta/activity", step)
+                totals = M.activity_totals(delta)
+                writes.append(lambda: self.tables.write(totals, "delta/activity", step))
+            _together(self.spark, *writes)
 
     def _plain_activity(self, typed: Typed) -> list[DataFrame]:
         parts: list[DataFrame] = []
@@ -431,15 +439,15 @@ class ActivityJob:
 
     def _requests(
         self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
-        hold: Callable[[DataFrame], DataFrame],
+        hold: Callable[[DataFrame], DataFrame], writes: list[Callable[[], None]],
     ) -> list[DataFrame]:
         parts: list[DataFrame] = []
-        updates = None
+        inserts = updates = None
         requests = self._records(typed, "dept_request")
         if requests is not None:
             requests = hold(D.dedup_requests(requests))
             inserts, updates = P.split_by_op(requests)
-            self._store("dept_request", inserts, step)
+            writes.append(lambda: self._store("dept_request", inserts, step))
             deals = M.request_deals(inserts)
             parts.append(M.activity(deals, "deal", branch=F.col("branch")))
             updates = M.request_update_candidates(updates)
@@ -448,7 +456,7 @@ class ActivityJob:
         tries = L.candidates(updates, waiting, keys)
         if tries is None:
             return parts
-        stored = self._stored("dept_request", tries, step)
+        stored = self._stored("dept_request", tries, step, inserts)
         keep = ("branch", "customer_id", "request_date")
         named = tries.withColumnsRenamed({c: f"own_{c}" for c in keep})
         tried = hold(J.enrich_request_updates(named, stored, STATE_KEY["dept_request"]))
@@ -457,20 +465,20 @@ class ActivityJob:
         give_up = F.lit(True) if final or self.strict_reference else L.gave_up(self.request_limit, clock)
         left = tried.where(~F.col("matched"))
         left = left.drop(*keep).withColumnsRenamed({f"own_{c}": c for c in keep})
-        self._put_back(left, give_up, "dept_request", step)
+        writes += self._put_back(left, give_up, "dept_request", step)
         return parts
 
     def _otc(
         self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
-        hold: Callable[[DataFrame], DataFrame],
+        hold: Callable[[DataFrame], DataFrame], writes: list[Callable[[], None]],
     ) -> list[DataFrame]:
         parts: list[DataFrame] = []
-        updates = None
+        inserts = updates = None
         otc = self._records(typed, "otc")
         if otc is not None:
             otc = hold(D.dedup_otc(otc))
             inserts, updates = P.split_by_op(otc)
-            self._store("otc", inserts, step)
+            writes.append(lambda: self._store("otc", inserts, step))
             outcomes = M.outcome_totals(M.otc_insert_outcomes(inserts, self.products))
             parts.append(M.activity(outcomes, F.col("metric"), F.col("amount")))
             updates = M.otc_update_candidates(updates)
@@ -479,25 +487,24 @@ class ActivityJob:
         tries = L.candidates(updates, waiting, keys)
         if tries is None:
             return parts
-        stored = self._stored("otc", tries, step)
+        stored = self._stored("otc", tries, step, inserts)
         tried = hold(J.enrich_otc_updates(tries, stored, STATE_KEY["otc"]))
         outcomes = M.outcome_totals(M.otc_update_outcomes(tried))
         parts.append(M.activity(outcomes, F.col("metric"), F.col("amount")))
         give_up = F.lit(True) if final else L.gave_up(self.otc_limit, clock)
         # an unmatched record has nothing filled in, so it is re-queued as it came
         left = tried.where(M.otc_update_outcome().isNull() & ~F.col("matched"))
-        self._put_back(left, give_up, "otc", step)
+        writes += self._put_back(left, give_up, "otc", step)
         return parts
 
-    def _put_back(self, left: DataFrame, give_up: Column, kind: str, step: int) -> None:
+    def _put_back(self, left: DataFrame, give_up: Column, kind: str, step: int) -> list[Callable[[], None]]:
         """Unmatched records wait for the next batch, or are kept as expired."""
         again = self._pending_rows(L.next_attempt(left.where(~give_up)), kind)
         over = self._pending_rows(left.where(give_up), kind)
-        _together(
-            self.spark,
+        return [
             lambda: self.tables.write(again, f"pending/{kind}", step),
             lambda: self.tables.write(over, f"expired/{kind}", step),
-        )
+        ]
 
     # -- reading results ------------------------------------------------------
 
