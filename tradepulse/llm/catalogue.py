@@ -88,4 +88,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_syncmers": op10_syncmers,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_top_k": """WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+    r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+    SELECT * FROM r WHERE rank <= 5""",
+    "op9_near_duplicates": rf"""WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0) AS x),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * s >= 80 * (x.n + y.n - s)),
+    e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    reach AS (SELECT a AS node, a AS r FROM e UNION SELECT reach.node, e.b FROM reach JOIN e ON reach.r = e.a),
+    c AS (SELECT node, min(r) AS component FROM reach GROUP BY 1)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id, d.doc_id = coalesce(c.component, d.doc_id) AS kept
+    FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.node = d.doc_id""",
+}
