@@ -326,6 +326,7 @@ def _picked(measure: str, *metrics: str) -> Column:
 
 def customer_day_stats(rows: DataFrame) -> DataFrame:
     """One row per day of customer and capital metrics; idle days are left out."""
+    # Column names of the result table.
     counts = {
         "new_ins_nums": "new_jg",
         "new_indv_nums": "new_gr",

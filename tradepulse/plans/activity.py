@@ -1,4 +1,7 @@
-"""Catalogue: customers, cash, accounts, branch requests, OTC requests."""
+"""Catalogue: customers, cash, accounts, branch requests, OTC requests.
+
+Column names of the result tables (``new_ins_nums`` and the like) are fixed values.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Catalogue: change messages rendered from the tables, parsed and projected back."""
+"""Catalogue: change messages rendered from the tables, parsed and projected back.
+
+Topic names and upper-case field names of the messages are fixed values (see schemas.py).
+"""
 
 from __future__ import annotations
 

@@ -130,6 +130,15 @@ def stream_fills_late_match(spark: SparkSession, sf: str) -> DataFrame:
     return stats.select("branch", "channel", "mtch_tims", "mtch_amt", "tot_cms")
 
 
+def stream_fills_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fill is delivered again with the second wave, and counts once."""
+    first, second = _match_waves(spark, sf)
+    waves = [first, second.unionByName(_fills(spark, sf))]
+    job = run_waves(spark, sf, waves, name="once", drain=True, fills_once=True)
+    stats = job.trade_stats().where("mtch_tims <> 0")
+    return stats.select("branch", "channel", "mtch_tims", "mtch_amt", "tot_cms")
+
+
 def stream_pending(spark: SparkSession, sf: str) -> DataFrame:
     job = run_waves(spark, sf, _match_waves(spark, sf), name="pending")
     return job.waiting("fill").select("order_id", "fill_id", "attempts")
@@ -287,6 +296,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "stream_trade_stat": (stream_trade_stat, TRADE_TABLE_SQL),
     "stream_otc_stat": (stream_otc_stat, OTC_TABLE_SQL),
     "stream_late_topic": (stream_late_topic, FILLS_TOTAL_SQL),
+    "stream_fills_once": (stream_fills_once, FILLS_TOTAL_SQL),
     "stream_late_pending": (
         stream_late_pending,
         _ORDERS

@@ -3,6 +3,8 @@
 Orders are ``orders``, fills are ``lineitem``, and ``events`` supplies customer,
 cash, account and request messages. The same expressions describe a record in
 Spark and in the SQL check, so a difference can only come from an operator.
+
+Topic and field names of the messages are fixed values.
 """
 
 from __future__ import annotations

@@ -66,13 +66,15 @@ CUSTOMER_KEYS = ("business_date", "branch", "channel", "side")
 CUSTOMER_DDL = (
     "business_date INT, branch STRING, channel STRING, side STRING, bucket BIGINT, bits BINARY"
 )
+SEEN_KEYS = ("business_date", "order_id", "fill_id")
+SEEN_DDL = "business_date INT, order_id STRING, fill_id STRING"
 QUARANTINE_DDL = "topic STRING, partition INT, offset BIGINT, value STRING, reject_reason STRING"
 #: Rows of compacted state that one bucket holds; how many buckets a day has follows from it.
 BUCKET_ROWS = 1_000_000
 PENDING_KINDS = ("fill", "otc", "dept_request")
 #: Tables that a step writes to, but for the ledger.
 STEP_TABLES = (
-    "delta/trade", "delta/activity", "delta/customers", "quarantine", "lookup/order",
+    "delta/trade", "delta/activity", "delta/customers", "quarantine", "lookup/order", "seen/fill",
     *[f"state/{kind}" for kind in ("order", "otc", "dept_request")],
     *[f"{name}/{kind}" for name in ("pending", "expired") for kind in PENDING_KINDS],
     *[f"results/{name}" for name in ("trade", "customer", "branch", "otc")],
@@ -134,6 +136,7 @@ class ActivityJob:
     source day. ``strict_reference`` drops unmatched branch-request updates at
     once instead of retrying them. Every ``fold_every`` batches the job folds its
     steps and drops state more than ``keep_days`` days older than ``business_date``.
+    ``fills_once`` drops fills whose id an earlier batch of the day has brought.
     ``publish`` writes the result tables after every batch. ``parse_partitions``
     deals a batch out to so many tasks if its source has fewer splits. A new
     ``checkpoint`` on the same ``root`` goes on from the totals that are there.
@@ -155,6 +158,7 @@ class ActivityJob:
     fold_every: int | None = 200
     keep_days: int = 1
     publish: bool = False
+    fills_once: bool = False
     checkpoint: str | None = None
     parse_partitions: int | None = None
 
@@ -365,7 +369,12 @@ class ActivityJob:
 
             fresh = self._records(typed, "fill")
             fresh = None if fresh is None else D.dedup_fills(fresh)
-            keys = ["business_date", "order_id", "fill_id"]
+            keys = list(SEEN_KEYS)
+            if fresh is not None and self.fills_once:
+                seen_before = self.tables.before("seen/fill", SEEN_DDL, step)
+                fresh = hold(fresh.join(seen_before.select(*keys), keys, "left_anti"))
+                ids = fresh.select(*keys)
+                writes.append(lambda: self.tables.write(ids, "seen/fill", step, ["business_date"]))
             waiting = self._pending("fill", step, requeued, keys)
             fills = L.candidates(fresh, waiting, keys)
             if fills is not None:
@@ -614,6 +623,9 @@ class ActivityJob:
         bits = self.tables.committed("delta/customers", CUSTOMER_DDL)
         self.tables.compact("delta/customers", C.merge_bitmaps(bits, CUSTOMER_KEYS), last)
         self.tables.compact("quarantine", self.quarantined().drop("step"), last)
+        if self.tables.exists("seen/fill"):
+            ids = self.tables.committed("seen/fill", SEEN_DDL).select(*SEEN_KEYS)
+            self.tables.compact("seen/fill", ids, last, ["business_date"])
         for kind, keys in STATE_KEY.items():
             rows = self._state_rows(kind).drop("step")
             days = rows.groupBy("business_date").count().agg(F.max("count")).first()[0] or 1
@@ -635,5 +647,6 @@ class ActivityJob:
 
     def expire(self, before_day: int) -> int:
         """Drop stored state of days before ``before_day``; returns dropped partitions."""
-        tables = [f"{base}state/{kind}" for kind in STATE_KEY for base in ("", "base/")]
+        daily = [*[f"state/{kind}" for kind in STATE_KEY], "seen/fill"]
+        tables = [f"{base}{table}" for table in daily for base in ("", "base/")]
         return sum(self.tables.drop_days(table, before_day) for table in tables)

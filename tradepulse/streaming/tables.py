@@ -117,8 +117,12 @@ class StepTables:
         last = self.last_step()
         if last is None:
             return self.spark.createDataFrame([], f"{ddl}, step BIGINT")
+        return self.before(table, ddl, last + 1)
+
+    def before(self, table: str, ddl: str, step: int) -> DataFrame:
+        """The newest compacted base and the later steps below ``step``."""
         base = self.last_base(table)
-        rows = self.read(table, ddl, upto=last, after=base)
+        rows = self.read(table, ddl, upto=step - 1, after=base)
         if base is None:
             return rows
         folded = self.read_step(f"base/{table}", ddl, base)
