@@ -302,3 +302,13 @@ def test_timed_trigger(spark, make_job):
     query.processAllAvailable()
     query.stop()
     assert trade(job)[("B01", "app")][0] == 2
+
+
+def test_fills_once_across_batches_and_folds(make_job):
+    job = make_job(fills_once=True)
+    feed(job, [order(5), fill(5, "1", 1)], [fill(5, "1", 9), fill(5, "2", 10)])
+    assert trade(job)[("B02", "app")][1] == 2
+    job.compact()
+    job.process(raw(job.spark, [fill(5, "2", 20), fill(5, "3", 21)]), 2)
+    job.process(raw(job.spark, [fill(5, "2", 20), fill(5, "3", 21)]), 2)
+    assert trade(job)[("B02", "app")][1] == 3
