@@ -23,8 +23,8 @@ from tradepulse.llm.common import running_start, written
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a block; output shards; rounds of the permutation; how often a word is used at most.
 BLOCK, SHARDS, ROUNDS, MOST = 64, 32, 16, 3
-#: Documents of a source that one task puts in order; slots that one row is expanded to.
-RUN, SLOTS = 2000, 10_000
+#: Documents of a source that one task puts in order; slots that one row and one task expand.
+RUN, SLOTS, TASK_SLOTS = 2000, 10_000, 200_000
 SEED = 11
 
 
@@ -79,7 +79,8 @@ def draw(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
     runs = sources.filter("slots > 0").select(
         "rank", "blocks", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {SLOTS})")).alias("run")
     )
-    spread = runs.repartition("rank", "run")
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    spread = runs.repartition(1 + total // TASK_SLOTS, "rank", "run")
     slots = spread.select(
         "rank", "blocks", F.explode(F.expr(f"sequence(run * {SLOTS}, least(slots, (run + 1) * {SLOTS}) - 1)")).alias("slot")
     )
