@@ -146,20 +146,27 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     columns = df.columns
     inner = F.struct(*[F.col(c) for c in columns]).alias("row")
-    sized = df.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), inner)
-    sized = written(sized, "sizes")
-    sources = written(targets(sized), "sources")
-    placed = written(packed(sized, sources, "_id"), "packed")
+    sized = df.select(
+        F.monotonically_increasing_id().alias("line"), F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
+        word_count(text_col).alias("size"), inner,
+    )
+    sized = written(sized, "sizes")  # from here on a line's number is fixed
+    sources = written(targets(sized.select("source", "size")), "sources")
+    placed = written(packed(sized.drop("row"), sources, "_id"), "packed")
     used = uses(placed.select("rank", "at", "size"), sources)
     parts = used.groupBy("rank", "at").agg(F.array_sort(F.collect_list(F.struct("first", "words", "times"))).alias("parts"))
-    passes = placed.filter("size > 0").join(parts, ["rank", "at"]).select(
+    of_line = placed.filter("size > 0").select("rank", "at", "line").join(parts, ["rank", "at"]).select("line", "parts")
+    passes = sized.select("line", "size", "row").join(of_line, "line").select(
         "row", "size", "parts", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")).alias("turn")
     )
     cut = passes.withColumn("own", F.expr("filter(parts, p -> p.times >= turn)"))
     whole = F.expr("aggregate(own, 0L, (n, p) -> n + p.words)") == F.col("size")
-    pieces = F.expr(
-        f"array_join(flatten(transform(own, p -> slice(regexp_extract_all(row.`{text_col}`, '{WORD}', 0), cast(p.first + 1 as int), cast(p.words as int)))), ' ')"
-        .replace("\\", "\\\\")
-    )
+    words = F.regexp_extract_all(F.col("row")[text_col], F.lit(WORD), F.lit(0))
+
+    def taken_of(all_words: Column) -> Column:
+        return F.flatten(F.transform("own", lambda p: F.slice(all_words, (p["first"] + 1).cast("int"), p["words"].cast("int"))))
+
+    # the words are found once for all parts
+    pieces = F.array_join(F.flatten(F.transform(F.array(words), taken_of)), " ")
     text = F.when(whole, F.col("row")[text_col]).otherwise(pieces)
     return cut.withColumn("_text", text).select(*[F.col("_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in columns])
