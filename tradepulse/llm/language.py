@@ -69,8 +69,7 @@ def svm(x: np.ndarray, sign: np.ndarray, cost: float = 10.0, rounds: int = 40) -
 
     The classes weigh the same, however many rows each has.
     """
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
-    gram = x @ x.T
+    gram = (x @ x.T).astype(np.float64) + 1  # the bias is a feature that is always 1
     most = np.where(sign > 0, cost / max((sign > 0).mean(), 1e-9), cost / max((sign < 0).mean(), 1e-9)) / 2
     alpha, margin, order = np.zeros(len(x)), np.zeros(len(x)), np.random.default_rng(7)
     for _ in range(rounds):
@@ -79,7 +78,8 @@ def svm(x: np.ndarray, sign: np.ndarray, cost: float = 10.0, rounds: int = 40) -
             if new != alpha[i]:
                 margin += (new - alpha[i]) * sign[i] * gram[i]
                 alpha[i] = new
-    return (alpha * sign) @ x
+    weight = alpha * sign
+    return np.append(weight.astype(np.float32) @ x, weight.sum())
 
 
 @dataclass
@@ -151,24 +151,25 @@ def fit(
         for batch in small(batches):
             kept = [grams(text) for text in batch.column("text").to_pylist()]
             found = [np.flatnonzero(x) for x in kept]
+            numbers = [x[f] for x, f in zip(kept, found, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array(found, pa.list_(pa.int32())), pa.array([x[f] for x, f in zip(kept, found, strict=True)], pa.list_(pa.int64()))],
-                names=["lang", "gram", "n"],
+                [batch.column("lang"), batch.column("key"), pa.array(found, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int64()))],
+                names=["lang", "key", "gram", "n"],
             )
 
     chosen = ranked.filter(F.col("rank") <= per_language).select("lang", "key", "text")
-    counted = chosen.repartition("lang", "key").select("lang", "text").mapInArrow(count, "lang string, gram array<int>, n array<long>").toArrow()
+    counted = chosen.repartition("lang", "key").mapInArrow(count, "lang string, key long, gram array<int>, n array<long>").toArrow()
     if not counted.num_rows:
         return Model(None, {})
+    # rows came in whatever order: sort them, so that the fit is the same each time
+    order = np.lexsort((counted["key"].to_numpy(), np.array(counted["lang"].to_pylist())))
+    langs = np.array(counted["lang"].to_pylist())[order]
     x = np.zeros((counted.num_rows, BUCKETS), np.float32)
-    for row, (gram, n) in enumerate(zip(counted["gram"], counted["n"], strict=True)):
+    for row, at in enumerate(order.tolist()):
         dense = np.zeros(BUCKETS, dtype=np.int64)
-        dense[gram.values.to_numpy()] = n.values.to_numpy()
+        dense[counted["gram"][at].values.to_numpy()] = counted["n"][at].values.to_numpy()
         x[row] = features(dense)
-    langs = np.array(counted["lang"].to_pylist())
-    # rows came in whatever order: sort them, so that the fit is the same each time
-    order = np.lexsort((x @ np.arange(1, BUCKETS + 1), langs))
-    x, langs = x[order], langs[order]
+    del counted
     of_family = np.array([families.get(lang, lang) for lang in langs])
     return Model(Duel.fit(x, of_family), {f: Duel.fit(x[of_family == f], langs[of_family == f]) for f in sorted(set(of_family))})
 
