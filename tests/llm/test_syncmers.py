@@ -59,3 +59,24 @@ def test_anchors_are_those_of_the_definition(spark):
     first = {(r.position, r.hash) for r in found if r.doc_id == 0}
     assert {p for p, _ in first} == want
     assert {(p + 3, x) for p, x in first} <= {(r.position, r.hash) for r in found if r.doc_id == 1}
+
+
+def likenesses(spark, pairs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    near = syncmers.likeness(syncmers.sketch(F.col("a")), syncmers.sketch(F.col("b")))
+    return [r.near for r in df.orderBy("i").select(near.alias("near")).collect()]
+
+
+def test_likeness_across_256_characters_and_without_spaces(spark):
+    words = " ".join(f"w{i * i % 97}" for i in range(70))
+    unspaced = "".join(chr(0x4E00 + i * i % 1999) for i in range(300))
+    pairs = [(words[:250], words[:260]), (words[:190], words[:260]), (unspaced, unspaced[:150] + unspaced[:150][::-1]), (unspaced[:250], unspaced[:260])]
+    border, cut, half, line = likenesses(spark, pairs)
+    assert border > 0.8 and cut > 0.5 and half > 0.2 and line > 0.8
+
+
+def test_every_text_with_a_word_has_an_anchor(spark):
+    texts = [" ".join(f"{seed}{chr(97 + i)}" for i in range(n)) for n in range(1, 9) for seed in range(40)]
+    texts += [" ".join(f"{seed}{chr(97 + i) * 60}" for i in range(n)) for n in range(1, 9) for seed in range(10)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert df.select(F.min(F.size(syncmers.sketch(F.col("text"))))).first()[0] > 0

@@ -1,17 +1,18 @@
 """Document fingerprints from closed syncmers, in DataFrame operations only.
 
-A text is a sequence of units: its words, and for a short text its characters as well. A run
-of ``LENGTH`` units is chosen if, of the runs of ``INNER`` units inside it, the one with the
-least hash is the first or the last. Whether a run is chosen depends on nothing around it, so
-two texts that share a passage share the anchors in it, wherever it stands. A sequence
-shorter than ``LENGTH`` units is one run, always chosen.
+A text of any length is one sequence of units: its words, and of a word with more than
+``LONG`` characters each character. A run of ``LENGTH`` units is chosen if, of the runs of
+``INNER`` units inside it, the one with the least hash is the first or the last. Whether a run
+is chosen depends on nothing around it, so two texts that share a passage share the anchors
+in it, wherever it stands. A sequence shorter than ``LENGTH`` units is one run, always
+chosen; where no run is chosen (of five or six units), all are.
 
 The fingerprint holds the ``KEPT`` least hashes of all chosen runs. The likeness of two
 fingerprints estimates the share of anchors that both texts have: the least hashes of their
 union, and how many of these both hold.
 
-Defined results: a null text counts as empty; a text without a word and without a character
-has the empty fingerprint; two empty fingerprints are alike (1), an empty and another one are
+Defined results: a null text counts as empty; a text without a word has
+the empty fingerprint; two empty fingerprints are alike (1), an empty and another one are
 not (0); rows that share an id have the same next document, and of several rows with the next
 id the text with the least hash counts; a single document is its own next one; a null id
 sorts first; extra columns are not looked at.
@@ -27,13 +28,13 @@ from pyspark.sql.window import Window
 
 from tradepulse.llm.common import written
 
-WORD = r"[^\x20\x09-\x0D]+"
 #: Units of an anchor and of the runs inside it; hashes of a fingerprint.
 LENGTH, INNER, KEPT = 5, 2, 64
 #: Stands for a null id; it sorts before all others.
 NO_ID = -(1 << 63)
-#: Texts with fewer characters than this have anchors of characters, too.
-SHORT = 256
+#: Words with more characters than this are no unit; their characters are.
+LONG = 16
+UNIT = rf"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{1,{LONG}}}(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D]"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -53,7 +54,8 @@ def _anchors(units: Column, salt: int) -> Column:
         def anchor(i: Column) -> Column:
             return F.struct(i.alias("position"), F.xxhash64(*[F.get(hashes, i + j) for j in range(0, inner, INNER)], F.get(hashes, i + inner - 1)).alias("hash"))
 
-        return F.transform(F.filter(F.sequence(F.lit(0), F.size(hashes) - inner), edge), anchor)
+        runs = F.sequence(F.lit(0), F.size(hashes) - inner)
+        return F.transform(_let(F.filter(runs, edge), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(runs)), anchor)
 
     def of_units(u: Column) -> Column:
         runs = F.transform(F.sequence(F.lit(0), F.size(u) - INNER), lambda i: F.xxhash64(*[F.get(u, i + j) for j in range(INNER)], F.lit(salt)))
@@ -64,11 +66,8 @@ def _anchors(units: Column, salt: int) -> Column:
 
 
 def anchors_of(text: Column) -> Column:
-    """Array of (position, hash): positions count words, those of characters are negative."""
-    words = _anchors(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1)
-    characters = _anchors(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), 7)
-    behind = F.transform(characters, lambda a: F.struct((-a["position"] - 1).alias("position"), a["hash"].alias("hash")))
-    return F.when(F.length(text) < SHORT, F.concat(words, behind)).otherwise(words)
+    """Array of (position, hash) of a text; positions count units."""
+    return _anchors(F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)), 1)
 
 
 def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
