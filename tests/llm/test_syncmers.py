@@ -1,4 +1,6 @@
 import hashlib
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 from rows import documents, empty, frame
@@ -63,7 +65,7 @@ def test_anchors_are_those_of_the_definition(spark):
 
 def likenesses(spark, pairs):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
-    near = syncmers.likeness(syncmers.sketch(F.col("a")), syncmers.sketch(F.col("b")))
+    near = syncmers.match(*[syncmers.firsts(syncmers.anchors_of(F.col(c))) for c in ("a", "b")])["near"]
     return [r.near for r in df.orderBy("i").select(near.alias("near")).collect()]
 
 
@@ -79,4 +81,35 @@ def test_every_text_with_a_word_has_an_anchor(spark):
     texts = [" ".join(f"{seed}{chr(97 + i)}" for i in range(n)) for n in range(1, 9) for seed in range(40)]
     texts += [" ".join(f"{seed}{chr(97 + i) * 60}" for i in range(n)) for n in range(1, 9) for seed in range(10)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    assert df.select(F.min(F.size(syncmers.sketch(F.col("text"))))).first()[0] > 0
+    assert df.select(F.min(F.size(syncmers.anchors_of(F.col("text"))))).first()[0] > 0
+
+
+def test_likeness_counts_all_anchors_and_where_they_lie(spark):
+    """A short passage that two long texts share is found, and equals brute force over anchors()."""
+    chance = random.Random(5)
+    texts = [[f"{i}{chance.randrange(10**6)}" for _ in range(3000)] for i in "abc"]
+    passage = [f"p{i}" for i in range(60)]
+    texts[0][1000:1060], texts[1][2000:2060] = passage, passage
+    texts[2][50:60] = texts[2][40:50]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    edited = [(i, t[: len(t) - len(t) // 2] + rows[(i + 1) % 3][1][: len(t) // 2]) for i, t in rows]
+    found = [{}, {}]
+    for first, table in zip(found, (df, spark.createDataFrame(edited, df.schema)), strict=True):
+        for r in syncmers.anchors(table).orderBy("doc_id", "position").collect():
+            first.setdefault(r.doc_id, {}).setdefault(r.hash, r.position)
+    got = {r.doc_id: r for r in syncmers.with_edits(df).collect()}
+    for i, own in found[0].items():
+        for other, near, aligned in ((found[1][i], "near_edited", "aligned_edited"), (found[0][(i + 1) % 3], "near_next", "aligned_next")):
+            shifts = Counter(other[h] - own[h] for h in own.keys() & other.keys())
+            assert got[i][near] == sum(shifts.values()) / len(own.keys() | other.keys())
+            assert got[i][aligned] == max(shifts.values(), default=0)
+        assert got[i].sketch == ",".join(f"{h % 2**64:x}" for h in sorted(own)[: syncmers.KEPT])
+    assert 0 < got[0].near_next < 0.02 and got[0].aligned_next > 15 and got[1].near_next == 0
+
+
+def test_fingerprint_depends_on_all_anchors(spark):
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words[:at] + ["changed"] + words[at:]) for at in range(0, 3000, 100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert syncmers.with_edits(df).select("fingerprint").distinct().count() == len(texts)

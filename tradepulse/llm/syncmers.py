@@ -7,13 +7,15 @@ is chosen depends on nothing around it, so two texts that share a passage share
 in it, wherever it stands. A sequence shorter than ``LENGTH`` units is one run, always
 chosen; where no run is chosen (of five or six units), all are.
 
-The fingerprint holds the ``KEPT`` least hashes of all chosen runs. The likeness of two
-fingerprints estimates the share of anchors that both texts have: the least hashes of their
-union, and how many of these both hold.
-
-Defined results: a null text counts as empty; a text without a word has
-the empty fingerprint; two empty fingerprints are alike (1), an empty and another one are
-not (0); rows that share an id have the same next document, and of several rows with the next
+The fingerprint is a digest of all anchors with their positions; the ``KEPT`` least hashes
+stand beside it as a sketch. Two texts are compared by all anchors of both: their likeness is
+the share of different anchors that both have, and ``aligned`` is how many of these lie on
+the diagonal that has most, so at one distance of positions. An anchor that a text repeats
+lies where it is first.
+
+Defined results: a null text counts as empty; a text without a word has no anchor and an
+empty sketch; two texts without anchors are alike (1), one without and another one are not
+(0); rows that share an id have the same next document, and of several rows with the next
 id the text with the least hash counts; a single document is its own next one; a null id
 sorts first; extra columns are not looked at.
 """
@@ -28,7 +30,7 @@ from pyspark.sql.window import Window
 
 from tradepulse.llm.common import written
 
-#: Units of an anchor and of the runs inside it; hashes of a fingerprint.
+#: Units of an anchor and of the runs inside it; hashes of a sketch.
 LENGTH, INNER, KEPT = 5, 2, 64
 #: Stands for a null id; it sorts before all others.
 NO_ID = -(1 << 63)
@@ -76,17 +78,58 @@ def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(id_col, found).select(id_col, "_a.position", "_a.hash")
 
 
-def sketch(text: Column) -> Column:
-    """The least hashes of a text's anchors, in order."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors_of(text), lambda a: a["hash"]))), 1, KEPT)
+def fingerprint(anchors: Column) -> Column:
+    """Digest of all positions and hashes."""
+    return F.lower(F.hex(F.xxhash64(anchors)))
+
+
+def firsts(anchors: Column) -> Column:
+    """Array of (hash, position), by hash: every different anchor where it is first."""
+    ordered = F.sort_array(F.transform(anchors, lambda a: F.struct(a["hash"].alias("hash"), a["position"].alias("position"))))
+
+    def first(found: Column) -> Column:
+        return F.filter(found, lambda a, i: (i == 0) | (F.get(found, i - 1)["hash"] != a["hash"]))
+
+    return _let(ordered, first)
+
+
+def sketch(found: Column) -> Column:
+    """The least hashes of ``firsts``, in order."""
+    return F.transform(F.slice(found, 1, KEPT), lambda a: a["hash"])
+
+
+def _longest(shifts: Column) -> Column:
+    """How often the most frequent value of an array is in it."""
+    none = F.struct(F.lit(None).cast("int").alias("at"), F.lit(0).alias("n"), F.lit(0).alias("most"))
 
+    def more(seen: Column, shift: Column) -> Column:
+        n = F.when(seen["at"] == shift, seen["n"] + 1).otherwise(1)
+        return F.struct(shift.alias("at"), n.alias("n"), F.greatest(seen["most"], n).alias("most"))
 
-def likeness(a: Column, b: Column) -> Column:
-    def share(least: Column) -> Column:
-        return F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
+    return F.aggregate(F.sort_array(shifts), none, more, lambda seen: seen["most"])
 
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, KEPT)
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(_let(union, share))
+
+def match(a: Column, b: Column) -> Column:
+    """``near`` and ``aligned`` of the ``firsts`` of two texts."""
+
+    def shifts(both: Column) -> Column:
+        def shift(x: Column, i: Column) -> Column:
+            before = F.get(both, i - 1)
+            return F.when(before["hash"] == x["hash"], x["position"] - before["position"])
+
+        return F.filter(F.transform(both, shift), lambda d: d.isNotNull())
+
+    def told(shared: Column) -> Column:
+        union = F.size(a) + F.size(b) - F.size(shared)
+        near = F.when(union == 0, F.lit(1.0)).otherwise(F.size(shared) / union)
+        return F.struct(near.alias("near"), _longest(shared).alias("aligned"))
+
+    def side(found: Column, number: int) -> Column:
+        return F.transform(found, lambda x: F.struct(x["hash"].alias("hash"), F.lit(number).alias("side"), x["position"].alias("position")))
+
+    # a hash is at most twice in it, once for each side
+    both = F.sort_array(F.concat(side(a, 0), side(b, 1)))
+    return _let(_let(both, shifts), told)
 
 
 def printed(hashes: Column) -> Column:
@@ -94,51 +137,59 @@ def printed(hashes: Column) -> Column:
 
 
 def _next_ids(docs: DataFrame) -> DataFrame:
-    """``before`` of every ``key``: the key that it follows, and how many characters that has.
+    """``before`` of every ``key``: the key that it follows.
 
     Keys are cut into ranges; the neighbour of a range's first key is the last one of the
-    range before, so only last keys meet in one window. Of rows that share a key the most
-    characters count.
+    range before, so only last keys meet in one window.
     """
-    keys = docs.groupBy("key").agg(F.max("n").alias("n"))
-    ranged = written(keys.repartitionByRange("key").select("key", "n", F.spark_partition_id().alias("part")), "ids")
-    last = ranged.groupBy("part").agg(F.max(F.struct("key", "n")).alias("last"))
+    keys = docs.select("key").distinct()
+    ranged = written(keys.repartitionByRange("key").select("key", F.spark_partition_id().alias("part")), "ids")
+    last = ranged.groupBy("part").agg(F.max("key").alias("last"))
     order = Window.orderBy("part")
     everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     earlier = last.select("part", F.coalesce(F.lag("last").over(order), F.last("last").over(everything)).alias("earlier"))
-    here = F.lag(F.struct("key", "n")).over(Window.partitionBy("part").orderBy("key"))
-    before = ranged.withColumn("here", here).join(earlier, "part").select("key", F.coalesce("here", "earlier").alias("before"))
-    return before.select("key", F.col("before.key").alias("before"), F.col("before.n").alias("before_n"))
+    here = F.lag("key").over(Window.partitionBy("part").orderBy("key"))
+    return ranged.withColumn("here", here).join(earlier, "part").select("key", F.coalesce("here", "earlier").alias("before"))
 
 
 def with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's fingerprint, beside that of its edited text.
+    """Every row's fingerprint, beside that of its edited text, and how it matches that and the next text.
 
     The edit replaces the last half of the characters by the first ones of the next document.
-    Texts move once, to where their id is; of a next document only the part moves on that its
-    predecessor can use.
+    Texts move once to where their id is, and once to their predecessor's; anchors are found
+    there, as moving all of them would cost more than the texts do.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     docs = df.select(key.alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = _next_ids(docs.select("key", F.length("text").alias("n")))
+    order = _next_ids(docs)
     # one exchange serves both sides below, so both read the same columns of it
-    own = docs.withColumn("sketch", sketch(F.col("text"))).repartition("key")
-    follower = own.join(order, "key").select(
-        F.col("before").alias("key"), F.expr("substring(text, 1, before_n div 2)").alias("piece"),
-        F.col("sketch").alias("next_sketch"), F.xxhash64("text").alias("hash"),
-    )
+    own = docs.repartition("key")
+    follower = own.join(order, "key").select(F.col("before").alias("key"), F.col("text").alias("next"), F.xxhash64("text").alias("hash"))
     first = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
     follower = follower.withColumn("first", first).filter("first = 1").drop("first", "hash")
     met = own.join(follower, "key").withColumn("n", F.length("text"))
-    edited = F.expr("concat(substring(text, 1, n - n div 2), substring(piece, 1, n div 2))")
-    told = met.select("key", "n", "sketch", "next_sketch", edited.alias("edited"))
-    told = told.withColumn("edited_sketch", sketch(F.col("edited")))
+    edited = F.expr("concat(substring(text, 1, n - n div 2), substring(next, 1, n div 2))")
+    told = met.withColumn("edited", edited).select(
+        "key", "n",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        anchors_of(F.col("text")).alias("anchors"),
+        anchors_of(F.col("edited")).alias("edited_anchors"),
+        firsts(anchors_of(F.col("next"))).alias("next_firsts"),
+    )
+    told = told.withColumns({"firsts": firsts(F.col("anchors")), "edited_firsts": firsts(F.col("edited_anchors"))})
+    told = told.withColumns({
+        "to_edited": match(F.col("firsts"), F.col("edited_firsts")), "to_next": match(F.col("firsts"), F.col("next_firsts")),
+    })
     return told.select(
         F.nullif("key", F.lit(NO_ID)).alias(id_col),
         F.col("n").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        printed(F.col("sketch")).alias("fingerprint"),
-        printed(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        "edited_sha256",
+        fingerprint(F.col("anchors")).alias("fingerprint"),
+        fingerprint(F.col("edited_anchors")).alias("edited_fingerprint"),
+        F.col("to_edited.near").alias("near_edited"),
+        F.col("to_next.near").alias("near_next"),
+        F.col("to_edited.aligned").alias("aligned_edited"),
+        F.col("to_next.aligned").alias("aligned_next"),
+        printed(sketch(F.col("firsts"))).alias("sketch"),
+        printed(sketch(F.col("edited_firsts"))).alias("edited_sketch"),
     )
