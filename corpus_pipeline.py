@@ -18,8 +18,9 @@ from tradepulse.llm import bpe, language, mixing, neardup, secretscan
 from tradepulse.llm.catalogue import VOCABULARY
 from tradepulse.llm.common import table, written
 
-#: Documents whose predicted language has a lower score are rejected.
-LEAST_SCORE = 0.2
+#: Documents whose score is nearer than this to that of undecided classifiers are rejected: a
+#: share of the way from there (0) to certainty (1), by the logarithm of the score.
+LEAST_SURE = 0.5
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -32,8 +33,13 @@ def _counted(docs: DataFrame) -> DataFrame:
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: no letter, or a language that no classifier is sure of."""
     names = ("_language", "_score")
-    predicted = language.predict(docs, language.fit(docs), into=names, keep_text=True)
-    return predicted.filter((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).drop(*names)
+    model = language.fit(docs)
+    predicted = language.predict(docs, model, into=names, keep_text=True)
+    least = [F.lit(x) for lang, score in model.least_scores().items() for x in (lang, score ** (1 - LEAST_SURE))]
+    if not least:
+        return predicted.filter(F.lit(False)).drop(*names)
+    sure = F.col(names[1]) >= F.create_map(*least)[F.col(names[0])]
+    return predicted.filter((F.col(names[0]) != language.UNKNOWN) & sure).drop(*names)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

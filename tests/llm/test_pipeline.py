@@ -82,3 +82,26 @@ def test_odd_rows_and_an_empty_table(spark, sf_dir):
             docs = spark.createDataFrame(out.collect(), out.schema)
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
         assert (docs.count() > 0) == (start > 0)
+
+
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "qxz zzkq wvwx qqjx kzxv jjqw xkcd vbnm zxcv qwrt ghjk plkm nbvc xzlk jhgf dsaq",
+]
+
+
+def test_language_stage_rejects_what_no_classifier_is_sure_of(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(UNLEARNED)], docs.schema)
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, docs.unionByName(odd), sf_dir).collect()}
+    assert kept == {r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")}
+
+
+def test_language_stage_keeps_all_letters_of_a_single_language(spark, sf_dir):
+    docs = spark.createDataFrame([(1, "hello there", "en"), (2, "12", "en"), (3, None, "en")], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, sf_dir).collect()] == [1]
+    assert corpus_pipeline.keep_known_languages(spark, docs.filter("text is null"), sf_dir).count() == 0

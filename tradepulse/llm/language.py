@@ -127,6 +127,11 @@ class Model:
         language, chance = self.within[family].choose(x)
         return language, sure * chance
 
+    def least_scores(self) -> dict[str, float]:
+        """By language: the score of a document for which every classifier is undecided."""
+        half = lambda duel: 0.5 if duel.pairs else 1.0
+        return {lang: half(self.family) * half(duel) for duel in self.within.values() for lang in duel.names}
+
 
 def fit(
     df: DataFrame, per_language: int = TRAINING_TEXTS, text_col: str = "text", lang_col: str = "lang",
