@@ -49,3 +49,14 @@ def test_odd_rows(spark):
 def test_a_long_text_is_read_to_its_end():
     start, end = language.grams("a" * 3_000_000), language.grams("a" * 3_000_000 + "zq")
     assert start.sum() != end.sum() and (start != end).any()
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    """Few texts with many copies are all learned from, as their hashes are few."""
+    words = {"en": "the house and garden", "de": "das haus und der garten", "fr": "la maison et le jardin"}
+    texts = [(f"{text} {'abcdefghij'[i]}", lang) for lang, text in words.items() for i in range(10)]
+    many = spark.range(3000).crossJoin(spark.createDataFrame(texts, "text string, lang string")).drop("id")
+    model = language.fit(many, per_language=10)
+    assert {name for duel in model.within.values() for name in duel.names} == set(words)
+    once = language.fit(spark.createDataFrame(texts, "text string, lang string"), per_language=10)
+    assert np.array_equal(model.family.weights, once.family.weights)

@@ -70,3 +70,10 @@ def test_odd_rows(spark, rows):
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token=abcdefghij b " + "0f" * 20)], "doc_id long, text string")
     assert secretscan.redact(df, np.zeros((68, 68))).first().text == "a [secret] b [secret]"
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    texts = [(f"see identifier_{i} and token=abcdefgh{i}",) for i in range(20)]
+    many = spark.range(500).crossJoin(spark.createDataFrame(texts, "text string")).drop("id")
+    for rows in (20, 5):
+        assert secretscan.samples(many, rows=rows).filter("secret").count() == rows

@@ -143,12 +143,13 @@ def fit(
     Only their n-gram counts come to the driver.
     """
     rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
-    # one number for each language, as the model itself has; no text is shuffled for it
-    counts = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    hashed = rows.withColumn("key", F.xxhash64("text", F.lit(41)))
+    # different texts, as copies are learned from once; one number for each language comes
+    # back, as the model itself has, and no text is shuffled for it
+    counts = {row["lang"]: row["count"] for row in hashed.select("lang", "key").distinct().groupBy("lang").count().collect()}
     if not counts:
         return Model(None, {})
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, 2.0 * STEPS * per_language / n)])
-    hashed = rows.withColumn("key", F.xxhash64("text", F.lit(41)))
     near = hashed.filter(F.pmod("key", F.lit(STEPS)) <= share[F.col("lang")]).dropDuplicates(["lang", "key"])
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
 
