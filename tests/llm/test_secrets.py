@@ -77,3 +77,21 @@ def test_copies_do_not_shrink_the_sample(spark):
     many = spark.range(500).crossJoin(spark.createDataFrame(texts, "text string")).drop("id")
     for rows in (20, 5):
         assert secretscan.samples(many, rows=rows).filter("secret").count() == rows
+
+
+def test_a_label_that_few_texts_have_is_sampled(spark):
+    """Secrets in one text of hundreds, and identifiers in one, still train both chains."""
+    chance = np.random.default_rng(4)
+    symbols = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    secrets = ["".join(chance.choice(symbols, 30)) for _ in range(40)]
+    texts = [f"the get_value_{i % 7}_from_list of user_index_name {i}" for i in range(600)]
+    rare = [f"token={s}" for s in secrets]
+    hidden = "".join(chance.choice(symbols, 30))
+    df = spark.createDataFrame(list(enumerate([*texts, " ".join(rare[:39]), f"see {hidden} here"])), "doc_id long, text string").repartition(3)
+    labelled = secretscan.samples(df, rows=10)
+    assert sorted(r.value for r in labelled.filter("secret").collect()) == sorted(secrets[:39])
+    ratio = secretscan.train(labelled)
+    found = {r.doc_id: [s.kind for s in r.found] for r in secretscan.scan(df, ratio).collect()}
+    assert found[601] == ["markov"] and not any(found[i] for i in range(600))
+    other = spark.createDataFrame([(t,) for t in [f"token=abcdefg{i}" for i in range(300)] + ["one ordinary_identifier"]], "text string")
+    assert [r.value for r in secretscan.samples(other, rows=5).filter("not secret").collect()] == ["ordinary_identifier"]

@@ -1,8 +1,7 @@
-"""What the operators share: tables, written intermediates, bounded samples, prefix sums."""
+"""What the operators share: tables, written intermediates, prefix sums."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -34,19 +33,6 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
-def bounded_sample(df: DataFrame, text: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows with different texts, the ones whose text hash is smallest.
-
-    A share of the hash range is cut off first, so that of different texts only about twice the
-    bound moves. It follows from their number, so copies don't shrink the sample.
-    """
-    hashed = df.filter(F.col(text).isNotNull()).withColumn("_hash", F.xxhash64(F.col(text), F.lit(29)))
-    total = hashed.select("_hash").distinct().count()
-    share = math.ceil(STEPS * min(1.0, 2 * rows / max(total, 1)))
-    near = hashed.filter(F.pmod("_hash", F.lit(STEPS)) < share).dropDuplicates(["_hash"])
-    return near.orderBy("_hash").limit(rows).drop("_hash")
-
-
 def running_start(
     df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column | str], value: str, into: str
 ) -> DataFrame:

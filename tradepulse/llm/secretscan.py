@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradepulse.llm.common import bounded_sample, small
+from tradepulse.llm.common import small, written
 
 # The kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "markov")
@@ -39,7 +39,7 @@ IDENTIFIER = re.compile(r"[A-Za-z0-9_-]{8,}")
 THRESHOLD, DISTINCT = 1.0, 8
 #: Transitions that the prior of a chain weighs; weight of an unseen symbol.
 PRIOR, SMOOTHING = 4.0, 0.5
-#: Documents that the samples are taken from.
+#: Documents that the sample of each label is taken from, at most.
 SAMPLE_ROWS = 4000
 
 _CODE = np.full(128, len(SYMBOLS), dtype=np.int64)
@@ -78,30 +78,57 @@ def _added(text: str, base: list[Span], ratio: np.ndarray, threshold: float) ->
     return found
 
 
+def _random(text: str, spans: list[Span]) -> list[str]:
+    """What the patterns match in a text."""
+    return [ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end] for start, end, kind in spans]
+
+
+def _plain(text: str, spans: list[Span]) -> Iterator[str]:
+    """The other runs of identifier characters."""
+    return (m[0] for m in IDENTIFIER.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in spans))
+
+
 def samples(df: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> DataFrame:
-    """Labelled strings (``value``, ``secret``) from a bounded sample of the texts.
+    """Labelled strings (``value``, ``secret``), of each label from at most ``rows`` different texts.
 
     What the patterns match is a random string; other runs of identifier characters are
-    ordinary.
+    ordinary. Of the texts of the whole table that have strings of a label, those with the
+    smallest hash are taken, so a label that few texts have is sampled as well.
     """
-    picked = bounded_sample(df.select(F.col(text_col).alias("text")), "text", rows)
+    texts = df.select(F.col(text_col).alias("text")).filter("text is not null").withColumn("hash", F.xxhash64("text", F.lit(29)))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            texts = batch.column(0).to_pylist()
+            spans = [base_spans(text) for text in texts]
+            plain = [any(True for _ in _plain(*found)) for found in zip(texts, spans, strict=True)]
+            has = [pa.array(list(map(bool, spans)), pa.bool_()), pa.array(plain, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *has], names=["hash", "random", "plain"])
+
+    # hashes only; the last one that is taken of each label
+    labels = texts.mapInArrow(find, "hash long, random boolean, plain boolean").filter("random or plain").distinct()
+    labels = written(labels, "labels")
+    last = {
+        label: labels.filter(label).select("hash").orderBy("hash").limit(rows).agg(F.max("hash")).first()[0] for label in ("random", "plain")
+    }
+    # below any hash if there is none
+    upto = [-(1 << 63) - 1 if last[label] is None else last[label] for label in ("random", "plain")]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            values, secret = [], []
-            for text in batch.column(0).to_pylist():
+            random, plain = [], []
+            for text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 spans = base_spans(text)
-                for start, end, kind in spans:
-                    value = ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end]
-                    values.append(value)
-                    secret.append(True)
-                for m in IDENTIFIER.finditer(text):
-                    if not any(s < m.end() and m.start() < e for s, e, _ in spans):
-                        values.append(m[0])
-                        secret.append(False)
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.string()), pa.array(secret, pa.bool_())], names=["value", "secret"])
-
-    return picked.mapInArrow(label, "value string, secret boolean")
+                random.append(_random(text, spans) if at <= upto[0] else [])
+                plain.append(list(_plain(text, spans)) if at <= upto[1] else [])
+            kept = [pa.array(values, pa.list_(pa.string())) for values in (random, plain)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *kept], names=["hash", "random", "plain"])
+
+    near = texts.filter(F.col("hash") <= F.lit(max(-(1 << 63), *upto)))
+    taken = near.mapInArrow(label, "hash long, random array<string>, plain array<string>").filter("size(random) + size(plain) > 0")
+    own = F.array(*[F.struct(F.col(name).alias("values"), F.lit(secret).alias("secret")) for name, secret in (("random", True), ("plain", False))])
+    of_label = taken.dropDuplicates(["hash"]).select(F.explode(own).alias("own"))
+    return of_label.select(F.explode("own.values").alias("value"), F.col("own.secret").alias("secret"))
 
 
 def train(labelled: DataFrame) -> np.ndarray:
