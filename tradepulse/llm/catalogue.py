@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepulse.llm import bpe, hilbert, language, lengths, mixing, neardup, quotes, secretscan, syncmers, topk
+from tradepulse.llm import bpe, hilbert, language, lengths, mixing, neardup, pieces, quotes, secretscan, spelling, syncmers, topk, whitening
 from tradepulse.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,25 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(PIECES)
+    ids = pieces.encode(table(spark, sf_dir, "documents"), model)
+    return pieces.decode(ids, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_language": op2_language,
@@ -86,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_syncmers": op10_syncmers,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_pieces": op13_pieces,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
