@@ -34,14 +34,16 @@ def test_ids_and_texts_equal_the_library(spark, processor, limit):
         assert list(r.ids) == want and r.text == processor.decode(want)
 
 
-def test_each_distinct_chunk_is_segmented_once(processor):
-    table = pieces.ChunkTable(processor)
-    texts = ["one two  two one", "two one three", "one"]
-    for text in texts:
-        table.ids(text)
-    assert table.segmented == len({c for t in texts for c in pieces.chunks(t)}) == 4
-    table.ids("one", limit=0)  # starts anew
-    assert table.segmented == 5 and len(table) == 1
+def test_each_distinct_chunk_is_segmented_once(processor, monkeypatch):
+    texts = ["one two  two one", "two one three", "", "one"]
+    distinct = len({c for t in texts if t for c in pieces.chunks(t)})
+    for group in (1, 15, pieces.GROUP):
+        monkeypatch.setattr(pieces, "GROUP", group)
+        table = pieces.ChunkTable(processor)
+        assert [len(x) // 4 for x in table.ids(texts)] == [len(processor.encode(t)) for t in texts]
+        assert table.segmented == len(table) == distinct == 4
+    table.limit = 0  # starts anew
+    assert len(list(table.ids(["one"]))) == 1 and table.segmented == 5 and len(table) == 1
 
 
 def test_every_row_counts(spark, processor):

@@ -16,6 +16,7 @@ drops white space or changes characters is refused.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from tradepulse.llm.common import small
 MARKER = "▁"
 #: Characters of chunks that a task's table holds before it starts anew, between two texts.
 TABLE = 8_000_000
+#: Characters of the texts whose new chunks are segmented in one go.
+GROUP = 1 << 20
 
 
 def read_model(path: str) -> bytes:
@@ -54,29 +57,38 @@ def check_model(model: bytes) -> None:
 
 
 class ChunkTable(dict):
-    """Ids of each distinct chunk as packed 32-bit integers, segmented when first asked for."""
+    """Ids of each distinct chunk as packed 32-bit integers, segmented when first met."""
 
-    def __init__(self, processor: sentencepiece.SentencePieceProcessor) -> None:
+    def __init__(self, processor: sentencepiece.SentencePieceProcessor, limit: int = TABLE) -> None:
         super().__init__()
-        self.processor = processor
-        self.held = 0
-        self.segmented = 0
-
-    def __missing__(self, chunk: str) -> bytes:
-        # the model puts the chunk's first marker there itself, but not into an empty text
-        ids = self.processor.encode(chunk[1:]) if len(chunk) > 1 else [self.processor.piece_to_id(MARKER)]
-        self[chunk] = packed = np.array(ids, "<i4").tobytes()
-        self.held += len(chunk)
-        self.segmented += 1
-        return packed
-
-    def ids(self, text: str, limit: int = TABLE) -> bytes:
-        if self.held > limit:
+        self.processor, self.limit = processor, limit
+        self.held = self.segmented = 0
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of each text. Texts are taken together up to ``GROUP`` characters, or one by one."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > GROUP:
+                yield from self._of_group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        yield from self._of_group(group)
+
+    def _of_group(self, texts: list[str]) -> list[bytes]:
+        if self.held > self.limit:
             self.clear()
             self.held = 0
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, chunks(text)))
+        cut = [chunks(text) if text else [] for text in texts]
+        fresh = list(set().union(*cut).difference(self))
+        # the model puts a chunk's first marker there itself, but not into an empty text
+        found = self.processor.encode([chunk[1:] for chunk in fresh], num_threads=1)
+        for chunk, ids in zip(fresh, found, strict=True):
+            self[chunk] = array("i", ids if len(chunk) > 1 else [self.processor.piece_to_id(MARKER)]).tobytes()
+            self.held += len(chunk)
+        self.segmented += len(fresh)
+        return [b"".join(map(self.__getitem__, own)) for own in cut]
 
 
 def chunks(text: str) -> list[str]:
@@ -91,11 +103,11 @@ def encode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     id_type = df.schema[id_col].dataType.simpleString()
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ChunkTable(_processor(shared.value))
+        known = ChunkTable(_processor(shared.value), table)
         for batch in small(batches):
-            packed = [known.ids(text, table) for text in batch.column("text").to_pylist()]
+            packed = list(known.ids(batch.column("text").to_pylist()))
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), ids], names=["id", "ids"])
 
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
