@@ -10,8 +10,10 @@ threads' first turns, then of turns, so that each reply follows what it answers.
 Defined results: a null text stays null and quotes nothing; a text that is all quotes becomes
 empty; a passage that occurs nowhere earlier is dropped like the other quotes, but links to
 nothing; copies of a passage link to its first message; a null conversation is one of its
-own; a null turn sorts first and links to nothing; repeated rows each get a place; extra
-columns are not looked at.
+own; a null turn sorts first and links to nothing; repeated rows each get a place; lines end
+at ``\\n``, ``\\r`` or both, other separators belong to their line; texts, lines and runs of
+marks or blanks may be of any length; an empty table gives no row; extra columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -23,20 +25,25 @@ from pyspark.sql.window import Window
 from tradepulse.llm.common import running_start, written
 from tradepulse.llm.components import components
 
-# Fixed value: what a quoted line begins with; up to three blanks may stand before each mark.
-MARKS = r"^((?:[ \t]{0,3}>)*)[ \t]?(.*)$"
-#: Blank lines before a text, and white space behind it.
-OUTER = r"^(?:[ \t]*\n)+|\s+$"
-#: Turns whose threads one task puts in order.
+# Fixed value: what quoted lines begin with, marks and blanks; up to three blanks may stand before a mark.
+MARKS, BLANKS = r"^[ \t>]*", " " * 4
+WHITE = " \t\n\x0b\f\r"
+#: Turns, or threads, that one task puts in order.
 RUN = 64
 
 
 def lines(messages: DataFrame) -> DataFrame:
-    """One row per line: ``conv``, ``turn``, ``copy``, ``number``, ``level``, ``body`` and ``blank``."""
+    """One row per line: ``conv``, ``turn``, ``copy``, ``number``, ``level``, ``body`` and ``blank``.
+
+    Marks end at the first four blanks in a row. Behind them one blank more is not the line's own.
+    """
     split = messages.select("conv", "turn", "copy", F.posexplode(F.split("text", r"\r\n|\n|\r")).alias("number", "line"))
-    body = F.regexp_extract("line", MARKS, 2)
-    level = F.length(F.regexp_replace(F.regexp_extract("line", MARKS, 1), "[^>]", ""))
-    return split.select("conv", "turn", "copy", "number", level.alias("level"), body.alias("body"), (F.trim(F.regexp_replace(body, r"\s", " ")) == "").alias("blank"))
+    before = F.translate(F.regexp_extract("line", MARKS, 0), "\t", " ")
+    marks = F.rtrim(F.substring_index(before, BLANKS, 1))
+    marked = split.withColumn("marks", marks).withColumn("rest", F.expr("substring(line, length(marks) + 1)"))
+    level = F.length("marks") - F.length(F.translate("marks", ">", ""))
+    body = F.when((F.col("marks") != "") & F.substring("rest", 1, 1).isin(" ", "\t"), F.expr("substring(rest, 2)")).otherwise(F.col("rest"))
+    return marked.select("conv", "turn", "copy", "number", level.alias("level"), body.alias("body"), (~body.rlike(r"\S")).alias("blank"))
 
 
 def passages(split: DataFrame) -> DataFrame:
@@ -85,8 +92,10 @@ def linked(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
 
     kept = (
         split.filter("level = 0").groupBy("conv", "turn", "copy")
-        .agg(F.array_sort(F.collect_list(F.struct("number", "body"))).alias("parts"))
-        .select("conv", "turn", "copy", F.regexp_replace(F.array_join(F.transform("parts", lambda p: p["body"]), "\n"), OUTER, "").alias("rest"))
+        .agg(F.array_sort(F.collect_list(F.struct("number", "body", "blank"))).alias("parts"))
+        .withColumn("first", F.array_position(F.transform("parts", lambda p: p["blank"]), False).cast("int"))
+        .select("conv", "turn", "copy", F.when(F.col("first") > 0, F.slice("parts", F.col("first"), F.size("parts"))).alias("parts"))
+        .select("conv", "turn", "copy", F.rtrim(F.array_join(F.transform("parts", lambda p: p["body"]), "\n"), F.lit(WHITE)).alias("rest"))
     )
     keys = ["conv", "turn", "copy"]
     told = links.join(kept.select(*[F.col(k).alias(f"_{k}") for k in keys], "rest"), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").drop(*[f"_{k}" for k in keys])
@@ -99,8 +108,13 @@ def linked(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", rol
         F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         F.when(F.col("n_quotes").isNotNull(), F.col("rest")).otherwise(F.col("text")).alias("text"),
-    ).withColumns({"_part": F.floor(F.col("thread") / RUN), "_one": F.lit(1).cast("long")})
-    placed = running_start(full, ["conv"], "_part", ["thread", "turn", "role", "copy"], "_one", "place")
+    ).withColumns({"_run": F.floor(F.col("turn") / RUN), "_one": F.lit(1).cast("long")})
+    # a place is what stands in earlier threads and what is earlier in its own
+    sizes = full.groupBy(F.col("conv").alias("_conv"), F.col("thread").alias("_thread")).agg(F.count(F.lit(1)).alias("n"))
+    ahead = running_start(sizes.withColumn("_run", F.floor(F.col("_thread") / RUN)), ["_conv"], "_run", ["_thread"], "n", "ahead").drop("_run", "n")
+    within = running_start(full, ["conv", "thread"], "_run", ["turn", "role", "copy"], "_one", "within")
+    of_thread = [F.col("conv").eqNullSafe(F.col("_conv")), F.col("thread").eqNullSafe(F.col("_thread"))]
+    placed = within.join(ahead, of_thread).withColumn("place", F.col("ahead") + F.col("within"))
     return placed.select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), "place", "thread", "reply_to", "n_quotes", "n_linked",
         F.col("text").alias(text_col),
