@@ -88,3 +88,40 @@ def test_mix_fills_every_slot_once_and_texts_follow(spark):
         assert set(own) <= set(rows[r.doc_id][1].split(" ")) and r.taken == 7
         counted[r.doc_id] += len(own)
     assert counted == Counter({i: n for i, n in words.items() if n})
+
+
+def test_slots_of_each_shard_are_as_many_as_were_drawn(spark):
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(i * 37 % 900)), f"s{i % 4}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = df.select("doc_id", "source", mixing.word_count("text").alias("size"))
+    sources = mixing.targets(sized).cache()
+    placed = mixing.packed(sized, sources).cache()
+    drawn = {(r["rank"], r.shard): (r.n, r.start) for r in mixing.shard_counts(sources, 5).collect()}
+    slots = {r["rank"]: r.slots for r in sources.collect()}
+    for rank, total in slots.items():
+        own = [drawn[rank, s] for s in range(5) if (rank, s) in drawn]
+        assert sum(n for n, _ in own) == total
+        assert [start for _, start in own] == [sum(n for n, _ in own[:i]) for i in range(len(own))]
+        assert len({n for n, _ in own}) > 1  # left to chance
+    mix = mixing.mix(placed, sources, shards=5).collect()
+    held = {(r["rank"], r.shard, r.slot) for r in mix}
+    assert held == {(rank, shard, i) for (rank, shard), (n, _) in drawn.items() for i in range(n)}
+    words = Counter()
+    for r in mix:
+        words[r["rank"], r.shard] += r.words
+    for (rank, shard), (n, _) in drawn.items():
+        assert 0 <= n * mixing.BLOCK - words[rank, shard] <= 3 * mixing.BLOCK  # last blocks are not full
+    taken = mixing.taken(df).collect()
+    assert all(bool(r.shards) == bool(r.taken) and list(r.shards) == sorted(set(r.shards)) for r in taken)
+
+
+def test_equal_rows_are_mixed_each(spark):
+    rows = [(1, "a b c " * 40, "s", 1)] * 9 + [(2, "d e " * 50, "t", 2)] + [(3, None, "t", 3), (3, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    taken = Counter()
+    for r in mixing.taken(df).collect():
+        taken[r.doc_id] += r.taken
+    got = Counter()
+    for r in mixing.mixed(df).collect():
+        got[r.doc_id] += len(r.text.split())
+    assert got == Counter({i: n for i, n in taken.items() if n})

@@ -1,11 +1,11 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
 The words of each source are packed into blocks of a fixed length, in a pseudorandom order of
-its documents. A source fills as many slots of the mix as its target needs. Every slot falls
-on an output shard by chance, so that the counts of the sources in a shard are a multinomial
-draw (given the totals, which therefore meet the targets); slot number j of a source takes
-the block that a pseudorandom permutation of the source's block numbers maps j to, and starts
-over when all blocks are used. Blocks and slots meet in a join by source and block number.
+its documents. A source fills as many slots of the mix as its target needs. How many of them
+each output shard holds is a multinomial draw given that total, so that targets are met. The
+slots of a shard go on where those of the one before end; slot number j of a source takes the
+block that a pseudorandom permutation of the source's block numbers maps j to, and starts over
+when all blocks are used. Blocks and slots meet in a join by source and block number.
 
 Defined results: a null text has no words; documents without words are not taken; a null
 source is a source of its own, the last one; ties in the packing order go by id, then size;
@@ -74,22 +74,38 @@ def permuted(number: Column, size: Column, key: Column, rounds: int = ROUNDS) ->
     return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), number, step)
 
 
-def draw(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``rank``, ``slot``, ``block`` and ``shard`` of every slot of the mix."""
+def shard_counts(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``rank``, ``shard``, ``n`` and ``start``: a multinomial draw of each source's slots over the shards.
+
+    A source's total is given, so its counts add up to ``slots``; ``start`` is their running sum.
+    """
     runs = sources.filter("slots > 0").select(
-        "rank", "blocks", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {SLOTS})")).alias("run")
+        "rank", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {SLOTS})")).alias("run")
     )
-    total = sources.agg(F.sum("slots")).first()[0] or 0
-    spread = runs.repartition(1 + total // TASK_SLOTS, "rank", "run")
-    slots = spread.select(
-        "rank", "blocks", F.explode(F.expr(f"sequence(run * {SLOTS}, least(slots, (run + 1) * {SLOTS}) - 1)")).alias("slot")
+    slots = _spread(runs, sources).select(
+        "rank", F.explode(F.expr(f"sequence(run * {SLOTS}, least(slots, (run + 1) * {SLOTS}) - 1)")).alias("slot")
     )
-    return slots.select(
-        "rank",
-        "slot",
-        permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("rank")).alias("block"),
-        F.pmod(F.xxhash64("slot", "rank", F.lit(SEED + 1)), F.lit(shards)).cast("int").alias("shard"),
+    shard = F.pmod(F.xxhash64("slot", "rank", F.lit(SEED + 1)), F.lit(shards)).cast("int")
+    counts = slots.groupBy("rank", shard.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def _spread(runs: DataFrame, sources: DataFrame) -> DataFrame:
+    """Runs of slots over as many tasks as all slots need."""
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    return runs.repartition(1 + total // TASK_SLOTS, *[c for c in ("rank", "shard", "run") if c in runs.columns])
+
+
+def draw(sources: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``rank``, ``shard``, ``slot`` (numbered in its shard) and ``block`` of every slot of the mix."""
+    counts = shard_counts(sources, shards).join(sources.select("rank", "blocks"), "rank")
+    runs = counts.select("rank", "shard", "blocks", "n", "start", F.explode(F.expr(f"sequence(0L, (n - 1) div {SLOTS})")).alias("run"))
+    slots = _spread(runs, sources).select(
+        "rank", "shard", "blocks", "start", F.explode(F.expr(f"sequence(run * {SLOTS}, least(n, (run + 1) * {SLOTS}) - 1)")).alias("slot")
     )
+    index = (F.col("start") + F.col("slot")) % F.col("blocks")
+    return slots.select("rank", "shard", "slot", permuted(index, F.col("blocks"), F.col("rank")).alias("block"))
 
 
 def packed(sized: DataFrame, sources: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -117,56 +133,57 @@ def spans(placed: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(placed: DataFrame, sources: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
     """The mix itself: ``shard``, ``rank``, ``slot`` and the spans that fill the slot, word by word."""
-    return spans(placed, block).join(draw(sources, shards).hint("merge"), ["rank", "block"])
-
-
-def uses(placed: DataFrame, sources: DataFrame, block: int = BLOCK, shards: int = SHARDS) -> DataFrame:
-    """``spans`` with ``times``, how often the mix takes each."""
-    times = draw(sources, shards).groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
     # Spark takes what is expanded from the small table of sources for small, too
-    return spans(placed, block).join(times.hint("merge"), ["rank", "block"])
+    return spans(placed, block).join(draw(sources, shards).hint("merge"), ["rank", "block"])
 
 
 def taken(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``id_col``, ``size``, ``source_size``, ``target`` and ``taken`` of every row."""
+    """``id_col``, ``size``, ``source_size``, ``target``, ``taken`` and ``shards``, where its words go, of every row."""
     sized = written(df.select(F.col(id_col), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "sizes")
     sources = written(targets(sized), "sources")
     placed = written(packed(sized, sources, id_col), "packed")
-    words = uses(placed, sources).groupBy("rank", "at").agg(F.sum(F.col("words") * F.col("times")).alias("_taken"))
+    words = mix(placed, sources).groupBy("rank", "at").agg(
+        F.sum("words").alias("_taken"), F.array_sort(F.collect_set("shard")).alias("shards")
+    )
     joined = placed.join(words.withColumn("size_", F.lit(True)), ["rank", "at"], "left")
-    own = F.when(F.col("size") > 0, F.coalesce("_taken", F.lit(0))).otherwise(0).cast("long")
-    return joined.select(id_col, "size", "source_size", "target", own.alias("taken"))
+    used = F.col("size") > 0  # rows without words share their place with the next one
+    own = F.when(used, F.coalesce("_taken", F.lit(0))).otherwise(0).cast("long")
+    where = F.coalesce(F.when(used, F.col("shards")), F.array().cast("array<int>")).alias("shards")
+    return joined.select(id_col, "size", "source_size", "target", own.alias("taken"), where)
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``df`` as the mix has it: each document as often as its words are used, with those words.
 
     A document that a pass uses whole keeps its text; of others the words used remain, with
-    single spaces. Columns stay as they are.
+    single spaces. Columns stay as they are. What is counted and ordered carries two hashes
+    of a row and not its text, which meets the words it is asked for once, at the end. Equal
+    rows have equal hashes and are as good as one another.
     """
     columns = df.columns
-    inner = F.struct(*[F.col(c) for c in columns]).alias("row")
-    sized = df.select(
-        F.monotonically_increasing_id().alias("line"), F.col(id_col).alias("_id"), F.col(source_col).alias("source"),
-        word_count(text_col).alias("size"), inner,
-    )
-    sized = written(sized, "sizes")  # from here on a line's number is fixed
+    keys = ["_key", "_check"]
+    keyed = df.select(*columns, *[F.xxhash64(*columns, F.lit(SEED + i)).alias(k) for i, k in enumerate(keys, 4)])
+    sized = keyed.select(*keys, F.col(id_col).alias("_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"))
+    sized = written(sized, "sizes")
     sources = written(targets(sized.select("source", "size")), "sources")
-    placed = written(packed(sized.drop("row"), sources, "_id"), "packed")
-    used = uses(placed.select("rank", "at", "size"), sources)
-    parts = used.groupBy("rank", "at").agg(F.array_sort(F.collect_list(F.struct("first", "words", "times"))).alias("parts"))
-    of_line = placed.filter("size > 0").select("rank", "at", "line").join(parts, ["rank", "at"]).select("line", "parts")
-    passes = sized.select("line", "size", "row").join(of_line, "line").select(
-        "row", "size", "parts", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")).alias("turn")
-    )
-    cut = passes.withColumn("own", F.expr("filter(parts, p -> p.times >= turn)"))
+    placed = written(packed(sized, sources, "_id"), "packed")
+    uses = mix(placed.select("rank", "at", "size"), sources).groupBy("rank", "at", "first", "words").agg(F.count(F.lit(1)).alias("times"))
+    parts = uses.groupBy("rank", "at").agg(F.array_sort(F.collect_list(F.struct("first", "words", "times"))).alias("parts"))
+    of_row = placed.filter("size > 0").select("rank", "at", "size", *keys).join(parts, ["rank", "at"])
+    passes = of_row.select(*keys, "size", "parts", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")).alias("turn"))
+    cut = passes.select(*keys, "size", F.expr("filter(parts, p -> p.times >= turn)").alias("own"))
+
+    repeated = written(sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys), "repeated")
+    once = keyed.join(repeated, keys, "left_anti").unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    named = once.select(*keys, *[F.col(c).alias(f"_row_{i}") for i, c in enumerate(columns)])
+    text = F.col(f"_row_{columns.index(text_col)}")
     whole = F.expr("aggregate(own, 0L, (n, p) -> n + p.words)") == F.col("size")
-    words = F.regexp_extract_all(F.col("row")[text_col], F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
     def taken_of(all_words: Column) -> Column:
         return F.flatten(F.transform("own", lambda p: F.slice(all_words, (p["first"] + 1).cast("int"), p["words"].cast("int"))))
 
     # the words are found once for all parts
     pieces = F.array_join(F.flatten(F.transform(F.array(words), taken_of)), " ")
-    text = F.when(whole, F.col("row")[text_col]).otherwise(pieces)
-    return cut.withColumn("_text", text).select(*[F.col("_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in columns])
+    own_text = F.when(whole, text).otherwise(pieces)
+    return named.join(cut, keys).select(*[(own_text if c == text_col else F.col(f"_row_{i}")).alias(c) for i, c in enumerate(columns)])
