@@ -105,3 +105,20 @@ def test_language_stage_keeps_all_letters_of_a_single_language(spark, sf_dir):
     docs = spark.createDataFrame([(1, "hello there", "en"), (2, "12", "en"), (3, None, "en")], "doc_id long, text string, lang string")
     assert [r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, sf_dir).collect()] == [1]
     assert corpus_pipeline.keep_known_languages(spark, docs.filter("text is null"), sf_dir).count() == 0
+
+
+def test_texts_under_one_id_are_told_apart(spark, sf_dir):
+    texts = [" ".join(f"{c}{k}" for k in range(60)) for c in "abc"]
+    near = texts[0].replace("a59", "other")
+    rows = [(1, texts[0], "en"), (1, texts[1], "en"), (1, texts[1], "de"), (1, texts[1], "de"), (2, near, "en"), (3, texts[2], None), (3, texts[2], None), (None, texts[2], None), (None, None, None)]
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    results = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(parts)
+        results.append(sorted(map(tuple, stage(spark, docs, sf_dir).collect()), key=str))
+    assert results[0] == results[1]
+    kept = [r for r in results[0] if r[0] is not None]
+    assert len(results[0]) - len(kept) == 2
+    assert sorted(r[1] for r in kept if r[1] not in (texts[0], near)) == [texts[1], texts[2]]
+    assert sum(r[1] in (texts[0], near) for r in kept) == 1
+    assert ("de" in {r[2] for r in kept}) and len(kept) == 3
