@@ -43,11 +43,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near copies, the one with the smallest id stays."""
-    found = neardup.near_duplicates(docs)
-    kept = found.filter("kept and id is not null").select(F.col("id").alias("_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """Of documents linked by near copies, the one with the smallest id stays.
+
+    An id over different texts names none of them: each such text is told apart by a hash of
+    both. Of rows alike in id and text, the smallest by all columns stays.
+    """
+    named = docs.filter("doc_id is not null")
+    seen = named.select("doc_id", F.xxhash64("text").alias("h")).groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    shared = written(seen.filter("low <> high").select(F.col("doc_id").alias("_shared")), "shared-ids")
+    own = F.when(F.col("_shared").isNull(), F.col("doc_id").cast("long")).otherwise(F.xxhash64("doc_id", "text"))
+    marked = named.join(shared, F.col("doc_id") == F.col("_shared"), "left").withColumn("_node", own).drop("_shared")
+    found = neardup.near_duplicates(marked, id_col="_node")
+    kept = found.filter("kept").select(F.col("id").alias("_node")).distinct()
+    row = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")
+    rows = marked.join(kept, "_node", "left_semi").groupBy("_node").agg(row).select("_row.*")
+    return rows.unionByName(docs.filter("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
