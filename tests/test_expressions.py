@@ -1,11 +1,12 @@
 import json
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradepulse.functions import expressions as E
 from tradepulse.functions.rules import classify, classify_by_table, rule_list
+from tradepulse.operators import customers as C
 from tradepulse.operators import metrics as M
 from tradepulse.sources.rules import read_rule_sets, read_rules, rule_table
 
@@ -149,3 +150,25 @@ def test_several_rule_files_are_refused(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text("{}")
     with pytest.raises(ValueError, match="several"):
         read_rules(spark, str(tmp_path))
+
+
+def test_sums_of_the_largest_amounts_convert_exactly(spark):
+    """Far beyond one decimal product: upper and lower digits are converted apart."""
+    cases = ["1979999999999999999.9999", "-1979999999999999999.9999", "0.0001", "999999999.9999", "1000000000", "123456789012345678901.2345", None]
+    rate = Decimal("7.12345678")
+    df = spark.createDataFrame([(None if c is None else Decimal(c),) for c in cases], "total decimal(38,4)")
+    got = [r[0] for r in df.select(E.converted_sum("total", F.lit(rate).cast("decimal(15,8)"))).collect()]
+    with localcontext() as c:
+        c.prec = 60
+        assert got == [None if t is None else Decimal(t) * rate for t in cases]
+
+
+def test_customer_words_equal_distinct_ids(spark):
+    ids = ["0001" + str(n) for n in (0, 1, 63, 64, 65, 127, 10**12, 10**12 + 1, 2**62)] * 3 + ["0001", "1", "0001x", None]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(ids)], "g int, customer_id string").repartition(3)
+    words = C.customer_words(df, ["g"])
+    merged = C.merge_words(words.unionByName(words), ["g"])
+    want = {g: len({v for i, v in enumerate(ids) if i % 2 == g and v and v[4:].isdigit()}) for g in (0, 1)}
+    assert {r.g: r.cust_nums for r in C.word_counts(merged, ["g"]).collect()} == want
+    dense = spark.range(10_000).select(F.lit(0).alias("g"), F.concat(F.lit("0001"), F.col("id").cast("string")).alias("customer_id"))
+    assert C.customer_words(dense, ["g"]).count() == 157

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tradepulse.operators import metrics as M
 from tradepulse.session import work_folder
 from tradepulse.sources.changes import kafka_options, next_offsets, read_change_files
+from tradepulse.streaming import totals as R
 from tradepulse.streaming.job import ActivityJob
 from tradepulse.streaming.late import RetryLimit
 
@@ -136,7 +137,7 @@ def test_compaction_keeps_results_and_state(make_job):
     job.compact()
     job.compact()
     assert snapshot(job) == before
-    assert job.tables.steps("delta/trade") == []
+    assert job.tables.steps("quarantine") == []
     job.process(raw(job.spark, [fill(2, "9", offset=30), request("Q2", "UPDATE", 31)]), 3)
     assert trade(job)[("B02", "app")][1] == before[0][("B02", "app")][1] + 1
     assert activity(job)[("B01", "deal")][0] == 2
@@ -148,8 +149,11 @@ def test_uncommitted_step_is_invisible(make_job):
     job = make_job()
     feed(job, [order(1)], [order(2)])
     totals = trade(job)
-    job.tables.write(job.trade_rows().drop("step"), "delta/trade", 4)
+    job.totals.add([R.changes(R.TRADE, job.trade_rows())], 4, lambda df: df)
     assert trade(job) == totals
+    job._clean = False
+    job.process(raw(job.spark, [order(3)]), 2)
+    assert trade(job)[("B01", "app")][0] == 3
 
 
 def test_otc_update_takes_each_absent_field_from_its_request(make_job):
@@ -287,10 +291,9 @@ def test_job_folds_and_expires_by_itself(make_job):
 
 
 def test_hot_order_is_split_through_the_job(spark, make_job):
-    """Every batch looks its orders up in a written table, so its join can be split."""
+    """Every batch holds the orders it looks up, so its join can be split."""
     job = make_job()
     feed(job, [order(7)], [fill(7, str(i), i) for i in range(50)])
-    assert job.tables.exists("lookup/order", 2)
     assert trade(job)[("B02", "app")][1] == 50
 
 

@@ -45,13 +45,25 @@ def rate_or_one(rate: Column | str = "rate") -> Column:
     return F.coalesce(_col(rate), F.lit(1).cast(S.RATE))
 
 
+def converted(amount: Column | str, rate: Column | str = "rate") -> Column:
+    """One amount times its rate, without losing decimals."""
+    return (_col(amount).cast(S.AMOUNT) * rate_or_one(rate)).cast(S.CONVERTED)
+
+
 def converted_sum(total: Column | str, rate: Column | str = "rate") -> Column:
-    """``sum(amount) * rate`` without losing decimals.
+    """``sum(amount) * rate`` without losing decimals, of sums up to what the result type holds.
 
     The rate is constant within a currency, so converting the sum equals summing
-    the converted amounts and costs one multiplication per group, not per row.
+    the converted amounts and costs one multiplication per group, not per row. A sum
+    times a rate has more digits than a decimal keeps, hence the upper digits are
+    converted apart from the lower ones; both products are exact.
     """
-    return (_col(total).cast(S.MONEY_SUM) * rate_or_one(rate)).cast(S.CONVERTED)
+    total = _col(total).cast("decimal(38,4)")
+    upper = F.call_function("div", total, F.lit(S.CUT)).cast("decimal(19,0)")
+    lower = (total % F.lit(S.CUT)).cast("decimal(13,4)")
+    rate = rate_or_one(rate).cast(S.RATE)
+    whole = ((upper * rate).cast("decimal(29,8)") * F.lit(S.CUT).cast("decimal(10,0)")).cast("decimal(37,12)")
+    return (whole + lower * rate).cast(S.CONVERTED)
 
 
 def order_value(qty: Column | str, price: Column | str) -> Column:

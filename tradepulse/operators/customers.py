@@ -50,6 +50,42 @@ def bitmap_counts(
     return bitmaps.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).cast("bigint").alias(out))
 
 
+#: Ordinals that one word of a set holds, a bit each.
+WORD = 64
+
+
+def customer_words(
+    df: DataFrame,
+    by: Sequence[str] = TRADE_KEYS,
+    customer_id: str = "customer_id",
+    start: int = 5,
+) -> DataFrame:
+    """Set of customer ordinals per ``by``, as the words that hold any: ``word``, ``mask``.
+
+    A lone id costs its word and mask, a few bytes once stored; where ids are dense, one
+    word holds 64. Words with the same number merge by a bitwise or, exactly, within
+    tasks before any shuffle, and a busy group spreads over its words.
+    """
+    ordinal = E.customer_ordinal(customer_id, start)
+    bits = df.select(*by, ordinal.alias("ordinal")).where(F.col("ordinal").isNotNull())
+    words = bits.select(
+        *by,
+        F.shiftright("ordinal", WORD.bit_length() - 1).alias("word"),
+        F.expr(f"shiftleft(1L, cast(ordinal % {WORD} AS INT))").alias("mask"),
+    )
+    return merge_words(words, by)
+
+
+def merge_words(words: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
+    """Union of sets, per key."""
+    return words.groupBy(*by, "word").agg(F.bit_or("mask").alias("mask"))
+
+
+def word_counts(words: DataFrame, by: Sequence[str] = TRADE_KEYS, out: str = "cust_nums") -> DataFrame:
+    """Distinct customers per key; each word of a key must stand there once."""
+    return words.groupBy(*by).agg(F.sum(F.bit_count("mask")).cast("bigint").alias(out))
+
+
 def customer_counts(
     orders: DataFrame,
     fills: DataFrame,

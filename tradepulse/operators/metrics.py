@@ -131,12 +131,10 @@ def trade_totals(
     return sum_measures(both, by).where("entr_tims <> 0 OR mtch_tims <> 0")
 
 
-def trade_rows(
-    orders: DataFrame, fills: DataFrame, by: Sequence[str], margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
-) -> DataFrame:
-    """Orders and fills as narrow rows of one shape, a measure of the other side being null."""
+def order_rows(orders: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
+    """Orders as narrow rows of the measures they count for."""
     group = E.security_group("sec_class")
-    entered = orders.select(
+    return orders.select(
         *by,
         E.currency_key("currency").alias("_currency"),
         F.lit(1).alias("entr_tims"),
@@ -144,6 +142,12 @@ def trade_rows(
         *[(group == kind).cast("int").alias(f"{short}_entr_tims") for kind, short in (("stock", "stoc"), ("fund", "fund"), ("bond", "bond"))],
         E.order_value("qty", "price").alias("entr_amt"),
     )
+
+
+def trade_rows(
+    orders: DataFrame, fills: DataFrame, by: Sequence[str], margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
+) -> DataFrame:
+    """Orders and fills as narrow rows of one shape, a measure of the other side being null."""
     filled = fills.select(
         *by,
         E.currency_key("currency").alias("_currency"),
@@ -152,11 +156,11 @@ def trade_rows(
         F.when(E.is_margin_fill("holder_acct", margin_prefixes), F.col("fill_amt")).alias("marg_mtch_amt"),
         F.col("commission").alias("tot_cms"),
     )
-    return entered.unionByName(filled, allowMissingColumns=True)
+    return order_rows(orders, by).unionByName(filled, allowMissingColumns=True)
 
 
 def trade_totals_by_row(rows: DataFrame, rates: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
-    """Totals of :func:`trade_rows` in one aggregation.
+    """Totals of :func:`trade_rows` (or of rows that have all its measures) in one aggregation.
 
     For keys so fine that sums per currency are hardly fewer than the rows: the rate
     meets the rows, and no second shuffle brings the currencies of a key together.
@@ -166,7 +170,7 @@ def trade_totals_by_row(rows: DataFrame, rates: DataFrame, by: Sequence[str] = T
     amounts = {"entr_amt", "mtch_amt", "marg_mtch_amt"}
     return priced.groupBy(*by).agg(
         *[
-            F.coalesce(F.sum(E.converted_sum(m) if m in amounts else F.col(m)), F.lit(0)).cast(t).alias(m)
+            F.coalesce(F.sum(E.converted(m) if m in amounts else F.col(m)), F.lit(0)).cast(t).alias(m)
             for m, t in TRADE_MEASURES.items()
         ]
     )

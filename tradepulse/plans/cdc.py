@@ -82,11 +82,10 @@ def order_op() -> Column:
 
 
 def order_messages(
-    spark: SparkSession, sf: str, op: Column | None = None, keep: Column | None = None
+    spark: SparkSession, sf: str, op: Column | None = None, keep: Column | None = None, ts: Column | None = None
 ) -> DataFrame:
-    value = envelope(
-        order_op() if op is None else op, F.col("o_orderkey"), F.col("o_orderdate"), _order_after()
-    )
+    seen = F.col("o_orderdate") if ts is None else ts
+    value = envelope(order_op() if op is None else op, F.col("o_orderkey"), seen, _order_after())
     orders = T.load_spread(spark, sf, "orders", *ORDER_COLUMNS)
     if keep is not None:
         orders = orders.where(keep)
@@ -117,13 +116,16 @@ def fill_after(unique: bool = False) -> Column:
 
 
 def fill_messages(
-    spark: SparkSession, sf: str, op: Column | None = None, unique: bool = False
+    spark: SparkSession, sf: str, op: Column | None = None, unique: bool = False, keep: Column | None = None,
+    ts: Column | None = None,
 ) -> DataFrame:
     lines = T.load_spread(spark, sf, "lineitem", *LINE_COLUMNS)
+    if keep is not None:
+        lines = lines.where(keep)
     offset = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     if op is None:
         op = F.when(F.col("l_returnflag") == "N", "insert").otherwise("INSERT")
-    value = envelope(op, offset, F.col("l_shipdate"), fill_after(unique))
+    value = envelope(op, offset, F.col("l_shipdate") if ts is None else ts, fill_after(unique))
     return lines.select(*_message(F.lit(T.KIND_TOPIC["fill"]), offset, value))
 
 

@@ -6,12 +6,15 @@ checkpoint after every wave, so that records arrive before what they refer to.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
+from tradepulse.operators import metrics as M
+from tradepulse.operators import project as P
 from tradepulse.operators.ingest import parse_envelopes
 from tradepulse.plans import activity as A
 from tradepulse.plans import cdc
@@ -19,6 +22,9 @@ from tradepulse.plans import tables as T
 from tradepulse.session import work_folder
 from tradepulse.sources.changes import read_change_files
 from tradepulse.streaming.job import ActivityJob
+from tradepulse.streaming.native import FILL_KEY, ORDER_KEY, fills_with_orders, into_totals, once_within, running_totals
+from tradepulse.streaming.tables import StepTables
+from tradepulse.streaming.totals import TRADE, Totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -229,6 +235,104 @@ def stream_activity_daily(spark: SparkSession, sf: str) -> DataFrame:
     return run_waves(spark, sf, waves, None, "activity").customer_day_stats()
 
 
+# Streams kept in Spark's state: keys stand for seconds of source time. Every wave brings the
+# messages of one stretch of keys, late orders come a wave after their fills.
+STRETCHES = 4
+
+
+def _second(key: str) -> Column:
+    start = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    return F.expr(f"make_dt_interval(0, 0, 0, {key})") + start
+
+
+def _stretch(spark: SparkSession, sf: str) -> int:
+    """Keys of one stretch."""
+    return T.load(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0] // STRETCHES + 1
+
+
+def _timed_waves(spark: SparkSession, sf: str, width: int, twice: bool) -> list[DataFrame]:
+    """Fills of each stretch, and again with the next one if asked for; orders in it or a wave late."""
+    insert = F.lit("INSERT")
+    arrived = F.col("o_orderstatus") != "P"
+    waves = []
+    for n in range(STRETCHES + 1):
+        order_stretch, fill_stretch = (F.floor(F.col(key) / width) for key in ("o_orderkey", "l_orderkey"))
+        due = ((order_stretch == n) & _is_early()) | ((order_stretch == n - 1) & ~_is_early())
+        again = fill_stretch.isin(n, n - 1) if twice else fill_stretch == n
+        orders = cdc.order_messages(spark, sf, op=insert, keep=arrived & due, ts=_second("o_orderkey"))
+        fills = cdc.fill_messages(spark, sf, op=insert, unique=True, keep=again, ts=_second("l_orderkey"))
+        waves.append(orders.unionByName(fills))
+    return waves
+
+
+def _later(spark: SparkSession, seconds: int) -> DataFrame:
+    """An order and a fill far behind all others, which move the watermark on and wait for ever."""
+    micros = 1_705_276_800_000_000 + seconds * 1_000_000  # from the same midnight
+    fields = {"order": {"WTH": "9999999", "SBJG": "", "WTSL": "1"}, "fill": {"WTH": "8888888", "CJBH": "1", "CXBZ": "O", "KHH": "CUST1"}}
+    rows = [
+        (T.KIND_TOPIC[kind], 0, seconds, json.dumps({"optype": "INSERT", "rowid": "R", "jstime": str(micros), "after": after}))
+        for kind, after in fields.items()
+    ]
+    return spark.createDataFrame(rows, S.RAW_SCHEMA)
+
+
+def _in_state(spark: SparkSession, sf: str, name: str, waves: Sequence[DataFrame], build, mode: str, measure, replace: bool = False) -> Totals:
+    """Land each wave and run ``build``'s stream over it from its checkpoint, into running totals."""
+    root = work_folder(spark, name)
+    totals = Totals(StepTables(spark, f"{root}/job"))
+    for wave in waves:
+        wave.write.mode("append").parquet(f"{root}/landing")
+        stream = build(read_change_files(spark, f"{root}/landing"))
+        writer = stream.writeStream.outputMode(mode).foreachBatch(into_totals(totals, measure, replace))
+        writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return totals
+
+
+def _timed(raw: DataFrame, kind: str) -> DataFrame:
+    parsed = parse_envelopes(raw, kinds=[kind])
+    return P.records(parsed, kind, DAY, T.DESK_RULES).where("event_ts IS NOT NULL")
+
+
+def stream_fills_in_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Fills delivered twice, once each, joined to orders that come later; the rest leave unmatched."""
+    width = _stretch(spark, sf)
+    delay = f"{3 * width} seconds"
+
+    def build(raw: DataFrame) -> DataFrame:
+        fills = once_within(_timed(raw, "fill"), FILL_KEY, delay)
+        orders = once_within(_timed(raw, "order"), ORDER_KEY, delay)
+        return fills_with_orders(fills, orders, "1 minute", "1 minute")
+
+    waves = [*_timed_waves(spark, sf, width, True), _later(spark, 100 * width)]
+    measure = lambda batch: M.fill_metrics(batch, T.rates(spark))
+    totals = _in_state(spark, sf, "fills-state", waves, build, "append", measure)
+    return totals.rows(TRADE).select("branch", "channel", "mtch_tims", "mtch_amt", "tot_cms")
+
+
+def stream_fills_within_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    """Fills delivered again within the watermark count once."""
+    width = _stretch(spark, sf)
+
+    def build(raw: DataFrame) -> DataFrame:
+        return once_within(_timed(raw, "fill"), FILL_KEY, f"{3 * width} seconds").withColumn("channel", F.lit("any"))
+
+    measure = lambda batch: M.fill_metrics(batch, T.rates(spark))
+    totals = _in_state(spark, sf, "fills-once-state", _timed_waves(spark, sf, width, True), build, "append", measure)
+    return totals.rows(TRADE).select("branch", "mtch_tims", "mtch_amt", "tot_cms")
+
+
+def stream_totals_in_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Order totals carried on in the state store over restarts, written whole for each changed key."""
+
+    def build(raw: DataFrame) -> DataFrame:
+        return running_totals(M.order_rows(_timed(raw, "order")), T.rates(spark))
+
+    totals = _in_state(spark, sf, "totals-state", _order_waves(spark, sf), build, "update", lambda batch: batch, replace=True)
+    return totals.rows(TRADE).select(
+        "business_date", "branch", "channel", "entr_tims", "entr_amt", "marg_entr_tims", "stoc_entr_tims"
+    )
+
+
 _ORDERS = f"""WITH {T.RATES_SQL}, o AS (
     SELECT o_orderkey, o_custkey, substr(o_orderpriority, 1, 1) AS branch, {T.CHANNEL_SQL} AS channel, o_orderstatus,
            CAST(o_totalprice AS DECIMAL(18,4)) AS price FROM orders WHERE o_orderkey <> 0),
@@ -296,6 +400,15 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "stream_trade_stat": (stream_trade_stat, TRADE_TABLE_SQL),
     "stream_otc_stat": (stream_otc_stat, OTC_TABLE_SQL),
     "stream_late_topic": (stream_late_topic, FILLS_TOTAL_SQL),
+    "stream_fills_in_state": (stream_fills_in_state, FILLS_TOTAL_SQL),
+    "stream_totals_in_state": (stream_totals_in_state, ORDERS_TOTAL_SQL),
+    "stream_fills_within_watermark": (
+        stream_fills_within_watermark,
+        _ORDERS
+        + """SELECT branch, count(*) AS mtch_tims,
+        CAST(sum(CAST(CAST(fill_amt AS DECIMAL(20,4)) * 7.80015 AS DECIMAL(38,12))) AS DECIMAL(38,12)) AS mtch_amt,
+        CAST(sum(commission) AS DECIMAL(38,4)) AS tot_cms FROM f GROUP BY 1""",
+    ),
     "stream_fills_once": (stream_fills_once, FILLS_TOTAL_SQL),
     "stream_late_pending": (
         stream_late_pending,

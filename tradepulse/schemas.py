@@ -16,11 +16,13 @@ from pyspark.sql.types import (
 
 MONEY = "decimal(18,4)"
 RATE = "decimal(15,8)"
-# sum of MONEY narrowed so that times RATE still keeps all 12 decimals
-MONEY_SUM = "decimal(22,4)"
+# one amount, narrow enough that times RATE keeps all 12 decimals
+AMOUNT = "decimal(22,4)"
 # Quantity times price of a usable order lies below this, as every single amount
-# does; a sum has room for ten thousand times as much.
+# does; a sum has room for a hundred thousand million times as much.
 LARGEST_VALUE = 10**14
+# Sums are converted in two parts, cut at this power of ten.
+CUT = 10**9
 CONVERTED = "decimal(38,12)"
 
 INSERT = "INSERT"

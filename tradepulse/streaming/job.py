@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from zoneinfo import ZoneInfo
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
 from tradepulse.functions import expressions as E
 from tradepulse.functions.rules import Rules
-from tradepulse.operators import customers as C
 from tradepulse.operators import dedup as D
 from tradepulse.operators import enrich as J
 from tradepulse.operators import metrics as M
@@ -26,7 +24,8 @@ from tradepulse.operators.ingest import parse_envelopes, unwrap_late
 from tradepulse.sources.changes import spread
 from tradepulse.sources.state import lookup_state
 from tradepulse.streaming import late as L
-from tradepulse.streaming.tables import StepTables, step_after
+from tradepulse.streaming import totals as R
+from tradepulse.streaming.tables import LEDGER_ROW, StepTables, held, step_after
 
 _COMMON = (
     "src_partition INT, src_offset BIGINT, op STRING, row_id STRING, "
@@ -56,16 +55,6 @@ _STATE_ORDER = "event_ts TIMESTAMP, src_offset BIGINT"
 STATE_DDL = {
     kind: f"{columns}, {_STATE_ORDER}, business_date INT" for kind, columns in STATE_COLUMNS.items()
 }
-TRADE_DDL = "business_date INT, branch STRING, channel STRING, " + ", ".join(
-    f"{name} {kind}" for name, kind in M.TRADE_MEASURES.items()
-)
-ACTIVITY_DDL = "business_date INT, branch STRING, metric STRING, " + ", ".join(
-    f"{name} {kind}" for name, kind in M.ACTIVITY_MEASURES.items()
-)
-CUSTOMER_KEYS = ("business_date", "branch", "channel", "side")
-CUSTOMER_DDL = (
-    "business_date INT, branch STRING, channel STRING, side STRING, bucket BIGINT, bits BINARY"
-)
 SEEN_KEYS = ("business_date", "order_id", "fill_id")
 SEEN_DDL = "business_date INT, order_id STRING, fill_id STRING"
 QUARANTINE_DDL = "topic STRING, partition INT, offset BIGINT, value STRING, reject_reason STRING"
@@ -74,10 +63,9 @@ BUCKET_ROWS = 1_000_000
 PENDING_KINDS = ("fill", "otc", "dept_request")
 #: Tables that a step writes to, but for the ledger.
 STEP_TABLES = (
-    "delta/trade", "delta/activity", "delta/customers", "quarantine", "lookup/order", "seen/fill",
+    "quarantine", "seen/fill",
     *[f"state/{kind}" for kind in ("order", "otc", "dept_request")],
     *[f"{name}/{kind}" for name in ("pending", "expired") for kind in PENDING_KINDS],
-    *[f"results/{name}" for name in ("trade", "customer", "branch", "otc")],
 )
 Typed = dict[str, DataFrame]
 STATE_KEY = {
@@ -112,22 +100,6 @@ def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets)).cast("int")
 
 
-@contextlib.contextmanager
-def _held() -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Gives a function that persists frames until the block ends, however it ends."""
-    frames: list[DataFrame] = []
-
-    def hold(df: DataFrame) -> DataFrame:
-        frames.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return frames[-1]
-
-    try:
-        yield hold
-    finally:
-        for df in frames:
-            df.unpersist()
-
-
 @dataclass
 class ActivityJob:
     """Everything a run needs besides its input stream.
@@ -135,9 +107,11 @@ class ActivityJob:
     ``business_date`` fixes the day; left out, each message counts for its own
     source day. ``strict_reference`` drops unmatched branch-request updates at
     once instead of retrying them. Every ``fold_every`` batches the job folds its
-    steps and drops state more than ``keep_days`` days older than ``business_date``.
+    steps and drops state more than ``keep_days`` days older than ``business_date`` or,
+    without one, than the newest source day that no clock contradicts.
     ``fills_once`` drops fills whose id an earlier batch of the day has brought.
-    ``publish`` writes the result tables after every batch. ``parse_partitions``
+    ``publish`` writes the days of the result tables that a batch changes, after it.
+    ``parts`` is the number of partitions of a day's totals, fixed for a ``root``. ``parse_partitions``
     deals a batch out to so many tasks if its source has fewer splits. A new
     ``checkpoint`` on the same ``root`` goes on from the totals that are there.
     """
@@ -156,6 +130,7 @@ class ActivityJob:
     strict_reference: bool = False
     late_topic: str = S.LATE_TOPIC
     fold_every: int | None = 200
+    parts: int = 8
     keep_days: int = 1
     publish: bool = False
     fills_once: bool = False
@@ -164,6 +139,7 @@ class ActivityJob:
 
     def __post_init__(self) -> None:
         self.tables = StepTables(self.spark, self.root)
+        self.totals = R.Totals(self.tables, self.parts)
         self._clean = False
         self._newest_batch: tuple[str, int] | None = None
         self._run: str | None = None
@@ -196,27 +172,33 @@ class ActivityJob:
             self._run = json.loads(self.spark.read.text(str(path)).first()[0])["id"]
         return self._run
 
-    def _step_for(self, run: str, batch_id: int) -> int | None:
-        """The step to write a batch under; None when it is folded already."""
+    def _step_for(self, run: str, batch_id: int) -> tuple[int, bool]:
+        """The step of a batch, and whether it is committed already."""
         last = self.tables.last_step()
-        if not self._clean:
-            self.tables.clear_after(last, STEP_TABLES)
+        self._clear_after(last)
         known = self._newest_batch
         if known is None or known[0] != run or batch_id <= known[1]:
             step = None if last is None else self.tables.step_of(run, batch_id)
             if step is not None:
-                base = self.tables.last_base("ledger")
-                return step if base is None or step > base else None
-        return step_after(last)
+                return step, True
+        return step_after(last), False
+
+    def _clear_after(self, last: int | None) -> None:
+        """Drop what a step that failed, here or in an earlier run, has left."""
+        if not self._clean:
+            self.tables.clear_after(last, STEP_TABLES)
+            self.totals.clear_after(last)
+            self._clean = True
 
     def process(self, raw: DataFrame, batch_id: int, run: str | None = None) -> None:
         """One micro-batch; safe to repeat under the same ``run`` and ``batch_id``."""
         run = run or self.run_id()
-        step = self._step_for(run, batch_id)
-        if step is None:
+        step, done = self._step_for(run, batch_id)
+        if done:  # all of it is written, but what follows its ledger row may not be
+            self._committed(step, [part for part, paths in self.totals.versions().items() if paths[-1].endswith(f"step={step}")])
             return
         self._clean = False
-        with _held() as hold:
+        with held() as hold:
             parsed = hold(parse_envelopes(spread(raw, self.parse_partitions), self.topics))
             # one row per queue partition and kind
             summary = parsed.groupBy("topic", "partition", "kind").agg(
@@ -231,37 +213,44 @@ class ActivityJob:
             late = None
             if any((row["topic"] or "").upper() == self.late_topic.upper() for row in summary):
                 late = hold(unwrap_late(parsed, self.late_topic))
-            self._step(parsed, late, step, kinds, max(clocks, default=None))
-            self._commit(step, [tuple(r)[:2] + tuple(r)[3:6] for r in summary], run, batch_id)
-        self._clean, self._newest_batch = True, (run, batch_id)
-        if self.publish:
-            self.publish_results(step)
+            newest = max(clocks, default=None)
+            touched = self._step(parsed, late, step, kinds, newest, hold)
+            day = self._day(newest, fold=True)
+            self._commit(step, [(*tuple(r)[:2], *tuple(r)[3:6]) for r in summary], run, batch_id, day)
+        self._committed(step, touched)
+        self._newest_batch = (run, batch_id)
         if self.fold_every is not None and step - (self.tables.last_base("ledger") or 0) >= 2 * self.fold_every:
             self.compact()
-            if self.business_date is not None:
-                day = dt.datetime.strptime(str(self.business_date), "%Y%m%d")
-                self.expire(int((day - dt.timedelta(days=self.keep_days)).strftime("%Y%m%d")))
+            day = self.business_date or self.tables.ledger().agg(F.max("day")).first()[0]
+            if day is not None:
+                oldest = dt.datetime.strptime(str(day), "%Y%m%d") - dt.timedelta(days=self.keep_days)
+                self.expire(int(oldest.strftime("%Y%m%d")))
+
+    def _committed(self, step: int, touched: list[R.Part]) -> None:
+        """What follows a ledger row."""
+        self._clean = True
+        self.totals.drop_older(touched, step)
+        if self.publish:
+            self.publish_results({day for _, day, _ in touched})
 
     def drain(self) -> None:
         """End of day: count waiting fills under the default channel, give the rest up."""
         last = self.tables.last_step()
         if last is None or last % 2:
             return
-        if not self._clean:
-            self.tables.clear_after(last, STEP_TABLES)
+        self._clear_after(last)
         self._clean = False
-        self._step(None, None, last + 1, set(), None, final=True)
-        self._commit(last + 1, [], None, None)
-        self._clean = True
-        if self.publish:
-            self.publish_results(last + 1)
-
-    def _commit(self, step: int, offsets: list[tuple], run: str | None, batch: int | None) -> None:
-        rows = [(*row, run, batch) for row in offsets or [(None, None, None, None, 0)]]
-        ledger = self.spark.createDataFrame(
-            rows, "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT, run STRING, batch BIGINT"
-        ).withColumn("committed_at", F.current_timestamp())
-        self.tables.write(ledger.coalesce(1), "ledger", step)
+        with held() as hold:
+            touched = self._step(None, None, last + 1, set(), None, hold, final=True)
+            self._commit(last + 1, [], None, None, None)
+        self._committed(last + 1, touched)
+
+    def _commit(self, step: int, offsets: list[tuple], run: str | None, batch: int | None, day: int | None) -> None:
+        rows = [(*row, run, batch, day) for row in offsets or [(None, None, None, None, 0)]]
+        names = ("topic", "partition", "min_offset", "max_offset", "n", "run", "batch", "day")
+        text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+        ledger = self.spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{LEDGER_ROW}>>")))
+        self.tables.write(ledger.withColumn("committed_at", F.current_timestamp()), "ledger", step)
 
     # -- one step ------------------------------------------------------------
 
@@ -275,15 +264,14 @@ class ActivityJob:
         step: int,
         kinds: set[str],
         newest: dt.datetime | None,
+        hold: Callable[[DataFrame], DataFrame],
         final: bool = False,
-    ) -> None:
+    ) -> list[R.Part]:
+        """Everything a step writes but its ledger row; names the partitions of totals it changed."""
         typed: Typed = {}
         requeued: Typed = {}
         clock = None if newest is None else F.lit(newest)
-        writes = [
-            lambda: self._trade(typed, requeued, step, clock, final),
-            lambda: self._activity(typed, requeued, step, clock, final),
-        ]
+        writes: list[Callable[[], None]] = []
         if parsed is not None:
             bad = P.rejected(parsed.where(F.upper("topic") != self.late_topic.upper()))
             for kind in sorted(kinds):
@@ -296,11 +284,24 @@ class ActivityJob:
                     requeued[kind] = P.late_records(late, kind, day)
                     bad = bad.unionByName(P.rejected(P.typed_records(late, kind, day, path="$.BASERECORD")))
             writes.append(lambda: self.tables.write(bad, "quarantine", step))
+        changed = self._trade(typed, requeued, step, clock, final, hold, writes)
+        changed += [R.changes(R.ACTIVITY, rows) for rows in self._activity(typed, requeued, step, clock, final, hold, writes)]
+        touched: list[R.Part] = []
+        writes.append(lambda: touched.extend(self.totals.add(changed, step, hold)))
         _together(self.spark, *writes)
+        return touched
+
+    def _day(self, newest: dt.datetime | None, fold: bool = False) -> int | None:
+        """Day of the newest source time of a batch; wrapped records carry none themselves.
 
-    def _day(self, newest: dt.datetime | None) -> int:
-        """Day of the newest source time of a batch; wrapped records carry none themselves."""
-        moment = dt.datetime.now(dt.UTC) if newest is None else newest.astimezone()
+        For folding there may be none, and a source time ahead of the clock counts as now.
+        """
+        now = dt.datetime.now(dt.UTC)
+        if newest is None and fold:
+            return None
+        moment = now if newest is None else newest.astimezone()
+        if fold:
+            moment = min(moment, now)
         return int(moment.astimezone(ZoneInfo(self.zone)).strftime("%Y%m%d"))
 
     def _pending(self, kind: str, step: int, requeued: Typed, keys: list[str]) -> DataFrame | None:
@@ -321,29 +322,26 @@ class ActivityJob:
     def _stored(self, kind: str, wanted: DataFrame, step: int, fresh: DataFrame | None) -> DataFrame:
         """Newest row of each key the batch asks for, of ``fresh`` ones and stored ones.
 
-        Compacted state is partitioned by day and key bucket: only partitions
-        that a wanted key falls in are read. Of later steps, the wanted days are.
+        Compacted state is partitioned by day and key bucket, steps by day: partitions
+        that no wanted key falls in are pruned.
         """
-        keys = STATE_KEY[kind]
+        keys = list(STATE_KEY[kind])
         table = f"state/{kind}"
         base = self.tables.last_base(table)
-        buckets = 1 if base is None else self._buckets(kind, base)
-        if base is None and self.business_date is not None:
-            parts = [(self.business_date, 0)]
-        else:  # the days of a batch, and at most as many buckets as the base has
-            parts = wanted.select("business_date", _bucket(keys[-1], buckets).alias("bucket")).distinct().collect()
-        days = sorted({r[0] for r in parts if r[0] is not None})
-        state = self.tables.read(table, STATE_DDL[kind], upto=step - 1, after=base).where(F.col("business_date").isin(days))
+        state = self.tables.read(table, STATE_DDL[kind], upto=step - 1, after=base)
         if fresh is not None:
             names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
             state = state.unionByName(fresh.select(*names, F.lit(step).cast("bigint").alias("step")))
+        on = keys
         if base is not None:
-            wanted_buckets = sorted({r[1] for r in parts if r[1] is not None})
-            stored = self._base_state(kind, base).where(
-                F.col("business_date").isin(days) & F.col("bucket").isin(wanted_buckets)
-            )
-            state = state.unionByName(stored.drop("bucket"))
-        return lookup_state(state, wanted, keys, _newest()).drop("step", "event_ts", "src_offset")
+            on = [*keys, "bucket"]
+            buckets = self._buckets(kind, base)
+            state = state.withColumn("bucket", _bucket(keys[-1], buckets)).unionByName(self._base_state(kind, base))
+            # a condition on them lets Spark prune partitions by the keys of the batch
+            wanted = wanted.select(*keys).withColumn("bucket", _bucket(keys[-1], buckets)).where("bucket >= 0")
+        if self.business_date is not None:
+            state = state.where(F.col("business_date") == self.business_date)
+        return lookup_state(state, wanted, on, _newest()).drop("step", "event_ts", "src_offset", "bucket")
 
     def _buckets(self, kind: str, base: int) -> int:
         """Key buckets of a base, as written beside it."""
@@ -354,77 +352,54 @@ class ActivityJob:
         return rows.withColumn("step", F.lit(base).cast("bigint"))
 
     def _trade(
-        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool
-    ) -> None:
-        trade_parts: list[DataFrame] = []
-        seen: list[DataFrame] = []
-        writes: list[Callable[[], None]] = []
-        with _held() as hold:
-            orders = self._records(typed, "order")
-            if orders is not None:
-                orders = hold(D.dedup_orders(orders))
-                writes.append(lambda: self._store("order", orders, step))
-                trade_parts.append(M.order_metrics(orders, self.rates))
-                seen.append(orders.select(*C.TRADE_KEYS, "customer_id", F.lit("order").alias("side")))
-
-            fresh = self._records(typed, "fill")
-            fresh = None if fresh is None else D.dedup_fills(fresh)
-            keys = list(SEEN_KEYS)
-            if fresh is not None and self.fills_once:
-                seen_before = self.tables.before("seen/fill", SEEN_DDL, step)
-                fresh = hold(fresh.join(seen_before.select(*keys), keys, "left_anti"))
-                ids = fresh.select(*keys)
-                writes.append(lambda: self.tables.write(ids, "seen/fill", step, ["business_date"]))
-            waiting = self._pending("fill", step, requeued, keys)
-            fills = L.candidates(fresh, waiting, keys)
-            if fills is not None:
-                fills = hold(fills)
-                # many fills may be of one order: adaptive execution splits them
-                # only if the other side is a plain scan and not a ranking
-                stored = self._stored("order", fills, step, orders)
-                self.tables.write(stored.select(*STATE_KEY["order"], "channel"), "lookup/order", step)
-                stored = self.spark.read.schema("business_date INT, order_id STRING, channel STRING").parquet(
-                    self.tables.path("lookup/order", step)
-                )
-                tried = hold(J.match_fills(fills, stored, STATE_KEY["order"]))
-                counts = F.col("matched") | (F.lit(True) if final else L.gave_up(self.fill_limit, clock))
-                ready = tried.where(counts)
-                trade_parts.append(M.fill_metrics(ready, self.rates))
-                seen.append(ready.select(*C.TRADE_KEYS, "customer_id", F.lit("fill").alias("side")))
-                left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
-                writes.append(lambda: self.tables.write(left, "pending/fill", step))
-
-            if trade_parts:
-                delta = trade_parts[0]
-                people = seen[0]
-                for part, who in zip(trade_parts[1:], seen[1:]):
-                    delta = delta.unionByName(part, allowMissingColumns=True)
-                    people = people.unionByName(who)
-                totals = M.sum_measures(delta, M.TRADE_KEYS)
-                bitmaps = C.customer_bitmaps(people, CUSTOMER_KEYS)
-                writes.append(lambda: self.tables.write(totals, "delta/trade", step))
-                writes.append(lambda: self.tables.write(bitmaps, "delta/customers", step))
-            _together(self.spark, *writes)
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
+        hold: Callable[[DataFrame], DataFrame], writes: list[Callable[[], None]],
+    ) -> list[DataFrame]:
+        """Changes of trade totals and customer sets; state and waiting fills join ``writes``."""
+        parts: list[DataFrame] = []
+        orders = self._records(typed, "order")
+        if orders is not None:
+            orders = hold(D.dedup_orders(orders))
+            writes.append(lambda: self._store("order", orders, step))
+            parts.append(R.changes(R.TRADE, M.order_metrics(orders, self.rates)))
+            parts.append(R.customer_changes(orders.withColumn("side", F.lit("order"))))
+
+        fresh = self._records(typed, "fill")
+        fresh = None if fresh is None else D.dedup_fills(fresh)
+        keys = list(SEEN_KEYS)
+        if fresh is not None and self.fills_once:
+            seen_before = self.tables.before("seen/fill", SEEN_DDL, step)
+            fresh = hold(fresh.join(seen_before.select(*keys), keys, "left_anti"))
+            ids = fresh.select(*keys)
+            writes.append(lambda: self.tables.write(ids, "seen/fill", step, ["business_date"]))
+        waiting = self._pending("fill", step, requeued, keys)
+        fills = L.candidates(fresh, waiting, keys)
+        if fills is not None:
+            fills = hold(fills)
+            # many fills may be of one order: adaptive execution splits them only if the
+            # other side is a plain scan, of what is held, and not a ranking
+            stored = hold(self._stored("order", fills, step, orders).select(*STATE_KEY["order"], "channel"))
+            tried = hold(J.match_fills(fills, stored, STATE_KEY["order"]))
+            counts = F.col("matched") | (F.lit(True) if final else L.gave_up(self.fill_limit, clock))
+            ready = tried.where(counts)
+            parts.append(R.changes(R.TRADE, M.fill_metrics(ready, self.rates)))
+            parts.append(R.customer_changes(ready.withColumn("side", F.lit("fill"))))
+            left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
+            writes.append(lambda: self.tables.write(left, "pending/fill", step))
+        return parts
 
     def _pending_rows(self, rows: DataFrame, kind: str) -> DataFrame:
         names = [part.split()[0] for part in PENDING_DDL[kind].split(", ")]
         return rows.select(*names)
 
     def _activity(
-        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool
-    ) -> None:
-        with _held() as hold:
-            writes: list[Callable[[], None]] = []
-            parts = self._plain_activity(typed)
-            parts += self._requests(typed, requeued, step, clock, final, hold, writes)
-            parts += self._otc(typed, requeued, step, clock, final, hold, writes)
-            if parts:
-                delta = parts[0]
-                for part in parts[1:]:
-                    delta = delta.unionByName(part)
-                totals = M.activity_totals(delta)
-                writes.append(lambda: self.tables.write(totals, "delta/activity", step))
-            _together(self.spark, *writes)
+        self, typed: Typed, requeued: Typed, step: int, clock: Column | None, final: bool,
+        hold: Callable[[DataFrame], DataFrame], writes: list[Callable[[], None]],
+    ) -> list[DataFrame]:
+        """Changes of the daily metrics; state and waiting updates join ``writes``."""
+        parts = self._plain_activity(typed)
+        parts += self._requests(typed, requeued, step, clock, final, hold, writes)
+        return parts + self._otc(typed, requeued, step, clock, final, hold, writes)
 
     def _plain_activity(self, typed: Typed) -> list[DataFrame]:
         parts: list[DataFrame] = []
@@ -518,24 +493,22 @@ class ActivityJob:
     # -- reading results ------------------------------------------------------
 
     def trade_rows(self) -> DataFrame:
-        return self.tables.committed("delta/trade", TRADE_DDL)
+        return self.totals.rows(R.TRADE).select(*M.TRADE_KEYS, *M.TRADE_MEASURES)
 
     def activity_rows(self) -> DataFrame:
-        return self.tables.committed("delta/activity", ACTIVITY_DDL)
+        return self.totals.rows(R.ACTIVITY).select(*M.ACTIVITY_KEYS, *M.ACTIVITY_MEASURES)
 
     def trade_stats(self) -> DataFrame:
         """Running trade totals per day, branch and channel."""
-        totals = M.sum_measures(self.trade_rows(), M.TRADE_KEYS)
-        return totals.where("entr_tims <> 0 OR mtch_tims <> 0")
+        zero = {m: F.coalesce(m, F.lit(0).cast(t)) for m, t in M.TRADE_MEASURES.items()}
+        return self.trade_rows().withColumns(zero).where("entr_tims <> 0 OR mtch_tims <> 0")
 
     def customer_stats(self) -> DataFrame:
         """Distinct order and fill customers per day, branch and channel."""
-        bits = self.tables.committed("delta/customers", CUSTOMER_DDL)
-        merged = C.merge_bitmaps(bits, CUSTOMER_KEYS)
-        counted = C.bitmap_counts(merged, CUSTOMER_KEYS, "n")
-        return counted.groupBy(*C.TRADE_KEYS).agg(
-            F.coalesce(F.sum(F.when(F.col("side") == "order", F.col("n"))), F.lit(0)).alias("entr_cust_nums"),
-            F.coalesce(F.sum(F.when(F.col("side") == "fill", F.col("n"))), F.lit(0)).alias("mtch_cust_nums"),
+        counted = self.totals.rows(R.COUNT)
+        return counted.groupBy(*M.TRADE_KEYS).agg(
+            F.coalesce(F.sum(F.when(F.col("metric") == "order", F.col("n"))), F.lit(0)).alias("entr_cust_nums"),
+            F.coalesce(F.sum(F.when(F.col("metric") == "fill", F.col("n"))), F.lit(0)).alias("mtch_cust_nums"),
         )
 
     def customer_day_stats(self) -> DataFrame:
@@ -563,21 +536,28 @@ class ActivityJob:
         }
         return {name: df.withColumn("stat_time", E.stat_time()) for name, df in tables.items()}
 
-    def publish_results(self, step: int) -> None:
-        """Write the result tables; the newest step of each is the current one."""
-        writes = [
-            lambda name=name, df=df: self.tables.write(df.coalesce(1), f"results/{name}", step)
-            for name, df in self.results().items()
-        ]
-        _together(self.spark, *writes)
-        for name in self.results():
-            for old in self.tables.steps(f"results/{name}"):
-                if old < step:
-                    self.tables.clear(f"results/{name}", old)
+    def publish_results(self, days: Iterable[int | None] | None = None) -> None:
+        """Write the result tables, of the given days only if any are named.
+
+        A day is a partition, replaced as a whole from that day's totals.
+        """
+        wanted = None if days is None else set(days)
+        if wanted is not None and not wanted:
+            return
+
+        def write(name: str, df: DataFrame) -> None:
+            rows = df
+            if wanted is not None:
+                own = F.col("date_id").isin([d for d in wanted if d is not None])
+                rows = df.where(own | F.col("date_id").isNull() if None in wanted else own)
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("date_id").parquet(self.tables.path(f"results/{name}"))
+
+        _together(self.spark, *[lambda name=name, df=df: write(name, df) for name, df in self.results().items()])
 
     def published(self, name: str) -> DataFrame:
         """A result table as last published."""
-        return self.spark.read.parquet(self.tables.path(f"results/{name}", self.tables.steps(f"results/{name}")[-1]))
+        return self.spark.read.parquet(self.tables.path(f"results/{name}"))
 
     def expired(self, kind: str) -> DataFrame:
         """Records whose tries ran out without a match."""
@@ -617,11 +597,6 @@ class ActivityJob:
         last = self.tables.last_step()
         if last is None or self.tables.last_base("ledger") == last:
             return
-        trade = M.sum_measures(self.trade_rows(), M.TRADE_KEYS)
-        self.tables.compact("delta/trade", trade, last)
-        self.tables.compact("delta/activity", M.activity_totals(self.activity_rows()), last)
-        bits = self.tables.committed("delta/customers", CUSTOMER_DDL)
-        self.tables.compact("delta/customers", C.merge_bitmaps(bits, CUSTOMER_KEYS), last)
         self.tables.compact("quarantine", self.quarantined().drop("step"), last)
         if self.tables.exists("seen/fill"):
             ids = self.tables.committed("seen/fill", SEEN_DDL).select(*SEEN_KEYS)
@@ -639,7 +614,7 @@ class ActivityJob:
                 if step < last:
                     self.tables.clear(f"buckets/{kind}", step)
         # the next step reads what the last one left waiting
-        for table in ("lookup/order", *[f"pending/{kind}" for kind in PENDING_KINDS]):
+        for table in [f"pending/{kind}" for kind in PENDING_KINDS]:
             for step in self.tables.steps(table):
                 if step < last:
                     self.tables.clear(table, step)

@@ -10,15 +10,34 @@ row, and what a failed step left beyond it is cleared before the next one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Callable, Iterator, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEDGER_DDL = (
+LEDGER_ROW = (
     "topic STRING, partition INT, min_offset BIGINT, max_offset BIGINT, n BIGINT, "
-    "run STRING, batch BIGINT, committed_at TIMESTAMP"
+    "run STRING, batch BIGINT, day INT"
 )
+LEDGER_DDL = f"{LEDGER_ROW}, committed_at TIMESTAMP"
+
+
+@contextlib.contextmanager
+def held() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that persists frames until the block ends, however it ends."""
+    frames: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        frames.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return frames[-1]
+
+    try:
+        yield hold
+    finally:
+        for df in frames:
+            df.unpersist()
 
 
 def step_after(last: int | None) -> int:
@@ -46,11 +65,18 @@ class StepTables:
         path, fs = self._fs(self.path(table, step))
         return fs.exists(path)
 
+    def glob(self, pattern: str) -> list[str]:
+        """Folders and files that match a pattern."""
+        path, fs = self._fs(pattern)
+        return [s.getPath().toString() for s in fs.globStatus(path) or []]
+
+    def delete(self, path: str) -> None:
+        found, fs = self._fs(path)
+        fs.delete(found, True)
+
     def steps(self, table: str) -> list[int]:
         """Step folders of a table, oldest first."""
-        path, fs = self._fs(f"{self.path(table)}/step=*")
-        found = fs.globStatus(path) or []
-        return sorted(int(s.getPath().getName().split("=")[1]) for s in found)
+        return sorted(int(path.rsplit("=", 1)[1]) for path in self.glob(f"{self.path(table)}/step=*"))
 
     def write(
         self, df: DataFrame, table: str, step: int, partition_by: Sequence[str] = ()
@@ -62,8 +88,7 @@ class StepTables:
 
     def clear(self, table: str, step: int) -> None:
         """Drop what an earlier attempt of this step left in a table."""
-        path, fs = self._fs(self.path(table, step))
-        fs.delete(path, True)
+        self.delete(self.path(table, step))
 
     def read(
         self, table: str, ddl: str, upto: int | None = None, after: int | None = None
@@ -147,11 +172,10 @@ class StepTables:
 
     def drop_days(self, table: str, before_day: int, column: str = "business_date") -> int:
         """Delete partitions of days before ``before_day``; returns how many."""
-        pattern, fs = self._fs(f"{self.path(table)}/step=*/{column}=*")
         dropped = 0
-        for status in fs.globStatus(pattern) or []:
-            day = status.getPath().getName().split("=")[1]
+        for path in self.glob(f"{self.path(table)}/step=*/{column}=*"):
+            day = path.rsplit("=", 1)[1]
             if day.isdigit() and int(day) < before_day:
-                fs.delete(status.getPath(), True)
+                self.delete(path)
                 dropped += 1
         return dropped
