@@ -109,10 +109,10 @@ def test_a_step_reads_what_it_touches_however_long_the_history(totals):
 
 def test_customers_are_counted_again_only_where_a_batch_brings_some(spark, totals):
     def people(ids, step):
-        rows = [(1, "b", "c", "order", f"0001{n}") for n in ids]
-        df = spark.createDataFrame(rows, "business_date int, branch string, channel string, side string, customer_id string")
+        rows = [(1, "b", "c", f"0001{n}") for n in ids]
+        df = spark.createDataFrame(rows, "business_date int, branch string, channel string, customer_id string")
         with held() as hold:
-            touched = totals.add([R.customer_changes(df)], step, hold)
+            touched = totals.add([R.customer_changes(df, "order")], step, hold)
         commit(totals, step)
         totals.drop_older(touched, step)
         return touched

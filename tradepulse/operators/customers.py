@@ -54,6 +54,21 @@ def bitmap_counts(
 WORD = 64
 
 
+def word_rows(
+    df: DataFrame,
+    by: Sequence[str] = TRADE_KEYS,
+    customer_id: str = "customer_id",
+    start: int = 5,
+) -> DataFrame:
+    """The word and the bit of each row's customer; rows without an ordinal are left out."""
+    bits = df.select(*by, E.customer_ordinal(customer_id, start).alias("ordinal")).where(F.col("ordinal").isNotNull())
+    return bits.select(
+        *by,
+        F.shiftright("ordinal", WORD.bit_length() - 1).alias("word"),
+        F.expr(f"shiftleft(1L, cast(ordinal % {WORD} AS INT))").alias("mask"),
+    )
+
+
 def customer_words(
     df: DataFrame,
     by: Sequence[str] = TRADE_KEYS,
@@ -66,14 +81,7 @@ def customer_words(
     word holds 64. Words with the same number merge by a bitwise or, exactly, within
     tasks before any shuffle, and a busy group spreads over its words.
     """
-    ordinal = E.customer_ordinal(customer_id, start)
-    bits = df.select(*by, ordinal.alias("ordinal")).where(F.col("ordinal").isNotNull())
-    words = bits.select(
-        *by,
-        F.shiftright("ordinal", WORD.bit_length() - 1).alias("word"),
-        F.expr(f"shiftleft(1L, cast(ordinal % {WORD} AS INT))").alias("mask"),
-    )
-    return merge_words(words, by)
+    return merge_words(word_rows(df, by, customer_id, start), by)
 
 
 def merge_words(words: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:

@@ -144,11 +144,11 @@ def order_rows(orders: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
     )
 
 
-def trade_rows(
-    orders: DataFrame, fills: DataFrame, by: Sequence[str], margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
+def fill_rows(
+    fills: DataFrame, by: Sequence[str] = TRADE_KEYS, margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
 ) -> DataFrame:
-    """Orders and fills as narrow rows of one shape, a measure of the other side being null."""
-    filled = fills.select(
+    """Fills as narrow rows of the measures they count for."""
+    return fills.select(
         *by,
         E.currency_key("currency").alias("_currency"),
         F.lit(1).alias("mtch_tims"),
@@ -156,7 +156,17 @@ def trade_rows(
         F.when(E.is_margin_fill("holder_acct", margin_prefixes), F.col("fill_amt")).alias("marg_mtch_amt"),
         F.col("commission").alias("tot_cms"),
     )
-    return order_rows(orders, by).unionByName(filled, allowMissingColumns=True)
+
+
+def trade_rows(
+    orders: DataFrame, fills: DataFrame, by: Sequence[str], margin_prefixes: Sequence[str] = E.MARGIN_PREFIXES
+) -> DataFrame:
+    """Orders and fills as narrow rows of one shape, a measure of the other side being null."""
+    return order_rows(orders, by).unionByName(fill_rows(fills, by, margin_prefixes), allowMissingColumns=True)
+
+
+#: Measures that are converted to the reference currency.
+CONVERTED_MEASURES = ("entr_amt", "mtch_amt", "marg_mtch_amt")
 
 
 def trade_totals_by_row(rows: DataFrame, rates: DataFrame, by: Sequence[str] = TRADE_KEYS) -> DataFrame:
@@ -167,10 +177,9 @@ def trade_totals_by_row(rows: DataFrame, rates: DataFrame, by: Sequence[str] = T
     Amount times rate keeps all decimals.
     """
     priced = rows.join(rates.select(F.col("currency").alias("_currency"), "rate"), "_currency", "left")
-    amounts = {"entr_amt", "mtch_amt", "marg_mtch_amt"}
     return priced.groupBy(*by).agg(
         *[
-            F.coalesce(F.sum(E.converted(m) if m in amounts else F.col(m)), F.lit(0)).cast(t).alias(m)
+            F.coalesce(F.sum(E.converted(m) if m in CONVERTED_MEASURES else F.col(m)), F.lit(0)).cast(t).alias(m)
             for m, t in TRADE_MEASURES.items()
         ]
     )

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a micro-batch runs more compiled classes than the default cache of 100 keeps
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 

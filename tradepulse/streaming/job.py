@@ -361,8 +361,8 @@ class ActivityJob:
         if orders is not None:
             orders = hold(D.dedup_orders(orders))
             writes.append(lambda: self._store("order", orders, step))
-            parts.append(R.changes(R.TRADE, M.order_metrics(orders, self.rates)))
-            parts.append(R.customer_changes(orders.withColumn("side", F.lit("order"))))
+            parts.append(R.trade_changes(M.order_rows(orders), self.rates))
+            parts.append(R.customer_changes(orders, "order"))
 
         fresh = self._records(typed, "fill")
         fresh = None if fresh is None else D.dedup_fills(fresh)
@@ -382,8 +382,8 @@ class ActivityJob:
             tried = hold(J.match_fills(fills, stored, STATE_KEY["order"]))
             counts = F.col("matched") | (F.lit(True) if final else L.gave_up(self.fill_limit, clock))
             ready = tried.where(counts)
-            parts.append(R.changes(R.TRADE, M.fill_metrics(ready, self.rates)))
-            parts.append(R.customer_changes(ready.withColumn("side", F.lit("fill"))))
+            parts.append(R.trade_changes(M.fill_rows(ready), self.rates))
+            parts.append(R.customer_changes(ready, "fill"))
             left = self._pending_rows(L.next_attempt(tried.where(~counts)), "fill")
             writes.append(lambda: self.tables.write(left, "pending/fill", step))
         return parts

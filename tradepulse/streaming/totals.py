@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradepulse.functions import expressions as E
 from tradepulse.operators import customers as C
 from tradepulse.operators import metrics as M
 from tradepulse.streaming.tables import StepTables
@@ -36,17 +37,29 @@ NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 Part = tuple[str, int | None, int]
 
 
+_OWN = {**KEYS, **MEASURES, "mask": "BIGINT"}
+
+
 def changes(kind: str, rows: DataFrame) -> DataFrame:
     """Rows of one kind in the shape of the table; what they lack is null."""
-    have = {**{k: t for k, t in KEYS.items()}, **MEASURES, "mask": "BIGINT"}
-    own = [F.col(c).cast(t).alias(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in have.items()]
-    return rows.select(F.lit(kind).alias("kind"), "business_date", *own)
+    have = set(rows.columns)
+    own = [f"CAST({c if c in have else 'NULL'} AS {t}) AS {c}" for c, t in _OWN.items()]
+    return rows.selectExpr(f"'{kind}' AS kind", "business_date", *own)
+
+
+def trade_changes(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """Narrow rows of orders or fills, each amount times the rate of its currency.
+
+    A batch's rows meet the rates without a shuffle, and one aggregation adds up all kinds.
+    """
+    priced = rows.join(rates.select(F.col("currency").alias("_currency"), "rate"), "_currency", "left")
+    amounts = {m: E.converted(m) for m in M.CONVERTED_MEASURES if m in rows.columns}
+    return changes(TRADE, priced.withColumns(amounts))
 
 
-def customer_changes(people: DataFrame) -> DataFrame:
-    """Customers (``customer_id``, ``side`` and trade keys) as words of their sets."""
-    words = C.customer_words(people, [*M.TRADE_KEYS, "side"])
-    return changes(CUSTOMER, words.withColumnRenamed("side", "metric"))
+def customer_changes(people: DataFrame, side: str) -> DataFrame:
+    """Customers of one side as words of their sets, still to be merged."""
+    return changes(CUSTOMER, C.word_rows(people).withColumn("metric", F.lit(side)))
 
 
 def _added(rows: DataFrame, by: Sequence[str]) -> DataFrame:
