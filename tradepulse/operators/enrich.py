@@ -35,6 +35,34 @@ def match_fills(
     return out
 
 
+#: Fills of one order that a task takes, beyond which its fills are dealt out to more tasks.
+HEAVY = 1_000_000
+
+
+def match_heavy_fills(
+    fills: DataFrame,
+    orders: DataFrame,
+    on: Sequence[str] = ("order_id",),
+    heavy: int = HEAVY,
+    **kwargs,
+) -> DataFrame:
+    """:func:`match_fills` where single orders may hold a large share of all fills.
+
+    Fills are counted per order, within tasks first. The fills of an order with more than
+    ``heavy`` are dealt out by a hash of all their columns, and that order alone is
+    repeated for each share. There are fewer such orders than fills divided by ``heavy``,
+    so their ids are broadcast. This holds whatever the plan above the join is, where
+    adaptive execution splits only joins between two shuffles.
+    """
+    counts = fills.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy)
+    shares = F.broadcast(counts.select(*on, F.ceil(F.col("_n") / heavy).cast("int").alias("_shares")))
+    share = F.pmod(F.xxhash64(*fills.columns), F.col("_shares")).cast("int")
+    dealt = fills.join(shares, list(on), "left").withColumn("_share", F.coalesce(share, F.lit(0))).drop("_shares")
+    last = F.coalesce("_shares", F.lit(1)) - 1
+    repeated = orders.join(shares, list(on), "left").withColumn("_share", F.explode(F.sequence(F.lit(0), last))).drop("_shares")
+    return match_fills(dealt, repeated, [*on, "_share"], **kwargs).drop("_share")
+
+
 def with_matches(
     updates: DataFrame, stored: DataFrame, on: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

@@ -71,6 +71,28 @@ def classify_channel_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+RULE_FIELDS = ("customer", "status")
+
+
+def _customer_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule for each customer; they all share the values of their other field."""
+    customer = T.load(spark, sf, "customer")
+    asked = F.array(
+        F.struct(F.lit("customer").alias("field"), F.array(F.col("c_custkey").cast("string")).alias("allowed")),
+        F.struct(F.lit("status").alias("field"), F.array(F.lit("O"), F.lit("F")).alias("allowed")),
+    )
+    return customer.select(
+        F.col("c_mktsegment").alias("class"), F.col("c_custkey").alias("rule_id"), F.lit(2).alias("n_fields"), F.explode(asked).alias("own")
+    ).select("class", "rule_id", "n_fields", "own.*")
+
+
+def classify_long_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by the rule of their customer, of as many rules as there are customers."""
+    orders = T.load(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderstatus").alias("status"))
+    classified = classify_by_table(orders, _customer_rules(spark, sf), RULE_FIELDS)
+    return classified.groupBy("channel", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 def security_group_counts(spark: SparkSession, sf: str) -> DataFrame:
     part = T.load(spark, sf, "part").select("p_partkey", "p_type", F.upper("p_name").alias("code"))
     sold = T.load(spark, sf, "lineitem").select("l_partkey").join(
@@ -129,6 +151,18 @@ def fills_by_branch_channel(spark: SparkSession, sf: str) -> DataFrame:
     return M.fill_metrics(_matched(spark, sf), T.rates(spark), BY, T.MARGIN_FLAG)
 
 
+def fills_matched_heavy(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of all lines as fills of one order; its share of a task is bounded."""
+    lines = T.load(spark, sf, "lineitem").select(
+        F.when(F.col("l_partkey") % 2 == 0, F.lit(1).cast("long")).otherwise(F.col("l_orderkey")).alias("order_id"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
+    )
+    matched = J.match_heavy_fills(lines, T.order_book(spark, sf), heavy=10_000)
+    return matched.groupBy("channel", "matched").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("l_extendedprice").cast(S.MONEY)).cast("decimal(38,4)").alias("amount")
+    )
+
+
 def fills_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     fills = T.load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
@@ -186,6 +220,18 @@ def order_customers_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     return C.bitmap_counts(C.merge_bitmaps(bits, BY), BY, "entr_cust_nums")
 
 
+def order_customers_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer sets of two halves of the orders, merged and counted."""
+    orders = T.orders_view(spark, sf)
+    halves = [C.customer_words(orders.where(f"{half} (price > 150000)"), BY, start=T.NAME_ORDINAL) for half in ("", "NOT")]
+    return C.word_counts(C.merge_words(halves[0].unionByName(halves[1]), BY), BY, "entr_cust_nums")
+
+
+def fill_customers_words(spark: SparkSession, sf: str) -> DataFrame:
+    words = C.customer_words(_matched(spark, sf), BY, start=T.NAME_ORDINAL)
+    return C.word_counts(words, BY, "mtch_cust_nums")
+
+
 def fill_customers_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     bits = C.customer_bitmaps(_matched(spark, sf), BY, start=T.NAME_ORDINAL)
     return C.bitmap_counts(C.merge_bitmaps(bits, BY), BY, "mtch_cust_nums")
@@ -397,6 +443,29 @@ QUERIES = {
         _with(T.ORDERS_SQL)
         + " SELECT branch, channel, count(DISTINCT customer_id) AS entr_cust_nums FROM ord GROUP BY 1, 2",
     ),
+    "order_customers_words": (
+        order_customers_words,
+        _with(T.ORDERS_SQL)
+        + " SELECT branch, channel, count(DISTINCT customer_id) AS entr_cust_nums FROM ord GROUP BY 1, 2",
+    ),
+    "fill_customers_words": (
+        fill_customers_words,
+        _with(T.FILLS_SQL, T.BOOK_SQL, MATCHED_SQL)
+        + " SELECT branch, channel, count(DISTINCT customer_id) AS mtch_cust_nums FROM mat GROUP BY 1, 2",
+    ),
+    "classify_long_rules": (
+        classify_long_rules,
+        """SELECT CASE WHEN o_orderstatus IN ('O', 'F') AND c_custkey IS NOT NULL THEN c_mktsegment ELSE 'qt' END AS channel,
+        o_orderstatus AS status, count(*) AS n FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2""",
+    ),
+    "fills_matched_heavy": (
+        fills_matched_heavy,
+        f"""WITH {T.BOOK_SQL}, l AS (
+            SELECT CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE l_orderkey END AS order_id, CAST(l_extendedprice AS DECIMAL(18,4)) AS amount FROM lineitem)
+        SELECT coalesce(book.channel, 'undefine') AS channel, book.order_id IS NOT NULL AS matched, count(*) AS n,
+            CAST(sum(amount) AS DECIMAL(38,4)) AS amount
+        FROM l LEFT JOIN book USING (order_id) GROUP BY 1, 2""",
+    ),
     "fill_customers_bitmap": (
         fill_customers_bitmap,
         _with(T.FILLS_SQL, T.BOOK_SQL, MATCHED_SQL)
