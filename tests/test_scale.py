@@ -73,8 +73,11 @@ def test_rule_file_and_index_agree(spark, tmp_path):
 
 @pytest.fixture()
 def plain(spark):
-    """Fixed partitions, which nothing puts together or splits afterwards."""
-    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    """Adaptive plans that broadcast tiny tables only and neither split nor join partitions."""
+    keys = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "100KB",
+        "spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
     before = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -91,6 +94,8 @@ def test_half_of_all_fills_on_one_order_fill_no_task(plain):
         plain.sql("SELECT 7L AS order_id, 'hot' AS channel")
     )
     matched = J.match_heavy_fills(fills, orders, heavy=2_000)
+    hot = J.match_fills(fills, orders).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    assert hot.agg(F.max("n")).first()[0] > 100_000  # all of them in one task otherwise
     sizes = [r.n for r in matched.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert max(sizes) <= 3 * statistics.median(sizes)
     got = {r.channel: r.n for r in matched.groupBy("channel").agg(F.count(F.lit(1)).alias("n")).collect()}

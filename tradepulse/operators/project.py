@@ -107,13 +107,11 @@ def typed_records(
     )
     # a step of its own, so that a number is cast once for its value and its reason
     typed = texts.selectExpr("*", *[f"try_cast({f.name} AS {f.type}) AS {_typed(f)}" for f in fields if f.type != "string"])
-    return typed.selectExpr(
-        *carried,
-        "source_day",
-        "business_date",
-        *[f"{_typed(f)} AS {f.name}" for f in fields],
-        f"{_reject_reason(kind)} AS reject_reason",
-    )
+    # a generator, so that neither filters on the result nor its columns repeat the typing
+    row = {"source_day": "source_day", "business_date": "business_date"}
+    row |= {f.name: _typed(f) for f in fields} | {"reject_reason": _reject_reason(kind)}
+    pairs = ", ".join(f"'{name}', {value}" for name, value in row.items())
+    return typed.selectExpr(*carried, f"inline(array(named_struct({pairs})))")
 
 
 def _differs(name: str, text: str) -> str:
