@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tradepulse.functions import rules as R
 from tradepulse.operators import enrich as J
+from tradepulse.session import work_folder
 from tradepulse.sources.rules import rule_table
+from tradepulse.sources.state import lookup_bucketed, open_bucketed, write_bucketed
 
 FIELDS = ["mode", "operator", "branch"]
 RULE_DDL = "class string, rule_id long, field string, n_fields int, allowed array<string>"
@@ -110,3 +112,29 @@ def test_without_heavy_orders_nothing_changes(spark):
     for heavy in (1, 100):
         got = sorted(map(tuple, J.match_heavy_fills(fills, orders, heavy=heavy).collect()), key=str)
         assert got == sorted(map(tuple, J.match_fills(fills, orders).collect()), key=str)
+
+
+def test_bucketed_state_is_not_shuffled(spark):
+    """Only the wanted keys are, also by another session that has to learn of the table."""
+    path = work_folder(spark, "bucketed")
+    rows = spark.range(20_000).select((F.col("id") % 2 + 1).cast("int").alias("day"), F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+    write_bucketed(rows, "bucketed_state", path, "k", 4, ["day"])
+    keys = spark.createDataFrame([(1, "2"), (1, "4"), (2, "4"), (2, "7"), (2, "no"), (None, "8")] * 2, "day int, k string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for known in (True, False):
+            if not known:
+                spark.sql("DROP TABLE bucketed_state")
+            state = open_bucketed(spark, "bucketed_state", path, "k string, v string, day int", "k", 4, ["day"])
+            found = lookup_bucketed(state, keys, "k", ["day"])
+            assert sorted((r.day, r.k) for r in found.collect()) == [(1, "2"), (1, "4"), (2, "7")]
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            own = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")]
+            left = own[: own.index("_key")] if "_key" in own else own
+            scan = own[: own.index("bucketed_state")]
+            assert "SortMergeJoin" in own and "SelectedBucketsCount: 4 out of 4" in own
+            assert "Exchange" not in scan and own.count("Exchange") == 2, left  # distinct keys, then by key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS bucketed_state")

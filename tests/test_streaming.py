@@ -315,3 +315,18 @@ def test_fills_once_across_batches_and_folds(make_job):
     job.process(raw(job.spark, [fill(5, "2", 20), fill(5, "3", 21)]), 2)
     job.process(raw(job.spark, [fill(5, "2", 20), fill(5, "3", 21)]), 2)
     assert trade(job)[("B02", "app")][1] == 3
+
+
+def test_folded_state_is_found_by_a_session_that_does_not_know_it(spark, make_job):
+    job = make_job(business_date=None)
+    feed(job, [order(5), request("Q", "INSERT", 1, status="1"), otc(8, "INSERT", 2, YWDM="7", YWJE="40", CLZT="1")])
+    job.compact()
+    for kind in ("order", "dept_request", "otc"):
+        spark.sql(f"DROP TABLE {job._bucketed(kind, 0)[0]}")
+    job.process(raw(spark, [fill(5, offset=9), request("Q", "UPDATE", 10), otc(8, "UPDATE", 11, YWDM="DROP")]), 1)
+    assert trade(job)[("B02", "app")][1] == 1
+    assert activity(job)[("B01", "deal")][0] == 1 and activity(job)[("", "ins")][0] == 1
+    assert {r["order_id"] for r in job.state("order").collect()} == {"5"}
+    job.process(raw(spark, [order(5, 12, YYB="B03"), order(6, 13)]), 2)
+    job.compact()
+    assert {(r["order_id"], r["branch"]) for r in job.state("order").collect()} == {("5", "B03"), ("6", "B01")}

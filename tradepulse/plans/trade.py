@@ -18,7 +18,7 @@ from tradepulse.plans import tables as T
 from tradepulse.session import work_folder
 from tradepulse.sources.dimensions import latest_rates, latest_snapshot, next_trade_day
 from tradepulse.sources.rules import read_rules, rule_table
-from tradepulse.sources.state import lookup_state
+from tradepulse.sources.state import lookup_bucketed, lookup_state, write_bucketed
 
 BY = ("branch", "channel")
 
@@ -207,6 +207,18 @@ def state_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("order_id", "channel")
 
 
+def state_lookup_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from state that is stored in buckets of its key and stays there."""
+    path = work_folder(spark, "state")
+    orders = T.load(spark, sf, "orders")
+    state = orders.select(F.col("o_orderkey").alias("order_id"), T.channel().alias("channel"))
+    table = "tradepulse_" + path.rsplit("-", 1)[1]
+    write_bucketed(state, table, path, "order_id", 8)
+    wanted = T.load(spark, sf, "lineitem").where("l_returnflag = 'R'")
+    keys = wanted.select(F.col("l_orderkey").alias("order_id"))
+    return lookup_bucketed(spark.table(table), keys, "order_id")
+
+
 def trade_stat_daily(spark: SparkSession, sf: str) -> DataFrame:
     rows = M.trade_rows(T.orders_view(spark, sf), _matched(spark, sf), M.TRADE_KEYS, T.MARGIN_FLAG)
     totals = M.trade_totals_by_row(rows, T.rates(spark))
@@ -419,6 +431,11 @@ QUERIES = {
         f"""SELECT o_orderkey AS order_id, {T.CHANNEL_SQL} AS channel FROM orders
         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
     ),
+    "state_lookup_bucketed": (
+        state_lookup_bucketed,
+        f"""SELECT o_orderkey AS order_id, {T.CHANNEL_SQL} AS channel FROM orders
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+    ),
     "trade_stat_daily": (
         trade_stat_daily,
         _with(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import zlib
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,7 +23,7 @@ from tradepulse.operators import metrics as M
 from tradepulse.operators import project as P
 from tradepulse.operators.ingest import parse_envelopes, unwrap_late
 from tradepulse.sources.changes import spread
-from tradepulse.sources.state import lookup_state
+from tradepulse.sources.state import lookup_bucketed, lookup_state, open_bucketed, write_bucketed
 from tradepulse.streaming import late as L
 from tradepulse.streaming import totals as R
 from tradepulse.streaming.tables import LEDGER_ROW, StepTables, held, step_after
@@ -96,10 +97,6 @@ def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
         future.result()
 
 
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.hash(key), F.lit(buckets)).cast("int")
-
-
 @dataclass
 class ActivityJob:
     """Everything a run needs besides its input stream.
@@ -322,33 +319,41 @@ class ActivityJob:
     def _stored(self, kind: str, wanted: DataFrame, step: int, fresh: DataFrame | None) -> DataFrame:
         """Newest row of each key the batch asks for, of ``fresh`` ones and stored ones.
 
-        Compacted state is partitioned by day and key bucket, steps by day: partitions
-        that no wanted key falls in are pruned.
+        Compacted state is bucketed by key and is read where it lies; of the steps since
+        then, partitioned by day, the days of the batch are.
         """
         keys = list(STATE_KEY[kind])
         table = f"state/{kind}"
         base = self.tables.last_base(table)
+        names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
         state = self.tables.read(table, STATE_DDL[kind], upto=step - 1, after=base)
         if fresh is not None:
-            names = [part.split()[0] for part in STATE_DDL[kind].split(", ")]
             state = state.unionByName(fresh.select(*names, F.lit(step).cast("bigint").alias("step")))
-        on = keys
         if base is not None:
-            on = [*keys, "bucket"]
-            buckets = self._buckets(kind, base)
-            state = state.withColumn("bucket", _bucket(keys[-1], buckets)).unionByName(self._base_state(kind, base))
-            # a condition on them lets Spark prune partitions by the keys of the batch
-            wanted = wanted.select(*keys).withColumn("bucket", _bucket(keys[-1], buckets)).where("bucket >= 0")
+            folded = self._base_state(kind, base)
+            if self.business_date is not None:
+                folded = folded.where(F.col("business_date") == self.business_date)
+            found = lookup_bucketed(folded, wanted, keys[-1], keys[:-1])
+            state = state.join(wanted.select(*keys).distinct(), keys, "left_semi").unionByName(found.select(*state.columns))
         if self.business_date is not None:
             state = state.where(F.col("business_date") == self.business_date)
-        return lookup_state(state, wanted, on, _newest()).drop("step", "event_ts", "src_offset", "bucket")
+        rows = lookup_state(state, wanted, keys, _newest()) if base is None else D.last_per_key(state, keys, _newest())
+        return rows.drop("step", "event_ts", "src_offset")
+
+    def _bucketed(self, kind: str, base: int) -> tuple[str, str]:
+        """Name in the catalog, and folder, of compacted state."""
+        path = self.tables.path(f"base/state/{kind}", base)
+        return f"tradepulse_{kind}_{zlib.crc32(path.encode()):08x}_{base}", path
 
     def _buckets(self, kind: str, base: int) -> int:
         """Key buckets of a base, as written beside it."""
         return self.tables.read_step(f"buckets/{kind}", "buckets INT", base).first()[0]
 
     def _base_state(self, kind: str, base: int) -> DataFrame:
-        rows = self.tables.read_step(f"base/state/{kind}", f"{STATE_DDL[kind]}, bucket INT", base)
+        table, path = self._bucketed(kind, base)
+        rows = open_bucketed(
+            self.spark, table, path, STATE_DDL[kind], STATE_KEY[kind][-1], self._buckets(kind, base), ["business_date"]
+        )
         return rows.withColumn("step", F.lit(base).cast("bigint"))
 
     def _trade(
@@ -579,7 +584,7 @@ class ActivityJob:
         base = self.tables.last_base(table)
         rows = self.tables.read(table, STATE_DDL[kind], upto=self.tables.last_step() or 0, after=base)
         if base is not None:
-            rows = rows.unionByName(self._base_state(kind, base).drop("bucket"))
+            rows = rows.unionByName(self._base_state(kind, base))
         return D.last_per_key(rows, STATE_KEY[kind], _newest())
 
     def quarantined(self) -> DataFrame:
@@ -591,8 +596,8 @@ class ActivityJob:
         """Fold all committed steps into one base per table.
 
         The job does this itself every ``fold_every`` batches. State lies by day and
-        key bucket; the number of buckets follows from the rows and is written
-        beside the base, and a large bucket is several files.
+        is bucketed by key; the number of buckets follows from the rows and is written
+        beside the base.
         """
         last = self.tables.last_step()
         if last is None or self.tables.last_base("ledger") == last:
@@ -607,9 +612,13 @@ class ActivityJob:
             buckets = -(-days // BUCKET_ROWS)
             counted = self.spark.range(1).select(F.lit(buckets).cast("int").alias("buckets"))
             self.tables.write(counted.coalesce(1), f"buckets/{kind}", last)
-            rows = rows.withColumn("bucket", _bucket(keys[-1], buckets))
-            rows = rows.hint("rebalance", F.col("business_date"), F.col("bucket"))
-            self.tables.compact(f"state/{kind}", rows, last, ["business_date", "bucket"])
+            table, path = self._bucketed(kind, last)
+            older = self.tables.last_base(f"state/{kind}")
+            if older != last:
+                write_bucketed(rows, table, path, keys[-1], buckets, ["business_date"])
+            self.tables.compact(f"state/{kind}", rows, last)
+            if older is not None and older != last:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed(kind, older)[0]}")
             for step in self.tables.steps(f"buckets/{kind}"):
                 if step < last:
                     self.tables.clear(f"buckets/{kind}", step)
@@ -624,4 +633,9 @@ class ActivityJob:
         """Drop stored state of days before ``before_day``; returns dropped partitions."""
         daily = [*[f"state/{kind}" for kind in STATE_KEY], "seen/fill"]
         tables = [f"{base}{table}" for table in daily for base in ("", "base/")]
-        return sum(self.tables.drop_days(table, before_day) for table in tables)
+        dropped = sum(self.tables.drop_days(table, before_day) for table in tables)
+        for kind in STATE_KEY if dropped else ():  # the catalog learns what is left when a table is opened again
+            base = self.tables.last_base(f"state/{kind}")
+            if base is not None:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed(kind, base)[0]}")
+        return dropped
