@@ -83,6 +83,14 @@ def test_a_step_written_twice_counts_once_and_one_without_ledger_row_is_not_seen
     assert seen(totals) == {(1, "a", "x"): (2, 2)}
 
 
+def test_the_number_of_parts_of_a_table_is_fixed(spark, totals):
+    add(totals, [(1, "a", "x", 1, None)], 0)
+    with pytest.raises(ValueError, match="4 parts"):
+        add(R.Totals(totals.tables, parts=5), [(1, "a", "x", 1, None)], 2)
+    add(R.Totals(totals.tables, parts=4), [(1, "a", "x", 1, None)], 2)
+    assert seen(totals)[1, "a", "x"][0] == 2
+
+
 def test_whole_totals_replace_key_by_key(totals):
     add(totals, [(1, "a", "x", 1, None), (1, "b", "x", 2, None)], 0)
     for step in (2, 4):

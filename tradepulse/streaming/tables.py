@@ -70,6 +70,10 @@ class StepTables:
         path, fs = self._fs(pattern)
         return [s.getPath().toString() for s in fs.globStatus(path) or []]
 
+    def make(self, path: str) -> None:
+        found, fs = self._fs(path)
+        fs.mkdirs(found)
+
     def delete(self, path: str) -> None:
         found, fs = self._fs(path)
         fs.delete(found, True)

@@ -73,6 +73,16 @@ class Totals:
     def __init__(self, tables: StepTables, parts: int = 8) -> None:
         self.tables, self.parts = tables, parts
         self.root = tables.path("totals")
+        self._checked = False
+
+    def _check_parts(self) -> None:
+        """A key's partition follows from ``parts``, so a table keeps the number it began with."""
+        if not self._checked:
+            found = [path.rsplit("/", 1)[1] for path in self.tables.glob(f"{self.root}/_parts/*")]
+            if found and found != [str(self.parts)]:
+                raise ValueError(f"{self.root} has {found[0]} parts a day, not {self.parts}")
+            self.tables.make(f"{self.root}/_parts/{self.parts}")
+            self._checked = True
 
     def add(
         self, parts: Iterable[DataFrame], step: int, hold: Callable[[DataFrame], DataFrame], replace: bool = False
@@ -86,6 +96,7 @@ class Totals:
             rows = own if rows is None else rows.unionByName(own)
         if rows is None:
             return []
+        self._check_parts()
         key = F.hash("branch", "channel", "metric", F.shiftright("word", WORDS_TOGETHER.bit_length() - 1))
         delta = hold(_added(rows.withColumn("part", F.pmod(key, F.lit(self.parts)).cast("int")), PARTITION))
         touched = [tuple(r) for r in delta.select(*PARTITION).distinct().collect()]
