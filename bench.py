@@ -32,6 +32,7 @@ HEADLINE = (
     "lookup_keys", "state_lookup", "security_group_counts", "classify_channel_counts",
     "cash_flow_in_out", "new_customers_by_type", "dept_deals_by_branch", "otc_product_stats",
     "other_stat_daily", "cdc_project_orders", "cdc_project_fills", "cdc_route_counts",
+    "order_customers_words", "classify_long_rules", "fills_matched_heavy", "state_lookup_bucketed",
 )
 STREAMS = ("stream_fills_late_match",)
 BATCHES = 8

@@ -69,6 +69,7 @@ STEP_TABLES = (
     *[f"{name}/{kind}" for name in ("pending", "expired") for kind in PENDING_KINDS],
 )
 Typed = dict[str, DataFrame]
+Days = Iterable[int | None] | None
 STATE_KEY = {
     "order": ("business_date", "order_id"),
     "otc": ("business_date", "order_id"),
@@ -497,68 +498,62 @@ class ActivityJob:
 
     # -- reading results ------------------------------------------------------
 
-    def trade_rows(self) -> DataFrame:
-        return self.totals.rows(R.TRADE).select(*M.TRADE_KEYS, *M.TRADE_MEASURES)
+    # Every reader takes the days to read; left out, all of them are.
+    def trade_rows(self, days: Days = None) -> DataFrame:
+        return self.totals.rows(R.TRADE, days).select(*M.TRADE_KEYS, *M.TRADE_MEASURES)
 
-    def activity_rows(self) -> DataFrame:
-        return self.totals.rows(R.ACTIVITY).select(*M.ACTIVITY_KEYS, *M.ACTIVITY_MEASURES)
+    def activity_rows(self, days: Days = None) -> DataFrame:
+        return self.totals.rows(R.ACTIVITY, days).select(*M.ACTIVITY_KEYS, *M.ACTIVITY_MEASURES)
 
-    def trade_stats(self) -> DataFrame:
+    def trade_stats(self, days: Days = None) -> DataFrame:
         """Running trade totals per day, branch and channel."""
         zero = {m: F.coalesce(m, F.lit(0).cast(t)) for m, t in M.TRADE_MEASURES.items()}
-        return self.trade_rows().withColumns(zero).where("entr_tims <> 0 OR mtch_tims <> 0")
+        return self.trade_rows(days).withColumns(zero).where("entr_tims <> 0 OR mtch_tims <> 0")
 
-    def customer_stats(self) -> DataFrame:
+    def customer_stats(self, days: Days = None) -> DataFrame:
         """Distinct order and fill customers per day, branch and channel."""
-        counted = self.totals.rows(R.COUNT)
+        counted = self.totals.rows(R.COUNT, days)
         return counted.groupBy(*M.TRADE_KEYS).agg(
             F.coalesce(F.sum(F.when(F.col("metric") == "order", F.col("n"))), F.lit(0)).alias("entr_cust_nums"),
             F.coalesce(F.sum(F.when(F.col("metric") == "fill", F.col("n"))), F.lit(0)).alias("mtch_cust_nums"),
         )
 
-    def customer_day_stats(self) -> DataFrame:
-        return M.customer_day_stats(self.activity_rows())
+    def customer_day_stats(self, days: Days = None) -> DataFrame:
+        return M.customer_day_stats(self.activity_rows(days))
 
-    def branch_day_stats(self) -> DataFrame:
-        return M.branch_day_stats(self.activity_rows())
+    def branch_day_stats(self, days: Days = None) -> DataFrame:
+        return M.branch_day_stats(self.activity_rows(days))
 
-    def otc_day_stats(self) -> DataFrame:
-        return M.otc_day_stats(self.activity_rows())
+    def otc_day_stats(self, days: Days = None) -> DataFrame:
+        return M.otc_day_stats(self.activity_rows(days))
 
     # Column names of the result tables.
-    def trade_result(self) -> DataFrame:
+    def trade_result(self, days: Days = None) -> DataFrame:
         """Trade totals and distinct customers on one row per day, branch and channel."""
-        both = self.trade_stats().join(self.customer_stats(), list(M.TRADE_KEYS), "left")
+        both = self.trade_stats(days).join(self.customer_stats(days), list(M.TRADE_KEYS), "left")
         names = {"business_date": "date_id", "branch": "dept", "channel": "trd_chn"}
         people = {c: F.coalesce(c, F.lit(0)) for c in ("entr_cust_nums", "mtch_cust_nums")}
         return both.withColumns(people).withColumnsRenamed(names)
 
-    def results(self) -> dict[str, DataFrame]:
+    def results(self, days: Days = None) -> dict[str, DataFrame]:
         """The result tables as of the last step, one row per key, with their write time."""
         tables = {
-            "trade": self.trade_result(), "customer": self.customer_day_stats(),
-            "branch": self.branch_day_stats(), "otc": self.otc_day_stats(),
+            "trade": self.trade_result(days), "customer": self.customer_day_stats(days),
+            "branch": self.branch_day_stats(days), "otc": self.otc_day_stats(days),
         }
         return {name: df.withColumn("stat_time", E.stat_time()) for name, df in tables.items()}
 
-    def publish_results(self, days: Iterable[int | None] | None = None) -> None:
-        """Write the result tables, of the given days only if any are named.
-
-        A day is a partition, replaced as a whole from that day's totals.
-        """
+    def publish_results(self, days: Days = None) -> None:
+        """Write the result tables: a day is a partition, replaced as a whole from that day's totals."""
         wanted = None if days is None else set(days)
         if wanted is not None and not wanted:
             return
 
         def write(name: str, df: DataFrame) -> None:
-            rows = df
-            if wanted is not None:
-                own = F.col("date_id").isin([d for d in wanted if d is not None])
-                rows = df.where(own | F.col("date_id").isNull() if None in wanted else own)
-            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy("date_id").parquet(self.tables.path(f"results/{name}"))
 
-        _together(self.spark, *[lambda name=name, df=df: write(name, df) for name, df in self.results().items()])
+        _together(self.spark, *[lambda name=name, df=df: write(name, df) for name, df in self.results(wanted).items()])
 
     def published(self, name: str) -> DataFrame:
         """A result table as last published."""

@@ -124,24 +124,30 @@ class Totals:
     def _load(self, paths: list[str]) -> DataFrame:
         return self.tables.spark.read.schema(DDL).option("basePath", self.root).parquet(*paths)
 
-    def versions(self, touched: Iterable[Part] | None = None, upto: int | None = None, kind: str | None = None) -> dict[Part, list[str]]:
-        """Folders of the versions of partitions, oldest first; of all partitions if left out."""
+    def versions(
+        self, touched: Iterable[Part] | None = None, upto: int | None = None, kind: str | None = None,
+        days: Iterable[int | None] | None = None,
+    ) -> dict[Part, list[str]]:
+        """Folders of the versions of partitions, oldest first; of all partitions, kinds and days if left out.
+
+        Only folders of the days asked for are listed.
+        """
         wanted = None if touched is None else set(touched)
-        days, kinds = "*", kind or "*"
         if wanted is not None:
-            days = "{" + ",".join(sorted({NO_DAY if d is None else str(d) for _, d, _ in wanted})) + "}"
+            days = {day for _, day, _ in wanted}
+        names = "*" if days is None else "{" + ",".join(sorted(NO_DAY if d is None else str(d) for d in set(days))) + "}"
         found: dict[Part, list[tuple[int, str]]] = {}
-        for path in self.tables.glob(f"{self.root}/kind={kinds}/business_date={days}/part=*/step=*"):
+        for path in self.tables.glob(f"{self.root}/kind={kind or '*'}/business_date={names}/part=*/step=*"):
             own, day, part, step = (piece.split("=", 1)[1] for piece in path.rsplit("/", 4)[1:])
             name = own, None if day == NO_DAY else int(day), int(part)
             if (wanted is None or name in wanted) and (upto is None or int(step) <= upto):
                 found.setdefault(name, []).append((int(step), path))
         return {name: [path for _, path in sorted(paths)] for name, paths in found.items()}
 
-    def rows(self, kind: str) -> DataFrame:
-        """Committed rows of a kind: each partition in its newest version."""
+    def rows(self, kind: str, days: Iterable[int | None] | None = None) -> DataFrame:
+        """Committed rows of a kind, of the days named if any are: each partition in its newest version."""
         last = self.tables.last_step()
-        paths = [] if last is None else [p[-1] for p in self.versions(upto=last, kind=kind).values()]
+        paths = [] if last is None else [p[-1] for p in self.versions(upto=last, kind=kind, days=days).values()]
         if not paths:
             return self.tables.spark.createDataFrame([], DDL)
         return self._load(paths)
