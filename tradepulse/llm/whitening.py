@@ -126,9 +126,11 @@ def _covariance(rows: DataFrame, width: int, length: int, n: int, of: Callable[[
 
     partial = rows.select("v").mapInArrow(products, "i int, row array<double>")
     summed = partial.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
+    line = F.array_sort(F.collect_list(F.struct("j", "x")))["x"].alias("row")  # as many entries as dimensions
     total = np.zeros((width + 1, width))
-    for r in summed.collect():  # as many as the square of the dimension
-        total[r["i"], r["j"]] = r["x"]
+    for batch in summed.groupBy("i").agg(line).toArrow().to_batches():
+        for i, row in zip(batch.column("i").to_pylist(), batch.column("row"), strict=True):
+            total[i] = row.values.to_numpy()
     rest = total[width] / n
     return total[:width] / n - np.outer(rest, rest)
 
