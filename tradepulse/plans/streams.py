@@ -237,7 +237,7 @@ def stream_activity_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 # Streams kept in Spark's state: keys stand for seconds of source time. Every wave brings the
 # messages of one stretch of keys, late orders come a wave after their fills.
-STRETCHES = 4
+STRETCHES = 3
 
 
 def _second(key: str) -> Column:
@@ -296,7 +296,7 @@ def _timed(raw: DataFrame, kind: str) -> DataFrame:
 def stream_fills_in_state(spark: SparkSession, sf: str) -> DataFrame:
     """Fills delivered twice, once each, joined to orders that come later; the rest leave unmatched."""
     width = _stretch(spark, sf)
-    delay = f"{3 * width} seconds"
+    delay = f"{2 * width} seconds"
 
     def build(raw: DataFrame) -> DataFrame:
         fills = once_within(_timed(raw, "fill"), FILL_KEY, delay)
@@ -314,7 +314,7 @@ def stream_fills_within_watermark(spark: SparkSession, sf: str) -> DataFrame:
     width = _stretch(spark, sf)
 
     def build(raw: DataFrame) -> DataFrame:
-        return once_within(_timed(raw, "fill"), FILL_KEY, f"{3 * width} seconds").withColumn("channel", F.lit("any"))
+        return once_within(_timed(raw, "fill"), FILL_KEY, f"{2 * width} seconds").withColumn("channel", F.lit("any"))
 
     measure = lambda batch: M.fill_metrics(batch, T.rates(spark))
     totals = _in_state(spark, sf, "fills-once-state", _timed_waves(spark, sf, width, True), build, "append", measure)
