@@ -95,3 +95,31 @@ def test_a_label_that_few_texts_have_is_sampled(spark):
     assert found[601] == ["markov"] and not any(found[i] for i in range(600))
     other = spark.createDataFrame([(t,) for t in [f"token=abcdefg{i}" for i in range(300)] + ["one ordinary_identifier"]], "text string")
     assert [r.value for r in secretscan.samples(other, rows=5).filter("not secret").collect()] == ["ordinary_identifier"]
+
+
+def test_very_long_texts_with_many_spans_take_time_in_proportion():
+    import time
+
+    part = "token=abcdefgh12 plainidentifier QmFzZTY0RW5jb2RlZFN0cmluZ1ZhbHVlMTIz "
+    took = []
+    for n in (2_000, 16_000):
+        text = part * n
+        began = time.perf_counter()
+        spans = secretscan.base_spans(text)
+        assert len(spans) == n
+        assert len(list(secretscan._plain(text, spans))) == 2 * n
+        assert len(secretscan._added(text, spans, np.full((len(secretscan.SYMBOLS) + 1,) * 2, 9.0), 1.0)) == n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 30 * took[0]
+
+
+def test_overlaps_equal_a_comparison_with_every_span():
+    import random
+
+    chance = random.Random(8)
+    for _ in range(300):
+        spans = [(a, a + chance.randint(1, 9), "x") for a in (chance.randrange(60) for _ in range(chance.randint(0, 8)))]
+        overlaps = secretscan._overlap(spans)
+        for start in range(60):
+            for end in (start + 1, start + 4):
+                assert overlaps(start, end) == any(s < end and start < e for s, e, _ in spans)

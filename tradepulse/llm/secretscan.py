@@ -11,8 +11,9 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import bisect
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,14 +64,33 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _overlap(spans: list[Span]) -> Callable[[int, int], bool]:
+    """Tells whether a stretch overlaps any of the spans; sorted once, then searched."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end, _ in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+
+    def overlaps(start: int, end: int) -> bool:
+        at = bisect.bisect_left(starts, end) - 1
+        return at >= 0 and start < ends[at]
+
+    return overlaps
+
+
 def _codes(run: str) -> np.ndarray:
     return _CODE[np.frombuffer(run.encode("ascii"), np.uint8)]
 
 
 def _added(text: str, base: list[Span], ratio: np.ndarray, threshold: float) -> list[Span]:
     found = []
+    overlaps = _overlap(base)
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e, _ in base):
+        if overlaps(m.start(), m.end()):
             continue
         codes = _codes(m[0])
         if len(set(m[0])) >= DISTINCT and ratio[codes[:-1], codes[1:]].mean() > threshold:
@@ -85,7 +105,8 @@ def _random(text: str, spans: list[Span]) -> list[str]:
 
 def _plain(text: str, spans: list[Span]) -> Iterator[str]:
     """The other runs of identifier characters."""
-    return (m[0] for m in IDENTIFIER.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in spans))
+    overlaps = _overlap(spans)
+    return (m[0] for m in IDENTIFIER.finditer(text) if not overlaps(m.start(), m.end()))
 
 
 def samples(df: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> DataFrame:
@@ -99,36 +120,30 @@ def samples(df: DataFrame, rows: int = SAMPLE_ROWS, text_col: str = "text") -> D
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            texts = batch.column(0).to_pylist()
-            spans = [base_spans(text) for text in texts]
-            plain = [any(True for _ in _plain(*found)) for found in zip(texts, spans, strict=True)]
-            has = [pa.array(list(map(bool, spans)), pa.bool_()), pa.array(plain, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *has], names=["hash", "random", "plain"])
-
-    # hashes only; the last one that is taken of each label
-    labels = texts.mapInArrow(find, "hash long, random boolean, plain boolean").filter("random or plain").distinct()
+            random, plain = [], []
+            for text in batch.column(0).to_pylist():
+                spans = base_spans(text)
+                random.append(_random(text, spans))
+                plain.append(any(True for _ in _plain(text, spans)))
+            found = [pa.array(random, pa.list_(pa.string())), pa.array(plain, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), *found], names=["hash", "random", "plain"])
+
+    # of each text, its hash and what the patterns match; identifiers are read again of a few only
+    labels = texts.mapInArrow(find, "hash long, random array<string>, plain boolean").filter("size(random) > 0 or plain")
     labels = written(labels, "labels")
-    last = {
-        label: labels.filter(label).select("hash").orderBy("hash").limit(rows).agg(F.max("hash")).first()[0] for label in ("random", "plain")
-    }
-    # below any hash if there is none
-    upto = [-(1 << 63) - 1 if last[label] is None else last[label] for label in ("random", "plain")]
+    last = labels.filter("plain").select("hash").distinct().orderBy("hash").limit(rows).agg(F.max("hash")).first()[0]
+    secrets = labels.filter("size(random) > 0").dropDuplicates(["hash"]).orderBy("hash").limit(rows)
+    of_secrets = secrets.select(F.explode("random").alias("value"), F.lit(True).alias("secret"))
+    if last is None:
+        return of_secrets
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ordinary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            random, plain = [], []
-            for text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                spans = base_spans(text)
-                random.append(_random(text, spans) if at <= upto[0] else [])
-                plain.append(list(_plain(text, spans)) if at <= upto[1] else [])
-            kept = [pa.array(values, pa.list_(pa.string())) for values in (random, plain)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *kept], names=["hash", "random", "plain"])
-
-    near = texts.filter(F.col("hash") <= F.lit(max(-(1 << 63), *upto)))
-    taken = near.mapInArrow(label, "hash long, random array<string>, plain array<string>").filter("size(random) + size(plain) > 0")
-    own = F.array(*[F.struct(F.col(name).alias("values"), F.lit(secret).alias("secret")) for name, secret in (("random", True), ("plain", False))])
-    of_label = taken.dropDuplicates(["hash"]).select(F.explode(own).alias("own"))
-    return of_label.select(F.explode("own.values").alias("value"), F.col("own.secret").alias("secret"))
+            plain = [list(_plain(text, base_spans(text))) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(plain, pa.list_(pa.string()))], names=["hash", "plain"])
+
+    near = texts.filter(F.col("hash") <= last).mapInArrow(ordinary, "hash long, plain array<string>")
+    return of_secrets.unionByName(near.dropDuplicates(["hash"]).select(F.explode("plain").alias("value"), F.lit(False).alias("secret")))
 
 
 def train(labelled: DataFrame) -> np.ndarray:
