@@ -115,7 +115,8 @@ def packed(sized: DataFrame, sources: DataFrame, id_col: str = "doc_id") -> Data
     """
     own = sources.select(F.col("source").alias("_source"), "rank", "source_size", "target", "docs")
     rows = sized.join(own, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    spot = F.xxhash64(F.col(id_col), F.lit(SEED + 2))
+    # by size too, so that rows that share an id, or have none, are dealt out
+    spot = F.xxhash64(F.col(id_col), F.col("size"), F.lit(SEED + 2))
     parted = rows.withColumn("part", F.pmod(spot, F.ceil(F.col("docs") / RUN)))
     order = [F.xxhash64(F.col(id_col), F.lit(SEED + 3)), F.col(id_col), F.col("size")]
     return running_start(parted, ["rank"], "part", order, "size", "at").drop("part", "docs")
