@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from tradepulse.llm.common import running_start, written
 
 #: Bits of each dimension; rows that one task puts in order.
-BITS, RUN = 5, 2000
+BITS, RUN = 5, 500
 
 
 def curve_index(cells: Sequence[np.ndarray], bits: int = BITS) -> np.ndarray:
@@ -80,7 +80,8 @@ def places(df: DataFrame, cells: Sequence[str], order: Sequence[str], id_col: st
 
     counted = df.groupBy(*cells).agg(F.count(F.lit(1)).alias("_rows")).withColumn("curve", index(F.struct(*cells)))
     rows = df.join(counted, list(cells)).withColumn("_one", F.lit(1).cast("long"))
-    part = F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("_rows") / run))
+    # by what orders them too, so that rows that share an id, or have none, are dealt out
+    part = F.pmod(F.xxhash64(F.col(id_col), *order), F.ceil(F.col("_rows") / run))
     bucketed = rows.withColumn("_bucket", F.struct("curve", part.alias("part")))
     by = [F.xxhash64(F.col(id_col), F.lit(3)), *[F.col(c) for c in (id_col, *order)]]
     return running_start(bucketed, [], "_bucket", by, "_one", "place").drop("_bucket", "_one", "_rows")

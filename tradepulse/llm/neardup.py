@@ -8,8 +8,8 @@ classes with fewer shared coordinates than ``MATCHES`` are skipped, and of the o
 that prefix is merged; pairs whose signatures agree often enough are confirmed on full sets.
 
 No posting list is turned into pairs. Each list names a leader (the class with most copies),
-and all lists of a leader are one group. Members are compared with their leader, one row
-each. The members that it does not link meet the rest of the group in tiles of bounded size,
+and all lists of a leader are one group, dealt out in parts. Members are compared with their
+leader, one row each. The members that it does not link meet the rest of the group in tiles of bounded size,
 which yield at most one link for each row; so the work is linear in a group but for those.
 
 Chance of missing a pair at similarity 0.8: below 1e-5, and falling steeply above it.
@@ -143,10 +143,12 @@ def _with_leader(members: DataFrame, width: int, least: int) -> DataFrame:
                 [pa.array(leaders, pa.int64()), pa.array(ids, pa.int64()), pa.array(linked, pa.bool_())], names=["leader", "id", "linked"]
             )
 
+    # a leader stands in each part of its group
     leading = members.filter("id = leader").select(
-        "leader", F.col("text").alias("leader_text"), F.col("signature").alias("leader_signature")
-    )
-    pairs = members.filter("id <> leader").join(leading, "leader")
+        "leader", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("text").alias("leader_text"),
+        F.col("signature").alias("leader_signature"),
+    )
+    pairs = members.filter("id <> leader").drop("parts").join(leading, ["leader", "part"])
     return pairs.select("leader", "id", "text", "signature", "leader_text", "leader_signature").mapInArrow(
         compare, "leader long, id long, linked boolean"
     )
@@ -198,7 +200,7 @@ def _among_outliers(members: DataFrame, compared: DataFrame, width: int, least:
         F.count(F.lit(1)).alias("n"),
     )
     open_groups = sizes.filter("out_parts > 0 and n > 1").drop("n")
-    rows = members.join(compared.join(open_groups, "leader"), ["leader", "id"])
+    rows = members.drop("part", "parts").join(compared.join(open_groups, "leader"), ["leader", "id"])
     part = "cast(pmod(xxhash64(id), {}) as int)"
     shape = ["leader", "id", "signature", "text"]
     every = rows.select(
@@ -234,8 +236,13 @@ def near_duplicates(
     found = groups(classes)
     found = written(found.unionByName(found.select(F.col("leader").alias("id"), "leader").distinct()), "groups")
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    members = found.join(classes.select("id", "signature"), "id").join(texts, "id")
-    members = written(members.select("leader", "id", "signature", "text"), "members")
+    # only large groups are in this table, so it is small and meets the members without a shuffle by leader
+    large = found.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts")).filter("parts > 1")
+    large = written(large, "large-groups")
+    parted = found.join(large, "leader", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    parted = parted.withColumn("part", F.expr("cast(pmod(xxhash64(id, 5), parts) as int)"))
+    members = parted.join(classes.select("id", "signature"), "id").join(texts, "id")
+    members = written(members.select("leader", "id", "part", "parts", "signature", "text"), "members")
     compared = written(_with_leader(members, width, least), "compared")
     links = compared.filter("linked").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     joined = components(links.unionByName(_among_outliers(members, compared, width, least)))
