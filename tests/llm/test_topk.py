@@ -1,4 +1,6 @@
+import logging
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,3 +49,49 @@ def test_odd_vectors_ties_and_copies(spark):
 def test_few_candidates(spark, n):
     df = spark.createDataFrame([(i * 50, [i, 1]) for i in range(n)], "id long, v array<long>")
     assert topk.top_k(df, df, 5).count() == n * max(n - 1, 0)
+
+
+def clustered(n, centres, seed=5):
+    chance = random.Random(seed)
+    spots = [[chance.randint(-4000, 4000) for _ in range(8)] for _ in range(centres)]
+    return [(i, [x + chance.randint(-60, 60) for x in spots[i % centres]]) for i in range(n)]
+
+
+def test_far_annuli_are_not_fetched(spark, caplog, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rows = clustered(3000, 24)
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    asked = [r for r in rows if r[0] % 50 == 0]
+    with caplog.at_level(logging.INFO, logger=topk.__name__):
+        got = {tuple(r) for r in topk.top_k(df, df.filter("id % 50 = 0"), 5).collect()}
+    assert got == brute(rows, asked, 5)
+    (scored, everything), = [r.args for r in caplog.records if r.name == topk.__name__]
+    assert scored < everything / 2
+
+
+def test_pivots_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS", 4)
+    df = spark.createDataFrame(clustered(2000, 300), "id long, v array<long>")
+    assert len(topk.choose_pivots(df).points) == 2000 // (4 * topk.ANNULI)
+
+
+def test_copies_of_annuli_for_many_visitors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "MEETING", 3)
+    rows = clustered(300, 5)
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    assert {tuple(r) for r in topk.top_k(df, df, 3).collect()} == brute(rows, rows, 3)
+
+
+def test_query_rows_that_share_an_id_have_one_result(spark):
+    rows = [(1, [5, 0]), (1, [0, 7]), (2, [3, 0]), (3, [0, 2]), (4, [1, 1]), (4, [2, 2])]
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    got = {tuple(r) for r in topk.top_k(df, df.filter("id = 1"), 4).collect()}
+    assert got == {(1, 1, 2, 15), (1, 2, 3, 14), (1, 3, 4, 14), (1, 4, 4, 10)}
+
+
+def test_numbers_of_every_size(spark):
+    rows = [(i, [(-1) ** i * (1 << (i * 2)), 3 - i, -32768]) for i in range(14)]
+    df = spark.createDataFrame(rows, "id long, v array<long>")
+    assert {tuple(r) for r in topk.top_k(df, df, 5).collect()} == brute(rows, rows, 5)

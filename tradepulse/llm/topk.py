@@ -4,19 +4,25 @@ Every vector gets one more component, so that all have the same length; then the
 inner products are the smallest distances (a query's extra component is 0). Vectors are
 keyed by their nearest pivot and the distance to it, sorted, and packed into annuli of a
 bounded number of rows. By the triangle inequality a vector in an annulus [low, high] is at
-least max(low - d, d - high) away from a query at distance d from the pivot. A query's own
-radius comes from the pivots' sample at first and shrinks with what it has found; annuli are
-visited nearest first, and those beyond the radius are left out. Queries are packed the same
-way, so one matrix product scores a block of queries against an annulus.
+least max(low - d, d - high) away from a query at distance d from the pivot. Queries are
+packed the same way, so one matrix product scores a block of queries against an annulus.
+
+Which annuli a block of queries has to visit is decided on rows without vectors: the range
+of an annulus and the ranges that the block's radii reach around each pivot. A query's radius
+comes from the pivots' sample at first; the nearest annuli are visited, what they hold
+shrinks the radii, and only annuli within these are fetched then.
 
 Defined results: null vectors and vectors with a null or non-finite component take no part;
 shorter vectors count as if filled up with zeros; rows with the query's own id are no
-candidates; equal scores go to the smaller id; fewer candidates than k are all returned; an
-empty table gives no row; extra columns are not looked at.
+candidates; query rows that share an id have one result, the best of all their scores;
+candidates that share an id are scored each; equal scores go to the smaller id; fewer
+candidates than k are all returned; an empty table gives no row; extra columns are not
+looked at.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +34,17 @@ from pyspark.sql.window import Window
 
 from tradepulse.llm.common import written
 
-#: Vectors that the pivots are chosen among; pivots; rows of an annulus; queries of a block.
-SAMPLE, PIVOTS, ROWS, QUERIES = 2048, 48, 1024, 256
+#: Rows of an annulus; queries of a block; annuli of a pivot that the number of pivots aims at.
+ROWS, QUERIES, ANNULI = 1024, 256, 4
+#: Fewest and most pivots (they travel with each task); vectors of the sample for each of them, and at least.
+PIVOTS, MOST_PIVOTS, SAMPLED, SAMPLE = 48, 1024, 8, 2048
+#: Annuli that a block of queries visits first; pairs of blocks that a task scores; blocks of queries that meet in one copy of an annulus.
+FIRST, TASK_PAIRS, MEETING = 4, 64, 256
 #: Queries whose best candidates a task holds before it passes them on.
 HELD = 50_000
 
+log = logging.getLogger(__name__)
+
 
 def whole_numbers(column: str = "embedding", scale: int = 256) -> str:
     """SQL for floor(scale * x) of every component; null for vectors that take no part."""
@@ -69,13 +81,18 @@ def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def choose_pivots(vectors: DataFrame, sample: int = SAMPLE, pivots: int = PIVOTS) -> Pivots | None:
-    """Centres of a bounded sample: far apart at first, then moved to the means of their own."""
+def choose_pivots(vectors: DataFrame) -> Pivots | None:
+    """Centres of a bounded sample: far apart at first, then moved to the means of their own.
+
+    There are as many as give each some annuli, within the bounds of ``PIVOTS`` and ``MOST_PIVOTS``.
+    """
     shape = vectors.agg(
         F.max(F.size("v")).alias("width"), F.max(F.expr("aggregate(v, 0D, (s, x) -> s + double(x) * x)")).alias("square"), F.count(F.lit(1)).alias("n")
     ).first()
     if not shape.n:
         return None
+    pivots = min(max(shape.n // (ROWS * ANNULI), PIVOTS), MOST_PIVOTS)
+    sample, width = max(SAMPLE, SAMPLED * pivots), max(shape.width, 1)
     share = min(1.0, 4 * sample / shape.n)
     picked = (
         vectors.withColumn("h", F.xxhash64("v", F.lit(5)))
@@ -84,11 +101,11 @@ def choose_pivots(vectors: DataFrame, sample: int = SAMPLE, pivots: int = PIVOTS
         .orderBy("h").limit(sample).select("r.id", "r.v").toArrow().combine_chunks()
     )
     ids = picked["id"].to_numpy()
-    rows = _matrix(picked["v"].combine_chunks() if picked["v"].num_chunks != 1 else picked["v"].chunk(0), shape.width)
-    found = Pivots(np.zeros((0, shape.width + 1)), rows, ids, float(shape.square), shape.width)
+    rows = _matrix(picked["v"].combine_chunks() if picked["v"].num_chunks != 1 else picked["v"].chunk(0), width)
+    found = Pivots(np.zeros((0, width + 1)), rows, ids, float(shape.square), width)
     points = found.extended(rows)
     if not len(points):
-        found.points = np.zeros((1, shape.width + 1))
+        found.points = np.zeros((1, width + 1))
         return found
     centres, near = [points[0]], np.full(len(points), np.inf)
     for _ in range(min(pivots, len(points)) - 1):
@@ -117,6 +134,20 @@ def keyed(vectors: DataFrame, pivots: Pivots, queries: bool = False) -> DataFram
     return vectors.select("id", "v").mapInArrow(key, "id long, v array<long>, pivot long, distance double")
 
 
+def _narrow(matrix: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the fewest bytes each that hold them all."""
+    least, most = int(matrix.min(initial=0)), int(matrix.max(initial=0))
+    fit = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+    return matrix.astype(fit)
+
+
+def _wide(ids: bytes, matrix: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a block."""
+    own = np.frombuffer(ids, "<i8")
+    size = len(matrix) // max(len(own) * width, 1) or 8
+    return own, np.frombuffer(matrix, f"<i{size}").reshape(len(own), width).astype(np.int64)
+
+
 BLOCK_DDL = "pivot long, low double, high double, ids binary, matrix binary"
 
 
@@ -129,7 +160,7 @@ def packed(rows: DataFrame, width: int, most: int, by_pivot: bool = True) -> Dat
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def block(part: pa.RecordBatch) -> list:
             away = part.column("distance").to_numpy()
-            matrix = _matrix(part.column("v"), width).astype("<i8")
+            matrix = _narrow(_matrix(part.column("v"), width).astype(np.int64))
             return [part.column("pivot")[0].as_py(), away.min(), away.max(), part.column("id").to_numpy().astype("<i8").tobytes(), matrix.tobytes()]
 
         for batch in batches:
@@ -159,94 +190,163 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return scores[order], ids[order]
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's ``k`` best.
+def bounded(asked: DataFrame, pivots: Pivots, k: int) -> DataFrame:
+    """``asked`` with ``bound``: scores that the ``k`` best of each query reach, by the sample alone."""
+    sample, width = pivots.sample.astype(np.int64), pivots.width
 
-    Both frames have ``id`` and ``v`` (whole numbers); rows without ``v`` take no part.
-    """
-    vectors, queries = vectors.filter("v is not null and id is not null"), queries.filter("v is not null and id is not null")
-    vectors = written(vectors.select("id", "v"), "vectors")
-    pivots = choose_pivots(vectors)
-    spark = vectors.sparkSession
-    if pivots is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width, square = pivots.width, pivots.square
-    index = packed(keyed(vectors, pivots), width, ROWS)
-    asked = packed(keyed(queries.select("id", F.expr(f"slice(v, 1, {max(width, 1)})").alias("v")), pivots, True), width, QUERIES, False)
-
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each pivot, the distances from it that a query block has to look at."""
-        sample = pivots.sample.astype(np.int64)
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            bounds = []
             for ids, matrix in zip(batch.column("ids").to_pylist(), batch.column("matrix").to_pylist(), strict=True):
-                own = np.frombuffer(ids, "<i8")
-                rows = np.frombuffer(matrix, "<i8").reshape(len(own), width)
+                own, rows = _wide(ids, matrix, width)
                 scores = _product(rows, sample).astype(np.float64)
                 scores[own[:, None] == pivots.sample_ids] = -np.inf
-                bound = np.sort(scores, axis=1)[:, -k] if len(sample) >= k else np.full(len(own), -np.inf)
+                least = np.sort(scores, axis=1)[:, -k] if len(sample) >= k else np.full(len(own), -np.inf)
+                bounds.append(least.astype("<f8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("asked"), batch.column("ids"), batch.column("matrix"), pa.array(bounds, pa.binary())],
+                names=["asked", "ids", "matrix", "bound"],
+            )
+
+    return asked.select("asked", "ids", "matrix").mapInArrow(bound, "asked long, ids binary, matrix binary, bound binary")
+
+
+def raised(asked: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """``asked`` with the bounds that ``found`` (``asked``, ``query_id``, ``vec_id``, ``score``) gives."""
+    place = F.row_number().over(Window.partitionBy("asked", "query_id").orderBy(F.desc("score"), "vec_id"))
+    kth = found.withColumn("rank", place).filter(F.col("rank") == k)
+    # a block's queries are no more than it has rows
+    known = kth.groupBy("asked").agg(F.collect_list(F.struct("query_id", "score")).alias("known"))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds = []
+            for row in batch.select(["ids", "bound", "known"]).to_pylist():
+                least = np.frombuffer(row["bound"], "<f8").copy()
+                reached = {x["query_id"]: x["score"] for x in row["known"] or ()}
+                for i, q in enumerate(np.frombuffer(row["ids"], "<i8").tolist()):
+                    least[i] = max(least[i], reached.get(q, -np.inf))
+                bounds.append(least.astype("<f8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("asked"), batch.column("ids"), batch.column("matrix"), pa.array(bounds, pa.binary())],
+                names=["asked", "ids", "matrix", "bound"],
+            )
+
+    both = asked.join(known, "asked", "left").select("asked", "ids", "matrix", "bound", "known")
+    return both.mapInArrow(bound, "asked long, ids binary, matrix binary, bound binary")
+
+
+def visits(asked: DataFrame, rings: DataFrame, pivots: Pivots) -> DataFrame:
+    """``asked``, ``block`` and ``gap``: the annuli that blocks of queries have to visit, without their vectors."""
+    width, square = pivots.width, pivots.square
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, rows = _wide(row["ids"], row["matrix"], width)
                 norms = (rows.astype(np.float64) ** 2).sum(axis=1)
                 slack = 1e-6 * (norms + square) + 1
-                radius = np.sqrt(np.maximum(norms + square - 2 * bound + slack, 0))
+                radius = np.sqrt(np.maximum(norms + square - 2 * np.frombuffer(row["bound"], "<f8") + slack, 0))
                 away = pivots.distances(np.hstack([rows, np.zeros((len(own), 1))]))
                 n = away.shape[1]
+                spans = [(away - radius[:, None]).min(axis=0), (away + radius[:, None]).max(axis=0), away.min(axis=0), away.max(axis=0)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(n), pa.int64()), pa.array((away - radius[:, None]).min(axis=0), pa.float64()),
-                        pa.array((away + radius[:, None]).max(axis=0), pa.float64()), pa.array(away.min(axis=0), pa.float64()),
-                        pa.array(away.max(axis=0), pa.float64()), pa.array([ids] * n, pa.binary()), pa.array([matrix] * n, pa.binary()),
-                        pa.array([bound.astype("<f8").tobytes()] * n, pa.binary()),
-                        pa.array([away[:, p].astype("<f8").tobytes() for p in range(n)], pa.binary()),
-                    ],
-                    names=["pivot", "from", "to", "nearest", "farthest", "query_ids", "queries", "bound", "away"],
+                    [pa.array(np.full(n, row["asked"]), pa.int64()), pa.array(np.arange(n), pa.int64()), *[pa.array(x, pa.float64()) for x in spans]],
+                    names=["asked", "pivot", "from", "to", "nearest", "farthest"],
                 )
 
-    ranges = asked.mapInArrow(
-        reach, "pivot long, from double, to double, nearest double, farthest double, query_ids binary, queries binary, bound binary, away binary"
-    )
-    met = (
-        ranges.join(index, "pivot")
-        .filter("high >= from and low <= to")
-        .withColumn("gap", F.greatest(F.col("low") - F.col("farthest"), F.col("nearest") - F.col("high"), F.lit(0.0)))
-        .sortWithinPartitions("query_ids", "gap")
-    )
+    ranges = asked.mapInArrow(reach, "asked long, pivot long, from double, to double, nearest double, farthest double")
+    gap = F.greatest(F.col("low") - F.col("farthest"), F.col("nearest") - F.col("high"), F.lit(0.0))
+    return ranges.join(rings, "pivot").filter("high >= from and low <= to").select("asked", "block", gap.alias("gap"))
+
+
+def scored(pairs: DataFrame, asked: DataFrame, index: DataFrame, pivots: Pivots, k: int, n_pairs: int, copies: int) -> DataFrame:
+    """``asked``, ``query_id``, ``vec_id`` and ``score``: the best that the pairs of blocks hold.
+
+    A block of queries travels to each annulus it visits; an annulus that many of them visit
+    has ``copies``, so that no task has to take all its visitors.
+    """
+    width, square = pivots.width, pivots.square
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
         def passed_on() -> pa.RecordBatch:
             sizes = [len(s) for s, _ in held.values()]
-            columns = [np.repeat(np.array(list(held), np.int64), sizes)] if held else [np.zeros(0, np.int64)]
+            keys = np.array(list(held), np.int64).reshape(-1, 2)
+            columns = [np.repeat(keys[:, 0], sizes), np.repeat(keys[:, 1], sizes)]
             for i in (1, 0):
                 columns.append(np.concatenate([v[i] for v in held.values()]) if held else np.zeros(0, np.int64))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["asked", "query_id", "vec_id", "score"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                query_ids, ids = np.frombuffer(row["query_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
-                rows = np.frombuffer(row["queries"], "<i8").reshape(len(query_ids), width)
-                bound, away = np.frombuffer(row["bound"], "<f8").copy(), np.frombuffer(row["away"], "<f8")
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                query_ids, rows = _wide(row["query_ids"], row["queries"], width)
+                bound = np.frombuffer(row["bound"], "<f8").copy()
                 for i, q in enumerate(query_ids.tolist()):
-                    if q in held and len(held[q][0]) == k:
-                        bound[i] = max(bound[i], held[q][0][-1])
+                    before = held.get((row["asked"], q))
+                    if before and len(before[0]) == k:
+                        bound[i] = max(bound[i], before[0][-1])
                 norms = (rows.astype(np.float64) ** 2).sum(axis=1)
+                gaps = rows - pivots.points[row["pivot"], :-1]
+                away = np.sqrt((gaps * gaps).sum(axis=1) + pivots.points[row["pivot"], -1] ** 2)
                 least = np.maximum(np.maximum(row["low"] - away, away - row["high"]), 0)
                 most = (norms + square - least**2) / 2 + 1e-6 * (norms + square) + 1
                 open_queries = np.flatnonzero(most >= bound)
                 if not len(open_queries):
                     continue
-                matrix = np.frombuffer(row["matrix"], "<i8").reshape(len(ids), width)
+                ids, matrix = _wide(row["ids"], row["matrix"], width)
                 scores = _product(rows[open_queries], matrix)
                 for i, own in zip(open_queries.tolist(), scores, strict=True):
                     q = int(query_ids[i])
                     good = (own >= bound[i]) & (ids != q)
                     if good.any():
-                        before = held.get(q, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                        held[q] = _best(np.concatenate([before[0], own[good]]), np.concatenate([before[1], ids[good]]), k)
+                        before = held.get((row["asked"], q), (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                        held[row["asked"], q] = _best(np.concatenate([before[0], own[good]]), np.concatenate([before[1], ids[good]]), k)
                 if len(held) > HELD:
                     yield passed_on()
         yield passed_on()
 
-    best = met.select("low", "high", "ids", "matrix", "query_ids", "queries", "bound", "away").mapInArrow(score, "query_id long, vec_id long, score long")
+    queries = asked.select("asked", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"), "bound")
+    sent = pairs.select("asked", "block").join(queries, "asked").withColumn("copy", F.pmod(F.hash("asked"), F.lit(copies)))
+    annuli = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    met = sent.repartition(1 + n_pairs // TASK_PAIRS, "block", "copy").join(annuli, ["block", "copy"])
+    return met.select("asked", "query_ids", "queries", "bound", "pivot", "low", "high", "ids", "matrix").mapInArrow(
+        score, "asked long, query_id long, vec_id long, score long"
+    )
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id`` and ``score`` of each query's ``k`` best.
+
+    Both frames have ``id`` and ``v`` (whole numbers); rows without ``v`` take no part. The
+    log says how many pairs of blocks were scored.
+    """
+    vectors, queries = vectors.filter("v is not null and id is not null"), queries.filter("v is not null and id is not null")
+    vectors = written(vectors.select("id", "v"), "vectors")
+    pivots = choose_pivots(vectors)
+    spark = vectors.sparkSession
+    if pivots is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    width = pivots.width
+    number = F.monotonically_increasing_id()
+    index = written(packed(keyed(vectors, pivots), width, ROWS).withColumn("block", number), "annuli")
+    own = keyed(queries.select("id", F.expr(f"slice(v, 1, {width})").alias("v")), pivots, True)
+    asked = written(packed(own, width, QUERIES, False).withColumn("asked", number), "queries")
+    rings = index.select("block", "pivot", "low", "high")
+    n_asked, n_rings = asked.count(), index.count()
+    copies = 1 + n_asked // MEETING
+
+    asked = written(bounded(asked, pivots, k), "bounded")
+    nearest = F.row_number().over(Window.partitionBy("asked").orderBy("gap", "block"))
+    first = written(visits(asked, rings, pivots).withColumn("rank", nearest).filter(F.col("rank") <= FIRST), "first")
+    found = written(scored(first, asked, index, pivots, k, first.count(), copies), "found")
+    asked = written(raised(asked, found, k), "raised")
+    rest = written(visits(asked, rings, pivots).join(first.select("asked", "block"), ["asked", "block"], "left_anti"), "rest")
+    n_first, n_rest = first.count(), rest.count()
+    log.info("%d pairs of blocks scored of %d", n_first + n_rest, n_asked * n_rings)
+    best = found.unionByName(scored(rest, asked, index, pivots, k, n_rest, copies))
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", ranked).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
