@@ -60,3 +60,23 @@ def test_copies_do_not_shrink_the_sample(spark):
     assert {name for duel in model.within.values() for name in duel.names} == set(words)
     once = language.fit(spark.createDataFrame(texts, "text string, lang string"), per_language=10)
     assert np.array_equal(model.family.weights, once.family.weights)
+
+
+def test_pairs_are_told_apart_by_their_own_rows_alone(spark):
+    """Each classifier is that of its two sides, as a plain fit on the same rows has it."""
+    words = {"en": "the house and garden", "de": "das haus und der garten", "nl": "het huis en de tuin", "fr": "la maison et le jardin", "xx": "qo zu vek"}
+    texts = [(f"{text} {'abcdefgh'[i]}", lang) for lang, text in words.items() for i in range(8)]
+    df = spark.createDataFrame(texts, "text string, lang string")
+    model = language.fit(df.repartition(4))
+    assert list(model.within) == model.family.names == ["germanic", "romance", "xx"]
+    assert model.within["germanic"].names == ["de", "en", "nl"] and not model.within["xx"].pairs
+    keys = {(r.lang, r.text): r.key for r in df.selectExpr("*", "xxhash64(text, 41) as key").collect()}
+
+    def plain(first, second):
+        rows = sorted((lang, keys[lang, text], text) for text, lang in texts if lang in (*first, *second))
+        x = np.array([language.features(language.grams(text)) for _, _, text in rows])
+        return language.svm(x, np.array([1.0 if lang in first else -1.0 for lang, *_ in rows]))
+
+    assert np.allclose(model.within["germanic"].weights[1], plain(["de"], ["nl"]))
+    assert np.allclose(model.family.weights[0], plain(["de", "en", "nl"], ["fr"]))
+    assert all(model.predict(f"{text} k")[0] == lang for lang, text in words.items())

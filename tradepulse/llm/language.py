@@ -3,7 +3,8 @@
 First the language family is predicted, then linear support vector machines, one for each
 pair, separate the languages of that family. All of them see hashed byte 2- and 3-grams of
 the lower-cased letters of the whole text. Training rows are a bounded sample of each
-language; prediction reads every text once, where it lies.
+language, and each classifier is fitted by a task of its own; prediction reads every text
+once, where it lies.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every
 text if nothing was learned; a single learned language has score 1 wherever there are
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradepulse.llm.common import STEPS, small
+from tradepulse.llm.common import STEPS, small, written
 
 UNKNOWN = "und"
 #: Texts of each language that the classifiers are fitted on, at most.
@@ -91,14 +92,10 @@ class Duel:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray) -> Duel:
-        names = sorted(set(labels))
+    def of(cls, names: list[str], weights: dict[tuple[str, str], np.ndarray]) -> Duel:
         pairs = list(combinations(range(len(names)), 2))
-        weights = np.zeros((len(pairs), x.shape[1] + 1))
-        for row, (a, b) in enumerate(pairs):
-            own = (labels == names[a]) | (labels == names[b])
-            weights[row] = svm(x[own], np.where(labels[own] == names[a], 1.0, -1.0))
-        return cls(names, pairs, weights)
+        rows = [weights[names[a], names[b]] for a, b in pairs]
+        return cls(names, pairs, np.array(rows).reshape(len(pairs), BUCKETS + 1))
 
     def choose(self, x: np.ndarray) -> tuple[str, float]:
         """The chosen name, and the mean chance of it over its pairs."""
@@ -140,7 +137,8 @@ def fit(
     """Fit on at most ``per_language`` different texts of each non-null language.
 
     The texts with the smallest hash are taken, so the sample does not depend on the layout.
-    Only their n-gram counts come to the driver.
+    A task has the n-gram counts of one pair: those of two languages, or of the languages of
+    two families. Only weights come to the driver, 64 KB for each pair, as the model has them.
     """
     rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
     hashed = rows.withColumn("key", F.xxhash64("text", F.lit(41)))
@@ -164,20 +162,40 @@ def fit(
             )
 
     chosen = ranked.filter(F.col("rank") <= per_language).select("lang", "key", "text")
-    counted = chosen.repartition("lang", "key").mapInArrow(count, "lang string, key long, gram array<int>, n array<long>").toArrow()
-    if not counted.num_rows:
-        return Model(None, {})
-    # rows came in whatever order: sort them, so that the fit is the same each time
-    order = np.lexsort((counted["key"].to_numpy(), np.array(counted["lang"].to_pylist())))
-    langs = np.array(counted["lang"].to_pylist())[order]
-    x = np.zeros((counted.num_rows, BUCKETS), np.float32)
-    for row, at in enumerate(order.tolist()):
-        dense = np.zeros(BUCKETS, dtype=np.int64)
-        dense[counted["gram"][at].values.to_numpy()] = counted["n"][at].values.to_numpy()
-        x[row] = features(dense)
-    del counted
-    of_family = np.array([families.get(lang, lang) for lang in langs])
-    return Model(Duel.fit(x, of_family), {f: Duel.fit(x[of_family == f], langs[of_family == f]) for f in sorted(set(of_family))})
+    counted = written(chosen.repartition("lang", "key").mapInArrow(count, "lang string, key long, gram array<int>, n array<long>"), "grams")
+    # again a number for each language: what was chosen may lack one whose hashes are all large
+    family_of = {row["lang"]: families.get(row["lang"], row["lang"]) for row in counted.select("lang").distinct().collect()}
+    members = {f: sorted(x for x in family_of if family_of[x] == f) for f in sorted(set(family_of.values()))}
+    weights = _fitted(counted, members)
+    duel = lambda level, names: Duel.of(names, {k[1:]: w for k, w in weights.items() if k[0] == level})
+    return Model(duel("family", list(members)), {f: duel("language", names) for f, names in members.items()})
+
+
+def _fitted(counted: DataFrame, members: dict[str, list[str]]) -> dict[tuple[str, str, str], np.ndarray]:
+    """Weights by level and the two names that a classifier tells apart, each fitted in a task."""
+    sides = [
+        ("family", a, b, lang, sign) for a, b in combinations(members, 2) for side, sign in ((a, 1), (b, -1)) for lang in members[side]
+    ] + [
+        ("language", a, b, lang, sign) for names in members.values() for a, b in combinations(names, 2) for lang, sign in ((a, 1), (b, -1))
+    ]
+    if not sides:
+        return {}
+
+    def fit_pair(rows: pa.Table) -> pa.Table:
+        # rows came in whatever order: sort them, so that the fit is the same each time
+        rows = rows.combine_chunks().sort_by([("lang", "ascending"), ("key", "ascending")])
+        x = np.zeros((rows.num_rows, BUCKETS), np.float32)
+        for i in range(rows.num_rows):
+            dense = np.zeros(BUCKETS, dtype=np.int64)
+            dense[rows["gram"][i].values.to_numpy()] = rows["n"][i].values.to_numpy()
+            x[i] = features(dense)
+        weight = svm(x, rows["sign"].to_numpy().astype(np.float64))
+        names = [rows.column(c).slice(0, 1).combine_chunks() for c in ("level", "a", "b")]
+        return pa.Table.from_arrays([*names, pa.array([weight.astype("<f8").tobytes()], pa.binary())], names=["level", "a", "b", "weight"])
+
+    asked = counted.sparkSession.createDataFrame(sides, "level string, a string, b string, lang string, sign int")
+    fitted = counted.join(asked, "lang").groupBy("level", "a", "b").applyInArrow(fit_pair, "level string, a string, b string, weight binary")
+    return {(r.level, r.a, r.b): np.frombuffer(r.weight, "<f8") for r in fitted.collect()}
 
 
 def held_out(id_col: str = "doc_id") -> Column:
