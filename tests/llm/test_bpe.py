@@ -44,17 +44,40 @@ def test_round_trip_of_the_given_table(spark, sf_dir):
     assert got.count() == docs.count() == got.filter("want = decoded_sha256").count()
 
 
+def check_histogram(rows, n):
+    """``rows`` of a histogram against the sorted lengths themselves."""
+    assert sorted(r.context_limit for r in rows) == sorted(set(n))
+    for r in rows:
+        limit = r.context_limit
+        assert r.docs == n.count(limit) and r.docs_within == sum(x <= limit for x in n)
+        assert r.docs_cut == sum(x > limit for x in n) and r.tokens_total == sum(n)
+        assert r.tokens_within == sum(x for x in n if x <= limit) and r.tokens_beyond == sum(x for x in n if x > limit)
+        assert r.tokens_kept == sum(min(x, limit) for x in n)
+    of_row = {p: r.context_limit for r in rows for p in r.percentiles}
+    assert of_row == {p: n[-(-p * len(n) // 100) - 1] for p in range(1, 101)}
+
+
+def test_the_query_on_the_given_table(spark, sf_dir, encoding):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    n = sorted(len(encoding.encode_ordinary(t or "")) for t in texts)
+    check_histogram(catalogue.QUERIES["op4_lengths"](spark, sf_dir).collect(), n)
+
+
+@pytest.mark.parametrize("neighbours", [1, 7, 1 << 20])
+def test_buckets_of_neighbours_change_nothing(spark, neighbours):
+    chance = random.Random(neighbours)
+    n = sorted([chance.randint(0, 40) for _ in range(90)] + [5000, 10**9, 10**9])
+    df = spark.createDataFrame([(x,) for x in n] + [(None,)], "n_tokens long")
+    check_histogram(lengths.histogram(df, neighbours=neighbours).collect(), [0, *n])
+
+
 def test_lengths_answer_every_limit(spark, encoding):
     rows = documents()
     n = sorted(len(encoding.encode_ordinary(r[1] or "")) for r in rows)
     got = lengths.encoded_lengths(frame(spark, rows), RANKS, PATTERN)
     assert sorted(r.n_tokens for r in got.collect()) == n
     hist = lengths.histogram(got).cache()
-    for r in hist.collect():
-        limit = r.context_limit
-        assert r.docs == n.count(limit) and r.docs_within == sum(x <= limit for x in n)
-        assert r.docs_cut == sum(x > limit for x in n) and r.tokens_total == sum(n)
-        assert r.tokens_kept == sum(min(x, limit) for x in n)
+    check_histogram(hist.collect(), n)
     for r in lengths.at_limits(hist, [0, 1, 17, 10**6]).collect():
         assert (r.docs, r.docs_cut) == (len(n), sum(x > r.limit for x in n))
         assert (r.tokens_kept, r.tokens_total) == (sum(min(x, r.limit) for x in n), sum(n))
