@@ -48,3 +48,15 @@ def test_odd_rows_and_split_cells(spark, monkeypatch, run):
 def test_few_rows_and_none(spark):
     check([(r[0], r[1]) for r in documents()[:5]], hilbert.sharded(frame(spark, documents()[:5])).collect())
     assert hilbert.sharded(empty(spark)).count() == 0
+
+
+def test_cells_of_many_values_follow_their_order(spark):
+    values = [None, "", *[f"v{i:03}" for i in range(150)]]
+    df = spark.createDataFrame([(v,) for v in values * 2], "name string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = hilbert.rank_cells(df, "name", "cell").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {v: i * 32 // len(values) for i, v in enumerate(values)}
+    assert sorted((r.name or "", r.cell) for r in got) == sorted((v or "", want[v]) for v in values * 2)

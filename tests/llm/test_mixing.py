@@ -125,3 +125,28 @@ def test_equal_rows_are_mixed_each(spark):
     for r in mixing.mixed(df).collect():
         got[r.doc_id] += len(r.text.split())
     assert got == Counter({i: n for i, n in taken.items() if n})
+
+
+def test_many_sources_are_ordered_by_several_tasks(spark, monkeypatch):
+    kept, parts = mixing.ranges, []
+
+    def counted(*args):
+        df = kept(*args)
+        parts.append(df.select("_part").distinct().count())
+        return df
+
+    monkeypatch.setattr(mixing, "ranges", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, " ".join(["w"] * (i * 37 % 101)), None if i % 91 == 0 else f"s{i % 200}") for i in range(600)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        sized = df.select("source", mixing.word_count("text").alias("size"))
+        got = mixing.targets(sized).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert min(parts) > 1
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    assert {r.source: r.target for r in got} == pytest.approx(expected_targets(sizes))
+    assert [r.source for r in sorted(got, key=lambda r: r["rank"])] == sorted(sizes, key=lambda s: (s is None, s or ""))

@@ -33,6 +33,15 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
+def ranges(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+    """``df`` as a table with ``_part``: numbers of the ranges of ``order`` it is dealt into.
+
+    As the bucket of ``running_start`` they give sums along an order over all rows, and each
+    task sorts one range.
+    """
+    return written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id().cast("long")), name)
+
+
 def running_start(
     df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column | str], value: str, into: str
 ) -> DataFrame:

@@ -21,9 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from tradepulse.llm.common import running_start, written
+from tradepulse.llm.common import ranges, running_start, written
 
 #: Bits of each dimension; rows that one task puts in order.
 BITS, RUN = 5, 500
@@ -64,10 +63,12 @@ def log_cell(value: Column, bits: int = BITS) -> Column:
 
 def rank_cells(df: DataFrame, column: str, into: str, bits: int = BITS) -> DataFrame:
     """Add the cell of a text column: the place of its value among the distinct values."""
-    values = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    place = F.row_number().over(Window.orderBy(F.col("_value").asc_nulls_first())) - 1
-    cell = F.floor(place * (1 << bits) / F.count(F.lit(1)).over(Window.partitionBy())).cast("int")
-    cells = values.select("_value", cell.alias(into))
+    order = [F.col("_value").asc_nulls_first()]
+    # grouped and not made distinct, as a null is a value too
+    values = df.groupBy(F.col(column).alias("_value")).agg(F.lit(1).cast("long").alias("_one"))
+    parted = ranges(values, order, "values")
+    cell = F.floor(F.col("_place") * (1 << bits) / max(parted.count(), 1)).cast("int")
+    cells = running_start(parted, [], "_part", order, "_one", "_place").select("_value", cell.alias(into))
     return df.join(cells, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 

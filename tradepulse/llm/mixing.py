@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradepulse.llm.common import running_start, written
+from tradepulse.llm.common import ranges, running_start, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a block; output shards; rounds of the permutation; how often a word is used at most.
@@ -39,15 +39,20 @@ def targets(sized: DataFrame, block: int = BLOCK, most: int = MOST) -> DataFrame
     ``most`` times the size. With sources ordered by the level at which they stop, the level
     that uses up all words is the highest of those that follow if all earlier ones stop.
     """
-    of_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
-    ranked = of_source.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    of_source = sized.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"), F.lit(1).cast("long").alias("one")
+    )
+    by_name = [F.col("source").asc_nulls_last()]
+    ranked = running_start(ranges(of_source, by_name, "by-name"), [], "_part", by_name, "one", "rank").drop("_part", "one")
     weighed = ranked.withColumns({"weight": F.col("rank") % 3 + 1, "stop": F.col("source_size") * most})
-    by_stop = Window.orderBy(F.col("stop") / F.col("weight"), "rank")
-    stopped = F.coalesce(F.sum("stop").over(by_stop.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    weight_left = F.sum("weight").over(by_stop.rowsBetween(0, Window.unboundedFollowing))
-    everything = Window.partitionBy()
-    level = weighed.withColumn("level", (F.sum("source_size").over(everything) - stopped) / weight_left)
-    target = F.least(F.col("stop").cast("double"), F.max("level").over(everything) * F.col("weight"))
+    by_stop = [F.col("stops_at"), F.col("rank")]
+    parted = ranges(weighed.withColumn("stops_at", F.col("stop") / F.col("weight")), by_stop, "by-stop")
+    stopped = running_start(parted, [], "_part", by_stop, "stop", "stopped")
+    before = running_start(stopped, [], "_part", by_stop, "weight", "weight_before")
+    whole = parted.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    level = written(before.withColumn("level", (F.lit(whole.size) - F.col("stopped")) / (F.lit(whole.weight) - F.col("weight_before"))), "levels")
+    highest = level.agg(F.max("level")).first()[0]
+    target = F.least(F.col("stop").cast("double"), F.lit(highest).cast("double") * F.col("weight"))
     return (
         level.withColumn("target", target)
         .withColumn("blocks", F.ceil(F.col("source_size") / block))
