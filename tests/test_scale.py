@@ -106,6 +106,17 @@ def test_half_of_all_fills_on_one_order_fill_no_task(plain):
     assert matched.columns == J.match_fills(fills, orders).columns
 
 
+def test_fills_are_not_brought_together_by_a_heavy_order(plain):
+    """Not even while nothing is known of how many heavy orders there are."""
+    plain.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fills = plain.range(1_000).select((F.col("id") % 3).alias("order_id"), F.col("id").alias("fill_id"))
+    orders = plain.range(3).select(F.col("id").alias("order_id"), F.lit("c").alias("channel"))
+    matched = J.match_heavy_fills(fills, orders, heavy=100)
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1, plan
+    assert matched.where("channel = 'c' AND matched").count() == 1_000
+
+
 def test_without_heavy_orders_nothing_changes(spark):
     fills = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a")], "order_id long, fill_id string")
     orders = spark.createDataFrame([(1, "web"), (None, "no")], "order_id long, channel string")
