@@ -1,8 +1,9 @@
 from decimal import Decimal
 
 import pytest
-from messages import DAY, RULES, fill, message, order, otc, raw, request
+from messages import DAY, RULES, TOPIC, fill, message, order, otc, raw, request
 
+from tradepulse import schemas as S
 from tradepulse.operators import project as P
 from tradepulse.operators.ingest import parse_envelopes, unwrap_late
 
@@ -135,3 +136,33 @@ def test_unwrap_late(spark):
     text = '{"originTopic":"SECURITIES_TSSCJ","baseRecord":{"khh":"000142","cjbh":"a","yyb":"b1","cjje":10.5,"s1":1,"cxbz":"O","wth":"3","gdh":"E1","bz":"usd","version":4}}'
     rows = P.late_records(unwrap_late(raw(spark, [("LATE", 0, 1, text)]), "late"), "fill", DAY).collect()
     assert [(r["order_id"], r["fill_id"], r["branch"], r["attempts"], r["fill_amt"]) for r in rows] == [("3", "A", "B1", 4, Decimal("10.5"))]
+
+
+def test_without_fields_the_envelopes_are_the_same(spark):
+    good = [order(1), fill(2), request("Q", "UPDATE"), ("NOWHERE", 0, 3, "{}"), ("NOWHERE", 0, 4, "")]
+    odd = [(TOPIC["order"], 0, n, text) for n, text in enumerate((
+        "", " ", "x", "[1]", '{"optype":"INSERT","after":{"WTH":"1"', '{"optype":"INSERT","after":"text"}',
+        '{"optype":"INSERT","after":{"WTH":{"a":1}}}', '{"optype":"INSERT","after":{}}', '{"optype":"insert","jstime":"1705284000000000"}',
+        '{"optype":"INSERT","after":null}', '{"optype":"INSERT","after":{"WTH":"\\q"}}', ' {"optype":null} trailing',
+    ))]
+    rows = raw(spark, good + odd + [(TOPIC["dept_request"], 0, 9, '{"optype":"INSERT","after":{"ID":"1"}}')])
+    full, bare = parse_envelopes(rows), parse_envelopes(rows, fields=False)
+    assert "after" not in bare.columns
+    assert sorted(map(str, bare.collect())) == sorted(map(str, full.drop("after").collect()))
+
+
+def test_wrapped_records_of_one_kind_read_its_fields_alone(spark):
+    texts = ['{"originTopic":"securities_tssscj"}'] + [
+        '{"originTopic":"%s","baseRecord":{"khh":"c%d","wth":"%d","cjbh":"1","cxbz":"o","bz":"x","gdh":"g","cjje":"1","clzt":"2","id":"q","sqrq":"1"%s}}' % (origin, n, n, more)
+        for n, (origin, more) in enumerate((o, m) for o in ("SECURITIES_TSSCJ", "SECURITIES_TYWQQ", "SECURITIES_TYWSQLSKH") for m in ("", ',"version":2', ',"version":"x"', ',"yyb":null'))
+    ]
+    rows = raw(spark, [("LATE", 0, n, text) for n, text in enumerate(texts)])
+    whole = unwrap_late(rows, "late")
+    for kind in ("fill", "dept_request", "otc"):
+        own = unwrap_late(rows, "late", kinds=[kind])
+        assert len(own.schema["after"].dataType) == len(S.FIELDS[kind]) + 1
+        got, want = (sorted(map(str, P.typed_records(u, kind, DAY, path="$.BASERECORD").collect())) for u in (own, whole))
+        assert got == want and len(got) == 2
+    bare = unwrap_late(rows, "late", kinds=())
+    got, want = (sorted((r["offset"], str(r["reject_reason"]), r["reject_reason"] == "malformed_json" or r["kind"]) for r in u.collect()) for u in (bare, whole))
+    assert got == want and len(got) == 13

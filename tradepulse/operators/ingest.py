@@ -34,29 +34,35 @@ def parse_envelopes(
     topics: Mapping[str, str] = S.TOPICS,
     before: bool = False,
     kinds: Sequence[str] | None = None,
+    fields: bool = True,
 ) -> DataFrame:
     """One row per non-empty message, with its fields as a narrow struct.
 
     ``kinds`` parses messages of those kinds alone, and of them only their own fields.
+    Without ``fields`` the envelope is read and ``after`` is left out.
 
     Columns: topic, partition, offset, value, kind, op, row_id, event_ts, after,
     before (if asked for) and reject_reason, null when the message is usable.
     The text is parsed once: the generator keeps filters above it from
     repeating the parse.
     """
-    parsed = F.from_json("value", S.envelope_ddl(before, kinds), _PARSE_OPTIONS)
+    parsed = F.from_json("value", S.envelope_ddl(before, kinds, fields), _PARSE_OPTIONS)
     rows = drop_empty(raw)
     if kinds is not None:
         own = [name.upper() for name, kind in topics.items() if kind in kinds]
         rows = rows.where(F.upper("topic").isin(own))
     rows = rows.select(*ORIGIN, F.inline(F.array(parsed)))
+    if not fields:  # what stands before the fault of a broken message depends on the fields that are read
+        whole = F.from_json("value", S.envelope_ddl(before, kinds), _PARSE_OPTIONS)
+        broken = F.col("_corrupt_record").isNotNull()
+        rows = rows.withColumns({c: F.when(broken, whole[c]).otherwise(F.col(c)) for c in ("optype", "rowid", "jstime")})
     kinds_of = rows.selectExpr(
         *ORIGIN,
         f"{_kind('topic', topics)} AS kind",
         "optype AS op",
         "rowid AS row_id",
         f"{source_timestamp_sql('jstime')} AS event_ts",
-        "after",
+        *(["after"] if fields else []),
         *(["before"] if before else []),
         "_corrupt_record IS NOT NULL OR NOT startswith(ltrim(value), '{') AS malformed",
     )
@@ -77,17 +83,23 @@ def route_counts(parsed: DataFrame) -> DataFrame:
 
 
 def unwrap_late(
-    raw: DataFrame, late_topic: str, origins: Mapping[str, str] = S.LATE_ORIGINS
+    raw: DataFrame,
+    late_topic: str,
+    origins: Mapping[str, str] = S.LATE_ORIGINS,
+    kinds: Sequence[str] | None = None,
 ) -> DataFrame:
     """Messages a former deployment re-queued, as parsed envelopes.
 
     The text is upper-cased whole, as the wrapper's writer expects. Fills come
     back as INSERTs, the two request kinds as UPDATEs; ``attempts`` is the retry
-    count. Wrappers of another origin are rejected as an unknown topic.
+    count. Wrappers of another origin are rejected as an unknown topic. Of the records
+    only the fields of ``kinds`` are read, left out those of all kinds that ``origins`` name.
     """
+    if kinds is None:
+        kinds = tuple(dict.fromkeys(origins.values()))
     text = F.upper("value")
     mine = drop_empty(raw).where(F.upper("topic") == late_topic.upper())
-    parsed = F.from_json(text, S.late_ddl(), _PARSE_OPTIONS)
+    parsed = F.from_json(text, S.late_ddl(kinds), _PARSE_OPTIONS)
     rows = mine.select(
         "topic", "partition", "offset", text.alias("value"), F.inline(F.array(parsed))
     )

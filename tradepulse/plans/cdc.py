@@ -245,13 +245,11 @@ EVENT_KINDS = tuple(T.EVENT_MESSAGES)
 def all_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Orders, fills and every event kind in one raw stream."""
     out = order_messages(spark, sf).unionByName(fill_messages(spark, sf))
-    for kind in EVENT_KINDS:
-        out = out.unionByName(T.event_messages(spark, sf, kind))
-    return out
+    return out.unionByName(T.event_messages(spark, sf, *EVENT_KINDS))
 
 
 def cdc_route_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = route_counts(parse_envelopes(all_messages(spark, sf)))
+    counts = route_counts(parse_envelopes(all_messages(spark, sf), fields=False))
     return counts.select("kind", "op", "n")
 
 
@@ -344,15 +342,14 @@ def late_unwrap(spark: SparkSession, sf: str) -> DataFrame:
         *_wrapped("SOMEWHERE", F.col("event_id"), F.struct(F.col("event_type").alias("id")))
     )
     raw = fills.unionByName(requests).unionByName(otc).unionByName(other)
-    unwrapped = unwrap_late(raw, LATE_TOPIC)
 
     def counted(kind: str, key: str, amount: Column) -> DataFrame:
-        rows = P.late_records(unwrapped, kind, 20240115)
+        rows = P.late_records(unwrap_late(raw, LATE_TOPIC, kinds=[kind]), kind, 20240115)
         return rows.groupBy(F.lit(kind).alias("kind"), "op", "attempts", F.col(key).alias("key")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(amount).cast("decimal(38,4)").alias("amount")
         )
 
-    strangers = unwrapped.where("reject_reason = 'unknown_topic'").groupBy(
+    strangers = unwrap_late(raw, LATE_TOPIC, kinds=()).where("reject_reason = 'unknown_topic'").groupBy(
         F.lit("unknown").alias("kind"),
         F.lit(None).cast("string").alias("op"),
         F.lit(None).cast("int").alias("attempts"),

@@ -70,12 +70,10 @@ def stream_cdc_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed messages appended by a checkpointed stream that is restarted once."""
     root = work_folder(spark, "ingest")
     first = cdc.order_messages(spark, sf).unionByName(cdc.fill_messages(spark, sf))
-    second = T.event_messages(spark, sf, cdc.EVENT_KINDS[0])
-    for kind in cdc.EVENT_KINDS[1:]:
-        second = second.unionByName(T.event_messages(spark, sf, kind))
+    second = T.event_messages(spark, sf, *cdc.EVENT_KINDS)
     for wave in (first, second):
         wave.write.mode("append").parquet(f"{root}/landing")
-        parsed = parse_envelopes(read_change_files(spark, f"{root}/landing"))
+        parsed = parse_envelopes(read_change_files(spark, f"{root}/landing"), fields=False)
         kept = parsed.select("kind", "op", "topic", "partition", "offset", "reject_reason")
         query = (
             kept.writeStream.format("parquet")
@@ -226,12 +224,7 @@ def stream_state_retention(spark: SparkSession, sf: str) -> DataFrame:
 def stream_activity_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Customer, cash and account messages in two waves, as the daily row."""
     kinds = ("customer", "cash", "stock_account", "bank_account", "fund_account")
-    waves = []
-    for part in (kinds[:2], kinds[2:]):
-        wave = T.event_messages(spark, sf, part[0])
-        for kind in part[1:]:
-            wave = wave.unionByName(T.event_messages(spark, sf, kind))
-        waves.append(wave)
+    waves = [T.event_messages(spark, sf, *part) for part in (kinds[:2], kinds[2:])]
     return run_waves(spark, sf, waves, None, "activity").customer_day_stats()
 
 

@@ -278,18 +278,24 @@ def events_base(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFra
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Every event as one change message of ``kind``."""
+def _event_message(kind: str) -> str:
+    """Text of the change message of ``kind`` that stands for an event."""
     fields = EVENT_MESSAGES[kind]
     after = ", ".join(f"'{n}', {e}" for n, e in fields.items() if n != "op")
-    return events_base(spark, sf_dir, wide=True).selectExpr(
-        f"'{KIND_TOPIC[kind]}' AS topic",
-        "0 AS partition",
-        "event_id AS offset",
-        f"""to_json(named_struct(
+    return f"""to_json(named_struct(
             'optype', {fields['op']}, 'rowid', CAST(event_id AS STRING),
-            'jstime', CAST(micros AS STRING), 'after', named_struct({after}))) AS value""",
-    )
+            'jstime', CAST(micros AS STRING), 'after', named_struct({after})))"""
+
+
+def event_messages(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    """Every event as one change message of each of ``kinds``; events are read and dealt out once."""
+    base = events_base(spark, sf_dir, wide=True)
+    if len(kinds) == 1:
+        return base.selectExpr(
+            f"'{KIND_TOPIC[kinds[0]]}' AS topic", "0 AS partition", "event_id AS offset", f"{_event_message(kinds[0])} AS value"
+        )
+    texts = ", ".join(f"'{KIND_TOPIC[kind]}', 0, event_id, {_event_message(kind)}" for kind in kinds)
+    return base.selectExpr(f"stack({len(kinds)}, {texts}) AS (topic, partition, offset, value)")
 
 
 def event_records(

@@ -179,9 +179,13 @@ def after_fields(kinds: Sequence[str] | None = None) -> tuple[str, ...]:
     return tuple(dict.fromkeys(f.source for kind in chosen for f in FIELDS[kind]))
 
 
-def envelope_ddl(before: bool = False, kinds: Sequence[str] | None = None) -> str:
-    """Read schema of a message: only the fields that the kinds use."""
-    after = ",".join(f"`{name}`:STRING" for name in after_fields(kinds))
+#: Stands for the fields of a record of which only the presence is read.
+NO_FIELD = ("_",)
+
+
+def envelope_ddl(before: bool = False, kinds: Sequence[str] | None = None, fields: bool = True) -> str:
+    """Read schema of a message: only the fields that the kinds use, or none of them."""
+    after = ",".join(f"`{name}`:STRING" for name in (after_fields(kinds) if fields else NO_FIELD))
     ddl = f"optype STRING, rowid STRING, jstime STRING, after STRUCT<{after}>"
     if before:
         fields = ",".join(f"`{name}`:STRING" for name in BEFORE_FIELDS)
@@ -189,9 +193,9 @@ def envelope_ddl(before: bool = False, kinds: Sequence[str] | None = None) -> st
     return ddl + ", _corrupt_record STRING"
 
 
-def late_ddl() -> str:
-    """Read schema of an upper-cased late wrapper."""
-    record = ",".join(f"`{name}`:STRING" for name in (*after_fields(), "VERSION"))
+def late_ddl(kinds: Sequence[str] | None = None) -> str:
+    """Read schema of an upper-cased late wrapper: only the fields that the kinds use."""
+    record = ",".join(f"`{name}`:STRING" for name in (*after_fields(kinds), "VERSION"))
     return f"ORIGINTOPIC STRING, BASERECORD STRUCT<{record}>, _corrupt_record STRING"
 
 
