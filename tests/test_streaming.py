@@ -330,3 +330,33 @@ def test_folded_state_is_found_by_a_session_that_does_not_know_it(spark, make_jo
     job.process(raw(spark, [order(5, 12, YYB="B03"), order(6, 13)]), 2)
     job.compact()
     assert {(r["order_id"], r["branch"]) for r in job.state("order").collect()} == {("5", "B03"), ("6", "B01")}
+
+
+def test_held_records_carry_no_text_of_usable_messages(make_job, monkeypatch):
+    """What a batch keeps follows its typed fields, not its messages; unusable ones keep theirs."""
+    import contextlib
+
+    from tradepulse.streaming import job as module
+
+    texts = []
+
+    @contextlib.contextmanager
+    def watched():
+        with held() as hold:
+            def keep(df):
+                frame = hold(df)
+                texts.extend(r["value"] for r in frame.select("value").collect()) if "value" in frame.columns else None
+                assert "after" not in frame.columns
+                return frame
+
+            yield keep
+
+    held = module.held
+    monkeypatch.setattr(module, "held", watched)
+    late = ("TRADE_MONITOR_SLOW", 0, 9, '{"originTopic":"SECURITIES_TSSCJ","baseRecord":{"khh":"cust7","wth":"5","cjbh":"9","cxbz":"O","bz":"usd","gdh":"g","cjje":"1"}}')
+    bad = order(6, offset=2, WTSL="abc")
+    job = make_job()
+    feed(job, [order(5), fill(5, offset=1), bad, late])
+    assert [t for t in texts if t is not None] == [bad[3]]
+    assert [(r["reject_reason"], r["value"]) for r in job.quarantined().collect()] == [("bad_number", bad[3])]
+    assert trade(job)[("B02", "app")][1] == 1
