@@ -281,9 +281,15 @@ def _in_state(spark: SparkSession, sf: str, name: str, waves: Sequence[DataFrame
     return totals
 
 
-def _timed(raw: DataFrame, kind: str) -> DataFrame:
+def _timed(raw: DataFrame, kind: str, *columns: str) -> DataFrame:
+    """Records with a source time; named columns alone are shuffled and kept in the state."""
     parsed = parse_envelopes(raw, kinds=[kind])
-    return P.records(parsed, kind, DAY, T.DESK_RULES).where("event_ts IS NOT NULL")
+    rows = P.records(parsed, kind, DAY, T.DESK_RULES).where("event_ts IS NOT NULL")
+    return rows.select("event_ts", *columns) if columns else rows
+
+
+#: What fills are told apart and counted by.
+_COUNTED = (*FILL_KEY, "branch", "currency", "fill_amt", "commission", "holder_acct")
 
 
 def stream_fills_in_state(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,8 +298,8 @@ def stream_fills_in_state(spark: SparkSession, sf: str) -> DataFrame:
     delay = f"{2 * width} seconds"
 
     def build(raw: DataFrame) -> DataFrame:
-        fills = once_within(_timed(raw, "fill"), FILL_KEY, delay)
-        orders = once_within(_timed(raw, "order"), ORDER_KEY, delay)
+        fills = once_within(_timed(raw, "fill", *_COUNTED), FILL_KEY, delay)
+        orders = once_within(_timed(raw, "order", *ORDER_KEY, "channel"), ORDER_KEY, delay)
         return fills_with_orders(fills, orders, "1 minute", "1 minute")
 
     waves = [*_timed_waves(spark, sf, width, True), _later(spark, 100 * width)]
@@ -307,7 +313,7 @@ def stream_fills_within_watermark(spark: SparkSession, sf: str) -> DataFrame:
     width = _stretch(spark, sf)
 
     def build(raw: DataFrame) -> DataFrame:
-        return once_within(_timed(raw, "fill"), FILL_KEY, f"{2 * width} seconds").withColumn("channel", F.lit("any"))
+        return once_within(_timed(raw, "fill", *_COUNTED), FILL_KEY, f"{2 * width} seconds").withColumn("channel", F.lit("any"))
 
     measure = lambda batch: M.fill_metrics(batch, T.rates(spark))
     totals = _in_state(spark, sf, "fills-once-state", _timed_waves(spark, sf, width, True), build, "append", measure)
