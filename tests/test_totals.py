@@ -229,6 +229,24 @@ def test_fills_meet_orders_inside_the_bound_and_leave_outside_it(spark, totals):
     assert {r.channel: r.mtch_tims for r in totals.rows(R.TRADE).collect()} == {"app": 2, "undefine": 1}
 
 
+def test_state_on_disk_gives_the_same_and_holds_for_the_stream_alone(spark, totals):
+    from tradepulse.streaming.native import STATE_ON_DISK, state_on_disk
+
+    root = work_folder(spark, "disk")
+    waves = [[fill(1, "1", 1), fill(1, "1", 2), fill(2, "1", 3)], [fill(1, "1", 4), order(1, 5, seconds=50)], [order(9, 7, seconds=9000), fill(8, "1", 8, seconds=9000)]]
+
+    def build(r):
+        fills, orders = once_within(timed(r, "fill"), FILL_KEY, "5 minutes"), once_within(timed(r, "order"), ORDER_KEY, "5 minutes")
+        return fills_with_orders(fills, orders, "1 minute", "1 minute")
+
+    before = {key: spark.conf.get(key, None) for key in STATE_ON_DISK}
+    with state_on_disk(spark):
+        land(spark, root, waves, build, "append", into_totals(totals, lambda batch: M.fill_metrics(batch, spark.sql(RATES))))
+    assert {key: spark.conf.get(key, None) for key in STATE_ON_DISK} == before
+    assert {r.channel: r.mtch_tims for r in totals.rows(R.TRADE).collect()} == {"app": 1, "undefine": 1}
+    assert totals.tables.glob(f"{root}/checkpoint/state/*/*/*.zip") and not totals.tables.glob(f"{root}/checkpoint/state/*/*/*/*.delta")
+
+
 def test_totals_in_state_go_on_after_a_restart_and_a_lost_ledger_row(spark, totals):
     root = work_folder(spark, "state")
     waves = [[order(1), order(2, 1)], [order(3, 2), order(4, 3, YYB="B09")]]

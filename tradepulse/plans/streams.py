@@ -19,10 +19,10 @@ from tradepulse.operators.ingest import parse_envelopes
 from tradepulse.plans import activity as A
 from tradepulse.plans import cdc
 from tradepulse.plans import tables as T
-from tradepulse.session import work_folder
+from tradepulse.session import SHUFFLES_END, settings, work_folder
 from tradepulse.sources.changes import read_change_files
 from tradepulse.streaming.job import ActivityJob
-from tradepulse.streaming.native import FILL_KEY, ORDER_KEY, fills_with_orders, into_totals, once_within, running_totals
+from tradepulse.streaming.native import FILL_KEY, ORDER_KEY, fills_with_orders, into_totals, once_within, running_totals, state_on_disk
 from tradepulse.streaming.tables import StepTables
 from tradepulse.streaming.totals import TRADE, Totals
 
@@ -32,6 +32,12 @@ DAY = 20240115
 RETAINED_FROM = 20240110
 
 
+def _land(spark: SparkSession, wave: DataFrame, path: str) -> None:
+    """Append a wave's messages, whose texts are much alike and take little room compressed."""
+    with settings(spark, SHUFFLES_END):
+        wave.write.mode("append").option("compression", "zstd").parquet(path)
+
+
 def run_waves(
     spark: SparkSession,
     sf: str,
@@ -41,14 +47,15 @@ def run_waves(
     drain: bool = False,
     **options,
 ) -> ActivityJob:
-    """Land each wave, then run the job over it from its checkpoint."""
+    """Land each wave, then run the job over it from its checkpoint; what it has committed is taken away."""
     root = work_folder(spark, name)
     job = ActivityJob(
         spark, f"{root}/job", T.rates(spark), T.products(spark, sf), T.DESK_RULES, business_date, **options
     )
     for wave in waves:
-        wave.write.mode("append").parquet(f"{root}/landing")
+        _land(spark, wave, f"{root}/landing")
         job.run_available(read_change_files(spark, f"{root}/landing"))
+        job.tables.delete(f"{root}/landing")
     if drain:
         job.drain()
     return job
@@ -270,14 +277,20 @@ def _later(spark: SparkSession, seconds: int) -> DataFrame:
 
 
 def _in_state(spark: SparkSession, sf: str, name: str, waves: Sequence[DataFrame], build, mode: str, measure, replace: bool = False) -> Totals:
-    """Land each wave and run ``build``'s stream over it from its checkpoint, into running totals."""
+    """Land each wave and run ``build``'s stream over it from its checkpoint, into running totals.
+
+    The messages of a wave are taken away once they are committed.
+    """
     root = work_folder(spark, name)
     totals = Totals(StepTables(spark, f"{root}/job"))
     for wave in waves:
-        wave.write.mode("append").parquet(f"{root}/landing")
+        _land(spark, wave, f"{root}/landing")
         stream = build(read_change_files(spark, f"{root}/landing"))
         writer = stream.writeStream.outputMode(mode).foreachBatch(into_totals(totals, measure, replace))
-        writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        with state_on_disk(spark):
+            query = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        totals.tables.delete(f"{root}/landing")
     return totals
 
 

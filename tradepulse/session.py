@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +34,26 @@ def build_session(app_name: str = "tradepulse", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+#: Drops the shuffle files of a statement when it ends, and not when the driver next collects garbage.
+SHUFFLES_END = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Session settings that hold within the block; a stream started there keeps them."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @functools.cache
 def _own_folder() -> tempfile.TemporaryDirectory:
     """One temporary folder per process, removed when it ends."""

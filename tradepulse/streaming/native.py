@@ -9,19 +9,38 @@ passed. Records need a source time; set those without one aside (``event_ts IS N
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import AbstractContextManager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepulse import schemas as S
 from tradepulse.operators import metrics as M
 from tradepulse.operators.enrich import MATCHED
+from tradepulse.session import settings
 from tradepulse.streaming import totals as R
 from tradepulse.streaming.tables import StepTables, held
 
 FILL_KEY = ("business_date", "order_id", "fill_id")
 ORDER_KEY = ("business_date", "order_id")
 
+_STORE = "spark.sql.streaming.stateStore"
+#: State in RocksDB: it lies on disk, behind caches and write buffers of a bounded size for each
+#: executor, where the default store has all keys in the heap. Of a batch only its changes are kept.
+STATE_ON_DISK = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "500",
+    f"{_STORE}.rocksdb.writeBufferSizeMB": "16",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+def state_on_disk(spark: SparkSession) -> AbstractContextManager[None]:
+    """Streams started within the block keep their state in RocksDB."""
+    return settings(spark, STATE_ON_DISK)
+
 
 def once_within(records: DataFrame, keys: Sequence[str], delay: str) -> DataFrame:
     """The first record of each key among those at most ``delay`` apart in source time.
