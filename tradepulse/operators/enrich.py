@@ -51,13 +51,17 @@ def match_heavy_fills(
     Fills are counted per order, within tasks first. The fills of an order with more than
     ``heavy`` are dealt out by a hash of all their columns, and that order alone is
     repeated for each share. There are fewer such orders than fills divided by ``heavy``:
-    their ids are broadcast, so that fills never are brought together by order alone. The shares stay even whatever
-    the plan above the join is, where adaptive execution splits only joins between two
-    shuffles that nothing else depends on.
+    they are counted when this is called, and their ids are broadcast, so that fills never are
+    brought together by order alone. Where no order is heavy, the match is the plain one. The
+    shares stay even whatever the plan above the join is, where adaptive execution splits only
+    joins between two shuffles that nothing else depends on.
     """
     counts = fills.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy)
     shares = counts.select(*on, F.ceil(F.col("_n") / heavy).cast("int").alias("_shares"))
-    shares = F.broadcast(shares)
+    found = shares.collect()
+    if not found:
+        return match_fills(fills, orders, on, **kwargs)
+    shares = F.broadcast(fills.sparkSession.createDataFrame(found, shares.schema))
     share = F.pmod(F.xxhash64(*fills.columns), F.col("_shares")).cast("int")
     dealt = fills.join(shares, list(on), "left").withColumn("_share", F.coalesce(share, F.lit(0))).drop("_shares")
     last = F.coalesce("_shares", F.lit(1)) - 1
