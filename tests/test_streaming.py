@@ -360,3 +360,32 @@ def test_held_records_carry_no_text_of_usable_messages(make_job, monkeypatch):
     assert [t for t in texts if t is not None] == [bad[3]]
     assert [(r["reject_reason"], r["value"]) for r in job.quarantined().collect()] == [("bad_number", bad[3])]
     assert trade(job)[("B02", "app")][1] == 1
+
+
+def test_large_steps_hold_their_records_in_files_and_give_the_same(make_job, monkeypatch):
+    """Of more rows than ``file_rows`` nothing is held in memory, and the files are gone after the step."""
+    from pyspark.sql import DataFrame
+
+    late = ("TRADE_MONITOR_SLOW", 0, 9, '{"originTopic":"SECURITIES_TSSCJ","baseRecord":{"khh":"cust7","wth":"5","cjbh":"9","cxbz":"O","bz":"usd","gdh":"g","cjje":"1"}}')
+    batches = [
+        [order(5), fill(5, offset=1), fill(6, "2", 2), fill(6, "3", 3, CXBZ="W"), order(7, offset=4, WTSL="abc"), request("Q", "UPDATE", 5)],
+        [late, order(6, 14), fill(5, offset=10), fill(7, "8", 11), request("Q", "INSERT", 12), fill(9, offset=13, CJJE="x")],
+    ]
+    found = []
+    for rows in (1_000_000, 0):
+        if not rows:
+            monkeypatch.setattr(DataFrame, "persist", lambda *a: pytest.fail("held in memory"))
+        job = make_job(fills_once=True, file_rows=rows)
+        feed(job, *batches)
+        waits = {tuple(r) for r in job.waiting("fill").select("order_id", "fill_id", "attempts").collect()}
+        job.drain()
+        found.append((*snapshot(job), waits, {r["order_id"] for r in job.state("order").collect()}))
+        assert not job.tables.steps("kept")
+    assert found[0] == found[1]
+
+
+def test_messages_of_a_wave_go_once_they_are_committed(spark, sf_dir):
+    from tradepulse.plans import streams
+
+    job = streams.run_waves(spark, sf_dir, streams._order_waves(spark, sf_dir), name="gone")
+    assert job.trade_stats().count() and not job.tables.glob(f"{job.root}/../landing/*")
